@@ -55,13 +55,22 @@ class FixtureLoad:
     def customer_source(self) -> DataFrame:
         return D.customer_source(self.stg, BATCH)
 
+    @staticmethod
+    def _table(df: DataFrame) -> DataFrame:
+        """A loaded dimension: written once (reliable checkpoint in the shared
+        checkpoint folder) and read back by every later job, as the pipeline
+        reads its dimension tables; no lineage is recomputed per use."""
+        return df.checkpoint(eager=True)
+
     @cached_property
     def dim_customer(self) -> DataFrame:
-        return assign_keys(self.customer_source, ["customer_unique_id"], "customer_key")
+        return self._table(assign_keys(self.customer_source, ["customer_unique_id"], "customer_key"))
 
     @cached_property
     def dim_seller(self) -> DataFrame:
-        return assign_keys(D.seller_source(self.stg, BATCH), ["seller_id", "zip_code_prefix"], "seller_key")
+        return self._table(
+            assign_keys(D.seller_source(self.stg, BATCH), ["seller_id", "zip_code_prefix"], "seller_key")
+        )
 
     @cached_property
     def product_source(self) -> DataFrame:
@@ -70,7 +79,9 @@ class FixtureLoad:
     @cached_property
     def dim_product(self) -> DataFrame:
         empty = _empty(self.spark, schemas.DIM_PRODUCT)
-        return D.scd2_apply(empty, self.product_source, empty.select("product_id"), AS_OF, BATCH, LOAD_TS)
+        return self._table(
+            D.scd2_apply(empty, self.product_source, empty.select("product_id"), AS_OF, BATCH, LOAD_TS)
+        )
 
     @cached_property
     def fact_orders(self) -> DataFrame:

@@ -179,3 +179,24 @@ def null_counts(df: DataFrame, cols: list[str], table: str) -> DataFrame:
         )
     )
     return stacked.select(F.lit(table).alias("table_name"), "s.column_name", "s.null_count")
+
+
+def scd2_interval_errors(history: DataFrame, key: str = "product_id", surrogate: str = "product_key") -> DataFrame:
+    """Version intervals that are empty or overlap the previous version of the same key.
+
+    A key has a handful of versions, so the per-key window stays small.
+    """
+    from pyspark.sql import Window
+
+    w = Window.partitionBy(key).orderBy(F.col("effective_from"), F.col(surrogate))
+    prev_to = F.lag(F.coalesce(F.col("effective_to"), F.lit("9999-12-31").cast("date"))).over(w)
+    flagged = history.select(
+        key,
+        surrogate,
+        "effective_from",
+        "effective_to",
+        F.when(F.col("effective_to") < F.col("effective_from"), F.lit("EFFECTIVE_TO before EFFECTIVE_FROM"))
+        .when(prev_to >= F.col("effective_from"), F.lit("Overlaps previous version"))
+        .alias("problem"),
+    )
+    return flagged.filter(F.col("problem").isNotNull())

@@ -43,6 +43,19 @@ def test_full_run_rerun_and_reports(spark, tmp_root):
     unresolved = rej.filter(F.col("reject_reason").startswith("Customer not in")).count()
     assert len(first["fact_orders"]) + unresolved == n_orders
 
+    # the logged counts of every step are the ones the registered query derives
+    from vitrine.plans.catalog import queries
+
+    expected = {
+        r.step_name: (r.records_in, r.records_out, r.records_rejected)
+        for r in queries()["step_counts"](spark, SF_SMALL).collect()
+    }
+    logged = {
+        r.step_name: (r.records_in, r.records_out, r.records_rejected)
+        for r in p.log.steps().filter(f"batch_id = {b} AND attempt = 1").collect()
+    }
+    assert logged == expected
+
     # re-run the same batch: identical tables, new attempt logged
     p.rerun_batch(b)
     second = _snapshot(p)

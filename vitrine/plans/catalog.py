@@ -445,3 +445,70 @@ def check_not_null(w: FixtureLoad) -> DataFrame:
             "FACT_ORDER_ITEMS",
         )
     ).unionByName(Q.null_counts(w.stg.order_reviews, ["review_score", "review_comment_title"], "STG_ORDER_REVIEWS"))
+
+
+# ----------------------------------------------------------- run counters
+
+
+def _metric(df: DataFrame, step: str, metric: str) -> DataFrame:
+    """(step, metric, n): one row counting ``df`` (a partial-aggregated count)."""
+    return df.agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit(step).alias("step_name"), F.lit(metric).alias("metric"), "n"
+    )
+
+
+def step_count_rows(w: FixtureLoad) -> DataFrame:
+    """Counts each step of a first load logs: real input, output and rejected rows."""
+    from functools import reduce
+
+    from vitrine.functions import lookups as L
+
+    stg = w.stg
+    staged = reduce(DataFrame.unionByName, [t.select(F.lit(1).alias("x")) for t in stg.tables().values()])
+    parts = [
+        _metric(staged, L.STEP_TAG_STAGING, "in"),
+        _metric(staged, L.STEP_TAG_STAGING, "out"),
+        _metric(Q.validate_staging(stg, BATCH), L.STEP_DQ, "rejected"),
+        _metric(stg.customers, L.STEP_DIM_CUSTOMER, "in"),
+        _metric(w.customer_source, L.STEP_DIM_CUSTOMER, "out"),
+        _metric(stg.sellers, L.STEP_DIM_SELLER, "in"),
+        _metric(D.seller_source(stg, BATCH), L.STEP_DIM_SELLER, "out"),
+        _metric(stg.products, L.STEP_DIM_PRODUCT, "in"),
+        _metric(w.product_source, L.STEP_DIM_PRODUCT, "out"),
+        _metric(stg.orders, L.STEP_FACT_ORDERS, "in"),
+        _metric(w.fact_orders, L.STEP_FACT_ORDERS, "out"),
+        _metric(FT.fact_orders_unresolved(stg, w.dim_customer, BATCH), L.STEP_FACT_ORDERS, "rejected"),
+        _metric(stg.order_items, L.STEP_FACT_ITEMS, "in"),
+        _metric(w.fact_items, L.STEP_FACT_ITEMS, "out"),
+        _metric(stg.order_reviews, L.STEP_FACT_REVIEWS, "in"),
+        _metric(w.fact_reviews, L.STEP_FACT_REVIEWS, "out"),
+    ]
+    agg = A.agg_daily_sales(w.fact_orders, w.dim_customer, w.fact_items, w.dim_product)
+    parts += [_metric(agg, L.STEP_AGG_DAILY, "in"), _metric(agg, L.STEP_AGG_DAILY, "out")]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _pivot_counts(rows: DataFrame, keys: list[str]) -> DataFrame:
+    def total(m):
+        return F.coalesce(F.sum(F.when(F.col("metric") == m, F.col("n"))), F.lit(0)).cast("long")
+
+    return rows.groupBy(*keys).agg(
+        total("in").alias("records_in"), total("out").alias("records_out"), total("rejected").alias("records_rejected")
+    )
+
+
+@query
+def step_counts(w: FixtureLoad) -> DataFrame:
+    """Step detail of a batch (counts part): what each step reads, writes and rejects."""
+    return _pivot_counts(step_count_rows(w), ["step_name"])
+
+
+@query
+def batch_totals(w: FixtureLoad) -> DataFrame:
+    """Batch totals: sums of the step counts of the batch (zero when absent)."""
+    return _pivot_counts(step_count_rows(w).withColumn("batch_id", F.lit(BATCH).cast("long")), ["batch_id"]).select(
+        "batch_id",
+        F.col("records_in").alias("total_records"),
+        F.col("records_out").alias("success_records"),
+        F.col("records_rejected").alias("rejected_records"),
+    )

@@ -23,14 +23,18 @@ AGG_DAILY_COLUMNS = [
 ]
 
 
-def items_by_order_category(fact_items: DataFrame, dim_product: DataFrame) -> DataFrame:
+def items_by_order_category(fact_items: DataFrame, dim_product: DataFrame, product_versions: str = "current") -> DataFrame:
     """Items of each (order, current-product category): count, price, freight.
 
     Reducing items to this grain before joining orders keeps the order join
     and the final group-by small; it is exact because every order attribute
     is the same for all items of the order.
+
+    ``product_versions="current"`` joins only current product rows, as the
+    source does (items keyed to an expired version drop out); ``"all"`` keeps
+    them under the category of the version they were loaded with.
     """
-    prod = dim_product.filter(F.col("is_current") == "Y").select("product_key", "category_name_en")
+    prod = current_products(dim_product, product_versions).select("product_key", "category_name_en")
     return (
         fact_items.select("order_id", "product_key", "price", "freight_value")
         .join(prod, "product_key")
@@ -43,15 +47,27 @@ def items_by_order_category(fact_items: DataFrame, dim_product: DataFrame) -> Da
     )
 
 
+def current_products(dim_product: DataFrame, product_versions: str = "current") -> DataFrame:
+    if product_versions == "current":
+        return dim_product.filter(F.col("is_current") == "Y")
+    if product_versions == "all":
+        return dim_product
+    raise ValueError(f"product_versions must be 'current' or 'all', not {product_versions!r}")
+
+
 def agg_daily_sales(
-    fact_orders: DataFrame, dim_customer: DataFrame, fact_items: DataFrame, dim_product: DataFrame
+    fact_orders: DataFrame,
+    dim_customer: DataFrame,
+    fact_items: DataFrame,
+    dim_product: DataFrame,
+    product_versions: str = "current",
 ) -> DataFrame:
     """AGG_DAILY_SALES: date x state x category x payment type x status.
 
     Item-grain semantics of the source are kept: the review average and the
     late count weight each order by its number of items in the group.
     """
-    per_cat = items_by_order_category(fact_items, dim_product)
+    per_cat = items_by_order_category(fact_items, dim_product, product_versions)
     fo = fact_orders.filter(F.col("order_date_key").isNotNull()).select(
         "order_id", "customer_key", "order_date_key", "payment_type_primary", "order_status", "review_score",
         "is_late_delivery",

@@ -236,7 +236,7 @@ def scd2_apply(
     batch_id: int | None,
     load_ts: str | None = None,
     start_key: int = 0,
-    buckets: int = DEFAULT_BUCKETS,
+    buckets: int | None = DEFAULT_BUCKETS,
 ) -> DataFrame:
     """Next version of a type-2 product dimension.
 
@@ -280,7 +280,7 @@ def scd1_upsert(
     columns: list[str],
     as_of_ts: str,
     start_key: int = 0,
-    buckets: int = DEFAULT_BUCKETS,
+    buckets: int | None = DEFAULT_BUCKETS,
 ) -> DataFrame:
     """MERGE: matched rows take the source values; new keys are inserted.
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 64
+DEFAULT_BUCKETS = None  # None: one bucket per shuffle partition of the session
 
 
 def assign_keys(
@@ -20,13 +20,17 @@ def assign_keys(
     business_key: list[str],
     key_name: str,
     start: int | Column = 0,
-    buckets: int = DEFAULT_BUCKETS,
+    buckets: int | None = DEFAULT_BUCKETS,
 ) -> DataFrame:
     """Number ``rows`` ``start + 1 .. start + n`` into a new column ``key_name``.
 
     ``rows`` must be unique on ``business_key`` for the numbers to be dense and
     stable (ties inside a key are numbered in an unspecified order).
     """
+    if buckets is None:
+        # Sized like every other shuffle of the job, so a bucket stays a
+        # normal-sized task at any data volume.
+        buckets = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bucket = F.pmod(F.xxhash64(*business_key), F.lit(buckets)).cast("int")
     b = rows.withColumn("_bucket", bucket)
     sizes = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))

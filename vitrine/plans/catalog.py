@@ -223,12 +223,12 @@ def dim_product_source(w: FixtureLoad) -> DataFrame:
     return w.product_source
 
 
-def _toys_history(w: FixtureLoad) -> DataFrame:
+def _toys_history(w: FixtureLoad, loaded_on: str = PRIOR_AS_OF) -> DataFrame:
     """Earlier version of the product dimension: every product filed under 'toys'."""
     h = (
         w.product_source.withColumn("category_name_en", F.lit("toys"))
         .withColumn("category_group", C.category_group(F.lit("toys")))
-        .withColumn("effective_from", F.lit(PRIOR_AS_OF).cast("date"))
+        .withColumn("effective_from", F.lit(loaded_on).cast("date"))
         .withColumn("effective_to", F.lit(None).cast("date"))
         .withColumn("is_current", F.lit("Y"))
         .withColumn("etl_batch_id", F.lit(0).cast("long"))
@@ -256,6 +256,15 @@ def dim_product_scd2(w: FixtureLoad) -> DataFrame:
     return out.select(*PRODUCT_OUT)
 
 
+@query
+def check_scd2_intervals(w: FixtureLoad) -> DataFrame:
+    """Interval check after a second category change on the same day."""
+    history = _toys_history(w, loaded_on=AS_OF)
+    changed = D.product_changes(history, w.stg, BATCH)
+    out = D.scd2_apply(history, w.product_source, changed, AS_OF, BATCH, LOAD_TS, start_key=1_000_000_000)
+    return Q.scd2_interval_errors(out).select("product_id", "effective_from", "effective_to", "problem")
+
+
 @query
 def category_group_counts(w: FixtureLoad) -> DataFrame:
     return w.product_source.groupBy("category_group").agg(F.count(F.lit(1)).alias("products"))

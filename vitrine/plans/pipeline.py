@@ -34,6 +34,7 @@ class RunOptions:
     customer_lookup: str = "customer_id"  # or "bridge"
     strict: bool = False  # drop rejected rows from the loads
     one_review_per_id: bool = False
+    product_versions: str = "current"  # or "all" (aggregate keeps items of expired product versions)
     error_limit: int = I.DEFAULT_ERROR_LIMIT
 
     def day(self) -> str:
@@ -163,7 +164,7 @@ class Pipeline:
         with self.log.step(batch_id, L.STEP_AGG_DAILY, attempt) as c:
             agg = A.agg_daily_sales(
                 self.wh.read("fact_orders"), self.wh.current("dim_customer"), self.wh.read("fact_order_items"),
-                self.wh.current("dim_product"),
+                self.wh.current("dim_product"), self.opts.product_versions,
             ).withColumn("etl_batch_id", F.lit(batch_id).cast("long"))
             n = self.wh.publish("agg_daily_sales", agg)
             c.records_in = c.records_out = n

@@ -9,7 +9,9 @@ from vitrine.functions import columns as C
 from vitrine.operators.aggregates import items_by_order_category
 
 
-def top_categories(fact_items: DataFrame, fact_orders: DataFrame, dim_product: DataFrame, n: int = 10) -> DataFrame:
+def top_categories(
+    fact_items: DataFrame, fact_orders: DataFrame, dim_product: DataFrame, n: int = 10, product_versions: str = "current"
+) -> DataFrame:
     """Top ``n`` current categories by item revenue: orders, revenue, average review.
 
     Items are reduced to (order, category) before meeting the orders, the
@@ -17,7 +19,7 @@ def top_categories(fact_items: DataFrame, fact_orders: DataFrame, dim_product: D
     the top-n is a ``TakeOrderedAndProject`` (no global sort). Ties on revenue
     are broken by category name so the cut is deterministic.
     """
-    per_cat = items_by_order_category(fact_items, dim_product)
+    per_cat = items_by_order_category(fact_items, dim_product, product_versions)
     fo = fact_orders.select("order_id", "review_score")
     j = per_cat.join(fo, "order_id")
     scored = F.when(F.col("review_score").isNotNull(), F.col("n_items")).otherwise(F.lit(0))

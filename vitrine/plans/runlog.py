@@ -163,6 +163,15 @@ class RunLog:
             raise
         self.end_step(step_id, "SUCCESS", counts)
 
+    def log_reject(self, batch_id: int, table: str, key: str | None, reason: str, raw: str | None = None) -> None:
+        """Append one reject row on its own, outside any step's write."""
+        self._append(
+            "stg_rejected_records",
+            schemas.REJECTS,
+            dict(source_table=table, source_key=None if key is None else key[:500], reject_reason=reason[:1000],
+                 raw_data=raw, etl_batch_id=batch_id),
+        )
+
     # --------------------------------------------------------- watermarks
 
     def watermarks(self) -> DataFrame:

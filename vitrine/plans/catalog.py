@@ -48,7 +48,10 @@ class FixtureLoad:
     """First load of the fixture batch into an empty warehouse (lazy)."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        from vitrine.session import checkpoint_dir
+
         self.spark = spark
+        checkpoint_dir(spark)  # the cluster's shared folder; a local one only when unset
         self.stg = FX.staging(spark, sf_dir)
 
     @cached_property
@@ -521,3 +524,30 @@ def batch_totals(w: FixtureLoad) -> DataFrame:
         F.col("records_out").alias("success_records"),
         F.col("records_rejected").alias("rejected_records"),
     )
+
+
+# --------------------------------------------------------------- CSV feeds
+
+
+def _csv_round_trip(w: FixtureLoad, feed_name: str) -> DataFrame:
+    """Export a staging view as a delimited feed, then parse it back with the ingest code."""
+    from vitrine.session import scratch_path
+    from vitrine.sources import ingest as I
+    from vitrine.sources.feeds import FEEDS
+
+    feed = FEEDS[feed_name]
+    src = getattr(w.stg, feed_name).select(*[c.name for c in feed.columns])
+    path = scratch_path(w.spark, f"feed-{feed_name}")
+    src.write.option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    tagged = I.tag_rows(I.read_feed_text(w.spark, feed, path), feed, BATCH, LOAD_TS)
+    return tagged.filter(F.col("_reject_reason").isNull()).select(*[c.name for c in feed.columns], "etl_batch_id")
+
+
+@query
+def ingest_orders_csv(w: FixtureLoad) -> DataFrame:
+    return _csv_round_trip(w, "orders")
+
+
+@query
+def ingest_reviews_csv(w: FixtureLoad) -> DataFrame:
+    return _csv_round_trip(w, "order_reviews")

@@ -179,3 +179,16 @@ def tag_staging_batch(df: DataFrame, batch_id: int) -> DataFrame:
 
 def union_all(dfs: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, dfs)
+
+
+def export_feeds(stg: Staging, feeds_dir: str) -> None:
+    """Write staging tables out as the nine delimited feeds (header, quoted)."""
+    for feed in LOAD_ORDER:
+        df = getattr(stg, feed.name).select(*[c.name for c in feed.columns])
+        (
+            df.write.mode("overwrite")
+            .option("header", True)
+            .option("quote", '"')
+            .option("escape", '"')
+            .csv(f"{feeds_dir.rstrip('/')}/{feed.file_name}")
+        )

@@ -6,9 +6,10 @@ is one job (or report) on top of it. Surrogate keys and load timestamps are
 left out of the outputs so results can be compared on business keys.
 
 Scenarios that need a prior warehouse state (upserts, SCD2, incremental
-loads) derive that state from the same tables: e.g. "the even-numbered half of
-the customers was loaded by an earlier batch with an old city". The work of
-every query still covers the whole input tables.
+loads) derive that state from the same tables as an earlier load would have
+left it: customers of two market segments (then with an old city), sellers of
+one region, orders purchased before 1998 with their items and reviews. The
+work of every query still covers the whole input tables.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.functions import columns as C
@@ -39,11 +40,6 @@ def _empty(spark: SparkSession, ddl: str) -> DataFrame:
     return spark.createDataFrame([], ddl)
 
 
-def _numeric_id(col: str, prefix_len: int = 0):
-    text = F.col(col) if prefix_len == 0 else F.substring(col, prefix_len + 1, 1 << 30)
-    return text.cast("long")
-
-
 class FixtureLoad:
     """First load of the fixture batch into an empty warehouse (lazy)."""
 
@@ -185,10 +181,16 @@ DIM_CUSTOMER_OUT = [
 ]
 
 
-def _prior_dimension(src: DataFrame, key: str, id_col: str, prefix_len: int, ddl_cols: list[str]) -> DataFrame:
-    """Earlier version of a dimension: the even-numbered half, with an old city."""
+# Earlier loads used to build prior warehouse states (fixed scenario values).
+EARLIER_CUSTOMER_CITIES = ["Building Do Sul", "Automobile Do Sul"]  # two market segments
+EARLIER_SELLER_REGION = "Southeast"
+EARLIER_ORDERS_BEFORE = "1998-01-01"  # orders purchased before this day
+
+
+def _prior_dimension(src: DataFrame, earlier: Column, key: str, id_col: str, ddl_cols: list[str]) -> DataFrame:
+    """Earlier version of a dimension: the rows an earlier load had, then with an old city."""
     prior = (
-        src.filter(_numeric_id(id_col, prefix_len) % 2 == 0)
+        src.filter(earlier)
         .withColumn("city", F.lit("Old"))
         .withColumn("etl_batch_id", F.lit(0).cast("long"))
         .withColumn("is_active", F.lit("Y"))
@@ -200,7 +202,8 @@ def _prior_dimension(src: DataFrame, key: str, id_col: str, prefix_len: int, ddl
 
 @query
 def dim_customer_upsert(w: FixtureLoad) -> DataFrame:
-    target = _prior_dimension(w.customer_source, "customer_key", "customer_unique_id", 1, D.CUSTOMER_COLUMNS)
+    earlier = F.col("city").isin(*EARLIER_CUSTOMER_CITIES)
+    target = _prior_dimension(w.customer_source, earlier, "customer_key", "customer_unique_id", D.CUSTOMER_COLUMNS)
     out = D.scd1_upsert(
         target, w.customer_source, "customer_unique_id", "customer_key", D.CUSTOMER_COLUMNS, LOAD_TS,
         start_key=1_000_000_000,
@@ -216,7 +219,8 @@ def dim_seller_source(w: FixtureLoad) -> DataFrame:
 @query
 def dim_seller_upsert(w: FixtureLoad) -> DataFrame:
     src = D.seller_source(w.stg, BATCH)
-    target = _prior_dimension(src, "seller_key", "seller_id", 0, D.SELLER_COLUMNS)
+    earlier = F.col("region") == EARLIER_SELLER_REGION
+    target = _prior_dimension(src, earlier, "seller_key", "seller_id", D.SELLER_COLUMNS)
     out = D.scd1_upsert(target, src, "seller_id", "seller_key", D.SELLER_COLUMNS, LOAD_TS, start_key=1_000_000_000)
     return out.select(*[c for c in D.SELLER_COLUMNS if c not in ("seller_key", "etl_insert_dt", "etl_update_dt")], "merge_action")
 
@@ -335,14 +339,15 @@ def fact_orders_unresolved(w: FixtureLoad) -> DataFrame:
     return FT.fact_orders_unresolved(w.stg, w.dim_customer, BATCH)
 
 
-def _loaded_thirds(df: DataFrame, id_col: str, prefix_len: int = 0) -> DataFrame:
-    """Rows an earlier batch already loaded: every third id."""
-    return df.filter(_numeric_id(id_col, prefix_len) % 3 == 0)
+def _earlier_orders(w: FixtureLoad) -> DataFrame:
+    """Order ids an earlier batch already loaded: those purchased before the cut-off day."""
+    day = C.parse_day("order_purchase_timestamp")
+    return w.stg.orders.filter(day < F.lit(EARLIER_ORDERS_BEFORE).cast("date")).select("order_id")
 
 
 @query
 def fact_orders_incremental(w: FixtureLoad) -> DataFrame:
-    loaded = _loaded_thirds(w.stg.orders.select("order_id"), "order_id")
+    loaded = _earlier_orders(w)
     return FT.fact_orders(w.stg, w.dim_customer, BATCH, loaded=loaded).select(*FACT_ORDER_OUT)
 
 
@@ -369,7 +374,7 @@ def fact_order_items(w: FixtureLoad) -> DataFrame:
 
 @query
 def fact_order_items_incremental(w: FixtureLoad) -> DataFrame:
-    loaded = _loaded_thirds(w.stg.order_items.select("order_id", "order_item_id"), "order_id")
+    loaded = w.stg.order_items.join(_earlier_orders(w), "order_id", "left_semi").select("order_id", "order_item_id")
     return FT.fact_order_items(
         w.stg, w.dim_customer, w.dim_product, w.dim_seller, BATCH, loaded=loaded
     ).select(*FACT_ITEM_OUT)
@@ -391,7 +396,8 @@ def sentiment_counts(w: FixtureLoad) -> DataFrame:
 
 @query
 def fact_reviews_incremental(w: FixtureLoad) -> DataFrame:
-    loaded = _loaded_thirds(w.stg.order_reviews.select("review_id"), "review_id", 1)
+    # reviews of the earlier orders were loaded with them
+    loaded = w.stg.order_reviews.join(_earlier_orders(w), "order_id", "left_semi").select("review_id")
     return FT.fact_reviews(w.stg, BATCH, loaded=loaded)
 
 

@@ -37,7 +37,9 @@ PRIOR_AS_OF = "2024-01-01"
 
 
 def _empty(spark: SparkSession, ddl: str) -> DataFrame:
-    return spark.createDataFrame([], ddl)
+    from vitrine.plans.warehouse import empty_table
+
+    return empty_table(spark, ddl)
 
 
 class FixtureLoad:
@@ -54,21 +56,27 @@ class FixtureLoad:
     def customer_source(self) -> DataFrame:
         return D.customer_source(self.stg, BATCH)
 
-    @staticmethod
-    def _table(df: DataFrame) -> DataFrame:
-        """A loaded dimension: written once (reliable checkpoint in the shared
-        checkpoint folder) and read back by every later job, as the pipeline
-        reads its dimension tables; no lineage is recomputed per use."""
-        return df.checkpoint(eager=True)
+    def _table(self, df: DataFrame, name: str) -> DataFrame:
+        """A loaded dimension: written once as Parquet under the shared
+        checkpoint folder and read back by every later job, as the pipeline
+        reads its dimension tables. The write cuts the lineage (a lost
+        executor re-reads files instead of recomputing the dimension) and the
+        later joins scan a columnar table."""
+        from vitrine.session import scratch_path
+
+        path = scratch_path(self.spark, name)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     @cached_property
     def dim_customer(self) -> DataFrame:
-        return self._table(assign_keys(self.customer_source, ["customer_unique_id"], "customer_key"))
+        return self._table(assign_keys(self.customer_source, ["customer_unique_id"], "customer_key"), "dim_customer")
 
     @cached_property
     def dim_seller(self) -> DataFrame:
         return self._table(
-            assign_keys(D.seller_source(self.stg, BATCH), ["seller_id", "zip_code_prefix"], "seller_key")
+            assign_keys(D.seller_source(self.stg, BATCH), ["seller_id", "zip_code_prefix"], "seller_key"),
+            "dim_seller",
         )
 
     @cached_property
@@ -79,7 +87,8 @@ class FixtureLoad:
     def dim_product(self) -> DataFrame:
         empty = _empty(self.spark, schemas.DIM_PRODUCT)
         return self._table(
-            D.scd2_apply(empty, self.product_source, empty.select("product_id"), AS_OF, BATCH, LOAD_TS)
+            D.scd2_apply(empty, self.product_source, empty.select("product_id"), AS_OF, BATCH, LOAD_TS),
+            "dim_product",
         )
 
     @cached_property

@@ -32,6 +32,14 @@ from vitrine.plans import schemas
 _VERSION = re.compile(r"^v=(\d+)$")
 
 
+def empty_table(spark: SparkSession, ddl: str) -> DataFrame:
+    """An empty DataFrame of a DDL schema, planned in the JVM (no Python RDD)."""
+    from pyspark.sql.types import _parse_datatype_string
+
+    schema = _parse_datatype_string(ddl)
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 class FileSystem:
     """Minimal folder operations on the storage behind ``spark``."""
 
@@ -101,7 +109,7 @@ class Warehouse:
         if not self.exists(table):
             if ddl is None:
                 raise FileNotFoundError(self.path(table))
-            return self.spark.createDataFrame([], ddl)
+            return empty_table(self.spark, ddl)
         reader = self.spark.read
         if ddl is not None:
             reader = reader.schema(ddl)
@@ -134,7 +142,7 @@ class Warehouse:
         if not v:
             if ddl is None:
                 raise FileNotFoundError(self.path(table))
-            return self.spark.createDataFrame([], ddl)
+            return empty_table(self.spark, ddl)
         reader = self.spark.read if ddl is None else self.spark.read.schema(ddl)
         return reader.parquet(f"{self.path(table)}/v={v[-1]:06d}")
 

@@ -222,10 +222,14 @@ def stg_geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _audit(df, "customer.parquet")
 
 
+def literal_rows(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
+    """A small constant table built in the JVM (no Python worker, no RDD)."""
+    structs = [F.struct(*[F.lit(v).alias(n) for v, n in zip(r, names)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def stg_category_translation(spark: SparkSession, sf_dir: str | None = None) -> DataFrame:
-    df = spark.createDataFrame(
-        FIXTURE_TRANSLATION, "product_category_name string, product_category_name_english string"
-    )
+    df = literal_rows(spark, FIXTURE_TRANSLATION, ["product_category_name", "product_category_name_english"])
     return _audit(df, "translation.inline")
 
 

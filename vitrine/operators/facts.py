@@ -68,6 +68,24 @@ def _batch(batch_id: int | None) -> Column:
     return F.lit(batch_id).cast("long") if batch_id is not None else F.col("etl_batch_id")
 
 
+# ------------------------------------------------------------ idempotency
+
+
+def not_yet_loaded(rows: DataFrame, loaded: DataFrame | None, keys: list[str]) -> DataFrame:
+    """``rows`` whose key is not in ``loaded`` (the NOT EXISTS guard of a re-run).
+
+    The loaded history is first cut down to this batch's keys with a semi
+    join: when the batch's key set is small (a daily batch, a re-run), adaptive
+    execution broadcasts it and the history is only scanned for one column,
+    never shuffled. The anti join then meets a table no larger than the batch.
+    """
+    if loaded is None:
+        return rows
+    batch_keys = rows.select(*keys).distinct()
+    seen = loaded.select(*keys).join(batch_keys, keys, "left_semi")
+    return rows.join(seen, keys, "left_anti")
+
+
 # ------------------------------------------------------------------ roll-ups
 
 
@@ -135,11 +153,7 @@ def customer_lookup_rows(
 
 
 def _orders_to_load(stg: Staging, batch_id: int | None, loaded: DataFrame | None) -> DataFrame:
-    o = in_batch(stg.orders, batch_id)
-    if loaded is not None:
-        done = loaded.select(F.col("order_id").alias("_done"))
-        o = o.join(done, o["order_id"] == done["_done"], "left_anti")
-    return o
+    return not_yet_loaded(in_batch(stg.orders, batch_id), loaded, ["order_id"])
 
 
 def fact_orders(
@@ -231,12 +245,7 @@ def fact_order_items(
     version. Orders are joined to the customer first (the smaller side), so
     the item stream is shuffled once per lookup key: order, product, seller.
     """
-    i = in_batch(stg.order_items, batch_id)
-    if loaded is not None:
-        done = loaded.select(F.col("order_id").alias("_o"), F.col("order_item_id").alias("_n"))
-        i = i.join(
-            done, (i["order_id"] == done["_o"]) & (i["order_item_id"] == done["_n"]), "left_anti"
-        )
+    i = not_yet_loaded(in_batch(stg.order_items, batch_id), loaded, ["order_id", "order_item_id"])
     o = in_batch(stg.orders, batch_id).select(
         "order_id", "customer_id", C.to_date_key("order_purchase_timestamp").alias("order_date_key")
     )
@@ -277,9 +286,7 @@ def fact_reviews(
     loaded unless ``one_per_key`` keeps only the greatest row per id.
     """
     r = in_batch(stg.order_reviews, batch_id).filter(F.col("review_score").between(1, 5))
-    if loaded is not None:
-        done = loaded.select(F.col("review_id").alias("_done"))
-        r = r.join(done, r["review_id"] == done["_done"], "left_anti")
+    r = not_yet_loaded(r, loaded, ["review_id"])
     if one_per_key:
         cols = [c for c in r.columns if c != "review_id"]
         r = r.groupBy("review_id").agg(F.max(F.struct(*cols)).alias("_r")).select("review_id", "_r.*")

@@ -116,3 +116,14 @@ def test_dq_rules(spark):
     ]
     # a NULL score is neither rejected nor loaded
     assert [r.review_id for r in FT.fact_reviews(stg, 1).collect()] == []
+
+
+def test_strict_mode_drops_rejected_keys(spark):
+    orders = _rows(spark, "orders", [
+        ("o1", "c1", "delivered", "2018-01-01 00:00:00", None, None, None, None),
+        ("o2", "c1", "weird", "2018-01-01 00:00:00", None, None, None, None),
+    ])
+    stg = _empty_stg(spark, orders=orders)
+    rejects = Q.validate_staging(stg, 1)
+    kept = Q.without_rejects(stg.orders, rejects, "STG_ORDERS", F.col("order_id"))
+    assert [r.order_id for r in kept.collect()] == ["o1"]

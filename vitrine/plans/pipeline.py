@@ -35,6 +35,7 @@ class RunOptions:
     strict: bool = False  # drop rejected rows from the loads
     one_review_per_id: bool = False
     product_versions: str = "current"  # or "all" (aggregate keeps items of expired product versions)
+    keep_versions: int = 5  # published snapshot versions kept per table (older ones are deleted)
     error_limit: int = I.DEFAULT_ERROR_LIMIT
 
     def day(self) -> str:
@@ -171,6 +172,11 @@ class Pipeline:
 
     # ----------------------------------------------------------------- runs
 
+    def _prune(self) -> None:
+        if self.opts.keep_versions > 0:
+            for table in ("dim_customer", "dim_seller", "dim_product", "agg_daily_sales", "etl_watermark"):
+                self.wh.prune(table, self.opts.keep_versions)
+
     def run_all(self, batch_id: int, attempt: int = 1) -> None:
         """All transform steps of one batch, in dependency order."""
         stg = I.read_staging(self.wh, batch_id)
@@ -183,6 +189,7 @@ class Pipeline:
         self.load_fact_order_items(stg, batch_id, attempt)
         self.load_fact_reviews(stg, batch_id, attempt)
         self.refresh_agg_daily_sales(batch_id, attempt)
+        self._prune()
 
     def run_pipeline(
         self, triggered_by: str = "SCHEDULER", feeds_dir: str | None = None, staging: Staging | None = None

@@ -8,6 +8,8 @@ data unless ``strict`` filtering is asked for (see ``without_rejects``).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -25,73 +27,28 @@ def in_batch(df: DataFrame, batch_id: int | None) -> DataFrame:
     return df if batch_id is None else df.filter(F.col("etl_batch_id") == F.lit(batch_id).cast("long"))
 
 
-def reject_rows(
-    df: DataFrame, cond: Column, table: str, key: Column, reason: str | Column, batch_id: int | None
-) -> DataFrame:
-    batch = F.lit(batch_id).cast("long") if batch_id is not None else F.col("etl_batch_id")
-    reason_col = reason if isinstance(reason, Column) else F.lit(reason)
-    return df.filter(cond).select(
-        F.lit(table).alias("source_table"),
-        key.cast("string").alias("source_key"),
-        F.substring(reason_col, 1, 1000).alias("reject_reason"),
-        F.lit(None).cast("string").alias("raw_data"),
-        batch.alias("etl_batch_id"),
-    )
-
-
-def null_order_ids(stg: Staging, batch_id: int | None = None) -> DataFrame:
-    o = in_batch(stg.orders, batch_id)
-    return reject_rows(
-        o, F.col("order_id").isNull(), "STG_ORDERS", F.lit(L.NULL_KEY_TEXT), L.REJECT_NULL_ORDER_ID, batch_id
-    )
-
-
-def bad_statuses(stg: Staging, batch_id: int | None = None) -> DataFrame:
-    # NULL status is not rejected (NOT IN on NULL is unknown), as in the source.
-    o = in_batch(stg.orders, batch_id)
-    cond = ~F.col("order_status").isin(*L.VALID_ORDER_STATUSES)
-    return reject_rows(o, cond, "STG_ORDERS", F.col("order_id"), L.REJECT_BAD_STATUS, batch_id)
-
-
 def item_key() -> Column:
     return C.text_concat("order_id", F.lit("-"), "order_item_id")
 
 
-def negative_amounts(stg: Staging, batch_id: int | None = None) -> DataFrame:
-    i = in_batch(stg.order_items, batch_id)
-    cond = (C.parse_amount("price") < 0) | (C.parse_amount("freight_value") < 0)
-    return reject_rows(i, cond, "STG_ORDER_ITEMS", item_key(), L.REJECT_NEGATIVE_AMOUNT, batch_id)
-
+def _unparseable(text: str, parsed: Column) -> Column:
+    return F.col(text).isNotNull() & parsed.isNull()
 
-def bad_scores(stg: Staging, batch_id: int | None = None) -> DataFrame:
-    # NULL score is not rejected, but the review load skips it (BETWEEN is unknown).
-    r = in_batch(stg.order_reviews, batch_id)
-    cond = ~F.col("review_score").between(1, 5)
-    return reject_rows(r, cond, "STG_ORDER_REVIEWS", F.col("review_id"), L.REJECT_BAD_SCORE, batch_id)
 
+def _any(conds: list[Column]) -> Column:
+    return reduce(lambda a, b: a | b, conds)
 
-def _unparseable(text: str, parsed: Column) -> Column:
-    return F.col(text).isNotNull() & parsed.isNull()
 
+@dataclass(frozen=True)
+class Check:
+    """One data-quality rule: rows of ``feed`` where ``cond`` holds are rejected."""
 
-def non_numeric_amounts(stg: Staging, batch_id: int | None = None) -> DataFrame:
-    """Amount text that is not a number (e.g. '1,5'): the source load would abort."""
-    i = in_batch(stg.order_items, batch_id)
-    bad_i = _unparseable("price", C.parse_amount("price")) | _unparseable(
-        "freight_value", C.parse_amount("freight_value")
-    )
-    p = in_batch(stg.order_payments, batch_id)
-    bad_p = _unparseable("payment_value", C.parse_amount("payment_value"))
-    return reject_rows(i, bad_i, "STG_ORDER_ITEMS", item_key(), L.REJECT_NON_NUMERIC, batch_id).unionByName(
-        reject_rows(
-            p,
-            bad_p,
-            "STG_ORDER_PAYMENTS",
-            C.text_concat("order_id", F.lit("-"), "payment_sequential"),
-            L.REJECT_NON_NUMERIC,
-            batch_id,
-        )
-    )
+    feed: str  # Staging attribute
+    table: str  # reject table label
+    reason: str
+    cond: Callable[[], Column]
+    key: Callable[[], Column]
+    extra: bool = False  # not one of the source pipeline's four rules
 
 
 ORDER_DATE_COLUMNS = [
@@ -100,29 +57,116 @@ ORDER_DATE_COLUMNS = [
     "order_delivered_customer_date",
     "order_estimated_delivery_date",
 ]
+REVIEW_DATE_COLUMNS = ["review_creation_date", "review_answer_timestamp"]
+
+# NULL status and NULL score are not rejected (NOT IN / NOT BETWEEN on NULL is
+# unknown), as in the source; the review load still skips a NULL score.
+NULL_ORDER_ID = Check(
+    "orders", "STG_ORDERS", L.REJECT_NULL_ORDER_ID, lambda: F.col("order_id").isNull(), lambda: F.lit(L.NULL_KEY_TEXT)
+)
+BAD_STATUS = Check(
+    "orders", "STG_ORDERS", L.REJECT_BAD_STATUS,
+    lambda: ~F.col("order_status").isin(*L.VALID_ORDER_STATUSES), lambda: F.col("order_id"),
+)
+NEGATIVE_AMOUNT = Check(
+    "order_items", "STG_ORDER_ITEMS", L.REJECT_NEGATIVE_AMOUNT,
+    lambda: (C.parse_amount("price") < 0) | (C.parse_amount("freight_value") < 0), item_key,
+)
+BAD_SCORE = Check(
+    "order_reviews", "STG_ORDER_REVIEWS", L.REJECT_BAD_SCORE,
+    lambda: ~F.col("review_score").between(1, 5), lambda: F.col("review_id"),
+)
+# Rows the source load would have aborted on: text that is not a number or a date.
+NON_NUMERIC_ITEM = Check(
+    "order_items", "STG_ORDER_ITEMS", L.REJECT_NON_NUMERIC,
+    lambda: _any([_unparseable(c, C.parse_amount(c)) for c in ("price", "freight_value")]), item_key, True,
+)
+NON_NUMERIC_PAYMENT = Check(
+    "order_payments", "STG_ORDER_PAYMENTS", L.REJECT_NON_NUMERIC,
+    lambda: _unparseable("payment_value", C.parse_amount("payment_value")),
+    lambda: C.text_concat("order_id", F.lit("-"), "payment_sequential"), True,
+)
+BAD_ORDER_DATE = Check(
+    "orders", "STG_ORDERS", L.REJECT_BAD_DATE,
+    lambda: _any([_unparseable(c, C.parse_day(c)) for c in ORDER_DATE_COLUMNS]), lambda: F.col("order_id"), True,
+)
+BAD_REVIEW_DATE = Check(
+    "order_reviews", "STG_ORDER_REVIEWS", L.REJECT_BAD_DATE,
+    lambda: _any([_unparseable(c, C.parse_day(c)) for c in REVIEW_DATE_COLUMNS]), lambda: F.col("review_id"), True,
+)
+CHECKS = [
+    NULL_ORDER_ID, BAD_STATUS, NEGATIVE_AMOUNT, BAD_SCORE,
+    NON_NUMERIC_ITEM, NON_NUMERIC_PAYMENT, BAD_ORDER_DATE, BAD_REVIEW_DATE,
+]
 
 
-def bad_dates(stg: Staging, batch_id: int | None = None) -> DataFrame:
-    """Date text that does not parse: the source KPI expressions would abort."""
-    o = in_batch(stg.orders, batch_id)
-    cond = reduce(lambda a, b: a | b, [_unparseable(c, C.parse_day(c)) for c in ORDER_DATE_COLUMNS])
-    r = in_batch(stg.order_reviews, batch_id)
-    rcond = _unparseable("review_creation_date", C.parse_day("review_creation_date")) | _unparseable(
-        "review_answer_timestamp", C.parse_day("review_answer_timestamp")
-    )
-    return reject_rows(o, cond, "STG_ORDERS", F.col("order_id"), L.REJECT_BAD_DATE, batch_id).unionByName(
-        reject_rows(r, rcond, "STG_ORDER_REVIEWS", F.col("review_id"), L.REJECT_BAD_DATE, batch_id)
-    )
+def run_checks(stg: Staging, checks: list[Check], batch_id: int | None = None) -> DataFrame:
+    """Reject rows of all ``checks``, reading each staging table once.
+
+    Every row of a table carries an array with one (hit, key, reason) entry
+    per rule of that table; only the hits are exploded into reject rows, so
+    adding rules does not add scans.
+    """
+    batch = F.lit(batch_id).cast("long") if batch_id is not None else F.col("etl_batch_id")
+    by_feed: dict[str, list[Check]] = {}
+    for c in checks:
+        by_feed.setdefault(c.feed, []).append(c)
+    parts = []
+    for feed, rules in by_feed.items():
+        df = in_batch(getattr(stg, feed), batch_id)
+        entries = F.array(
+            *[
+                F.struct(
+                    r.cond().alias("hit"),
+                    F.lit(r.table).alias("source_table"),
+                    r.key().cast("string").alias("source_key"),
+                    F.lit(r.reason).alias("reject_reason"),
+                )
+                for r in rules
+            ]
+        )
+        hits = df.select(batch.alias("etl_batch_id"), F.explode(F.filter(entries, lambda e: e["hit"])).alias("r"))
+        parts.append(
+            hits.select(
+                "r.source_table",
+                "r.source_key",
+                F.substring("r.reject_reason", 1, 1000).alias("reject_reason"),
+                F.lit(None).cast("string").alias("raw_data"),
+                "etl_batch_id",
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+def null_order_ids(stg: Staging, batch_id: int | None = None) -> DataFrame:
+    return run_checks(stg, [NULL_ORDER_ID], batch_id)
+
 
+def bad_statuses(stg: Staging, batch_id: int | None = None) -> DataFrame:
+    return run_checks(stg, [BAD_STATUS], batch_id)
 
-SOURCE_CHECKS = [null_order_ids, bad_statuses, negative_amounts, bad_scores]
-EXTRA_CHECKS = [non_numeric_amounts, bad_dates]
+
+def negative_amounts(stg: Staging, batch_id: int | None = None) -> DataFrame:
+    return run_checks(stg, [NEGATIVE_AMOUNT], batch_id)
+
+
+def bad_scores(stg: Staging, batch_id: int | None = None) -> DataFrame:
+    return run_checks(stg, [BAD_SCORE], batch_id)
+
+
+def non_numeric_amounts(stg: Staging, batch_id: int | None = None) -> DataFrame:
+    """Amount text that is not a number (e.g. '1,5')."""
+    return run_checks(stg, [NON_NUMERIC_ITEM, NON_NUMERIC_PAYMENT], batch_id)
+
+
+def bad_dates(stg: Staging, batch_id: int | None = None) -> DataFrame:
+    """Date text that does not parse."""
+    return run_checks(stg, [BAD_ORDER_DATE, BAD_REVIEW_DATE], batch_id)
 
 
 def validate_staging(stg: Staging, batch_id: int | None = None, extra: bool = True) -> DataFrame:
-    """All reject rows of a batch: the four source checks, plus parse checks."""
-    checks = SOURCE_CHECKS + (EXTRA_CHECKS if extra else [])
-    return reduce(DataFrame.unionByName, [chk(stg, batch_id) for chk in checks])
+    """All reject rows of a batch (the four source rules, plus parse rules): one scan per table."""
+    return run_checks(stg, [c for c in CHECKS if extra or not c.extra], batch_id)
 
 
 def reject_summary(rejects: DataFrame) -> DataFrame:

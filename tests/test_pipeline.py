@@ -89,3 +89,30 @@ def test_rerun_without_staging_fails(spark, tmp_root):
     p = Pipeline(spark, tmp_root, RunOptions(as_of=FX.FIXTURE_AS_OF))
     with pytest.raises(KeyError):
         p.rerun_batch(42)
+
+
+def test_second_batch_keeps_keys_and_versions(spark, tmp_root):
+    """Batch 2 (larger extract, overlapping ids): existing keys never change, new keys follow."""
+    p = Pipeline(spark, tmp_root, RunOptions(as_of=FX.FIXTURE_AS_OF))
+    p.run_pipeline("TEST", staging=FX.staging(spark, SF_SMALL))
+    cust1 = {r.customer_unique_id: r.customer_key for r in p.wh.current("dim_customer").collect()}
+    prod1 = {r.product_key: r for r in p.wh.current("dim_product").collect()}
+    orders1 = p.wh.read("fact_orders").count()
+
+    p2 = Pipeline(spark, tmp_root, RunOptions(as_of="2024-07-01"))
+    b2 = p2.run_pipeline("TEST", staging=FX.staging(spark, "/root/testdata/sf0.01"))
+    cust2 = {r.customer_unique_id: r.customer_key for r in p2.wh.current("dim_customer").collect()}
+    assert all(cust2[u] == k for u, k in cust1.items())  # stable keys
+    new_keys = sorted(k for u, k in cust2.items() if u not in cust1)
+    assert new_keys == list(range(max(cust1.values()) + 1, max(cust1.values()) + 1 + len(new_keys)))  # dense
+    dp = p2.wh.current("dim_product")
+    # every earlier version is still there (possibly closed), one current row per product
+    assert set(prod1) <= {r.product_key for r in dp.collect()}
+    assert dp.filter("is_current = 'Y'").groupBy("product_id").count().filter("count > 1").count() == 0
+    from vitrine.operators.quality import scd2_interval_errors
+
+    assert scd2_interval_errors(dp).count() == 0
+    # facts: batch 2 adds only orders not loaded before
+    fo = p2.wh.read("fact_orders")
+    assert fo.groupBy("order_id").count().filter("count > 1").count() == 0
+    assert fo.filter(f"etl_batch_id = {b2}").count() == fo.count() - orders1

@@ -316,7 +316,3 @@ def scd1_upsert(
         merged.filter(F.col("merge_action") == "INSERT").drop(key_name), [business_key], key_name, start_key, buckets
     )
     return old.unionByName(new.select(*columns, "merge_action"))
-
-
-def empty_like(df_columns: list[str], schema_source: DataFrame) -> DataFrame:
-    return schema_source.select(*df_columns).limit(0)

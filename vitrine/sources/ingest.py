@@ -15,8 +15,6 @@ as the permissive reader does; the header line is skipped. More rejects than
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -177,10 +175,6 @@ def tag_staging_batch(df: DataFrame, batch_id: int) -> DataFrame:
     )
 
 
-def union_all(dfs: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, dfs)
-
-
 def export_feeds(stg: Staging, feeds_dir: str) -> None:
     """Write staging tables out as the nine delimited feeds (header, quoted)."""
     for feed in LOAD_ORDER:

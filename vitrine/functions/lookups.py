@@ -112,6 +112,8 @@ CALENDAR_END = "2030-12-31"
 # --- FIXED VALUES: pipeline and step names used in the run log ---
 PIPELINE_NAME = "OLIST_ECOMMERCE_PIPELINE"
 BATCH_NAME_PREFIX = "OLIST_ETL_"
+HOURLY_PIPELINE_NAME = "HOURLY_AGG"
+HOURLY_BATCH_PREFIX = "HOURLY_AGG_"  # followed by the start time as HHMMSS
 STEP_TAG_STAGING = "TAG_STAGING_BATCH"
 STEP_DQ = "DQ_VALIDATE_STAGING"
 STEP_DIM_CUSTOMER = "LOAD_DIM_CUSTOMER"

@@ -235,7 +235,9 @@ class Pipeline:
 
     def refresh_hourly(self, triggered_by: str = "SCHEDULER") -> int:
         """The hourly job: its own batch row around an aggregate refresh."""
-        batch_id = self.log.start_batch(f"OLIST_HOURLY_AGG_{dt.datetime.now():%Y%m%d_%H%M%S}", triggered_by=triggered_by)
+        batch_id = self.log.start_batch(
+            f"{L.HOURLY_BATCH_PREFIX}{dt.datetime.now():%H%M%S}", L.HOURLY_PIPELINE_NAME, triggered_by
+        )
         try:
             self.refresh_agg_daily_sales(batch_id)
         except Exception as e:

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -55,14 +56,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
             spark.conf.set("spark.checkpoint.dir", d)
         except Exception:  # a core (non-SQL) setting may be read-only at runtime
             pass
-    spark.sparkContext.setCheckpointDir(d)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(d)
     return d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder for intermediate tables under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/vitrine/{name}-{os.getpid()}-{next(_counter)}"
+    return f"{base}/vitrine/{name}-{os.getpid()}-{next(_counter)}-{uuid.uuid4().hex[:12]}"
 
 
 def _count():

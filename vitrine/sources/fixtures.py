@@ -54,8 +54,27 @@ TABLE_SCHEMAS = {
 }
 
 
+TABLE_KEYS = {
+    "orders": "o_orderkey",
+    "lineitem": "l_orderkey",
+    "customer": "c_custkey",
+    "supplier": "s_suppkey",
+    "part": "p_partkey",
+    "events": "event_id",
+}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+    """One driver table. Each is a single Parquet row group, which a scan cannot
+    split: every stage fed by it (including broadcast-join chains) would run as
+    one task. Such a scan is hash-partitioned by the table's key over the
+    session's parallelism right away (deterministic, so a retried task sees the
+    same rows). Inputs that already have enough splits are left alone."""
+    df = spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+    parallelism = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < parallelism:
+        df = df.repartition(parallelism, TABLE_KEYS[name])
+    return df
 
 
 def _audit(df: DataFrame, source_file: str) -> DataFrame:

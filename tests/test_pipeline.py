@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from vitrine.functions import lookups as L
+
 from conftest import SF_SMALL
 from vitrine.plans.pipeline import Pipeline, RunOptions
 from vitrine.sources import fixtures as FX
@@ -80,7 +82,7 @@ def test_full_run_rerun_and_reports(spark, tmp_root):
     # watermarks were seeded for all nine feeds and moved for loaded ones
     wm = {r["entity_name"]: r for r in p.log.watermarks().collect()}
     assert len(wm) == 9 and wm["ORDERS"]["last_batch_id"] == b and wm["GEOLOCATION"]["last_batch_id"] is None
-    assert p.log.get_watermark("OLIST_CSV", "NOPE").year == 2015
+    assert p.log.get_watermark(L.WATERMARK_SOURCE, "NOPE").year == 2015
 
 
 def test_rerun_without_staging_fails(spark, tmp_root):

@@ -71,8 +71,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     session's parallelism right away (deterministic, so a retried task sees the
     same rows). Inputs that already have enough splits are left alone."""
     df = spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
-    parallelism = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < parallelism:
+    try:
+        parallelism = spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a remote session): leave the scan as is
+        return df
+    if splits < parallelism:
         df = df.repartition(parallelism, TABLE_KEYS[name])
     return df
 

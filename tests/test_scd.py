@@ -77,3 +77,30 @@ def test_scd2_versions(spark):
     problems = Q.scd2_interval_errors(h4).collect()
     assert [p.problem for p in problems] == ["EFFECTIVE_TO before EFFECTIVE_FROM"]
     assert h4.filter("is_current = 'Y' AND product_id = 'p2'").first().category_group == "Home & Furniture"
+
+
+def test_aggregate_product_versions_option(spark):
+    from decimal import Decimal
+
+    from vitrine.operators import aggregates as A
+
+    dim_product = spark.createDataFrame(
+        [(1, "p1", "toys", "N"), (2, "p1", "housewares", "Y")],
+        "product_key bigint, product_id string, category_name_en string, is_current string",
+    )
+    items = spark.createDataFrame(
+        [("o1", 1, Decimal("10.00"), Decimal("1.00")), ("o2", 2, Decimal("20.00"), Decimal("2.00"))],
+        "order_id string, product_key bigint, price decimal(12,2), freight_value decimal(12,2)",
+    )
+    orders = spark.createDataFrame(
+        [("o1", 7, 20240101, "boleto", "DELIVERED", 5, "N"), ("o2", 7, 20240102, "boleto", "DELIVERED", None, "Y")],
+        "order_id string, customer_key bigint, order_date_key int, payment_type_primary string, order_status string, "
+        "review_score int, is_late_delivery string",
+    )
+    customers = spark.createDataFrame([(7, "SP")], "customer_key bigint, state string")
+    current = A.agg_daily_sales(orders, customers, items, dim_product).collect()
+    assert [(r.date_key, r.category_en) for r in current] == [(20240102, "housewares")]  # item of the old version drops out
+    everything = sorted(A.agg_daily_sales(orders, customers, items, dim_product, "all").collect(), key=lambda r: r.date_key)
+    assert [(r.category_en, r.avg_review_score, r.late_delivery_count) for r in everything] == [
+        ("toys", Decimal("5.00"), 0), ("housewares", None, 1)
+    ]

@@ -179,6 +179,15 @@ def without_rejects(df: DataFrame, rejects: DataFrame, table: str, key: Column)
     return df.join(bad, key.cast("string") == F.col("_rk"), "left_anti")
 
 
+def strict_staging(stg: Staging, rejects: DataFrame) -> Staging:
+    """Staging without the rows whose key was rejected (orders, items, reviews)."""
+    t = stg.tables()
+    t["orders"] = without_rejects(t["orders"], rejects, "STG_ORDERS", F.col("order_id"))
+    t["order_items"] = without_rejects(t["order_items"], rejects, "STG_ORDER_ITEMS", item_key())
+    t["order_reviews"] = without_rejects(t["order_reviews"], rejects, "STG_ORDER_REVIEWS", F.col("review_id"))
+    return Staging(**t)
+
+
 # ---------------------------------------------------------------- constraints
 
 

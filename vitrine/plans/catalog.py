@@ -338,6 +338,13 @@ def fact_orders(w: FixtureLoad) -> DataFrame:
     return w.fact_orders.select(*FACT_ORDER_OUT)
 
 
+@query
+def fact_orders_strict(w: FixtureLoad) -> DataFrame:
+    """Strict mode: orders and reviews rejected by the data-quality rules are not loaded."""
+    stg = Q.strict_staging(w.stg, Q.validate_staging(w.stg, BATCH))
+    return FT.fact_orders(stg, w.dim_customer, BATCH).select(*FACT_ORDER_OUT)
+
+
 @query
 def fact_orders_bridge(w: FixtureLoad) -> DataFrame:
     return FT.fact_orders(w.stg, w.dim_customer, BATCH, customer_lookup="bridge").select(*FACT_ORDER_OUT)

@@ -66,13 +66,7 @@ class Pipeline:
         return self.wh.read("stg_rejected_records").filter(F.col("etl_batch_id") == batch_id)
 
     def _strict(self, stg: Staging, rejects: DataFrame) -> Staging:
-        if not self.opts.strict:
-            return stg
-        t = stg.tables()
-        t["orders"] = Q.without_rejects(t["orders"], rejects, "STG_ORDERS", F.col("order_id"))
-        t["order_items"] = Q.without_rejects(t["order_items"], rejects, "STG_ORDER_ITEMS", Q.item_key())
-        t["order_reviews"] = Q.without_rejects(t["order_reviews"], rejects, "STG_ORDER_REVIEWS", F.col("review_id"))
-        return Staging(**t)
+        return Q.strict_staging(stg, rejects) if self.opts.strict else stg
 
     def load_dim_customer(self, stg: Staging, batch_id: int, attempt: int) -> None:
         with self.log.step(batch_id, L.STEP_DIM_CUSTOMER, attempt) as c:

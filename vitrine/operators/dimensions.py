@@ -162,6 +162,7 @@ def seller_source(stg: Staging, batch_id: int | None = None) -> DataFrame:
     """
     s = (
         in_batch(stg.sellers, batch_id)
+        .filter(F.col("seller_id").isNotNull())  # the key is required (NOT NULL in the dimension)
         .select("seller_id", "seller_zip_code_prefix", "seller_city", "seller_state")
         .distinct()
     )
@@ -184,8 +185,8 @@ def seller_source(stg: Staging, batch_id: int | None = None) -> DataFrame:
 
 
 def product_source(stg: Staging, batch_id: int | None = None) -> DataFrame:
-    """Staged products with English category name and category group."""
-    s = in_batch(stg.products, batch_id)
+    """Staged products with English category name and category group (rows without an id are skipped)."""
+    s = in_batch(stg.products, batch_id).filter(F.col("product_id").isNotNull())
     t = in_batch(stg.category_translation, batch_id).select(
         F.col("product_category_name").alias("_pt"), F.col("product_category_name_english").alias("_en")
     )

@@ -30,3 +30,15 @@ def test_append_counts_and_reads(spark, tmp_root):
     assert wh.append("stage_x", rows.withColumn("etl_batch_id", F.lit(4).cast("bigint"))) == 4
     got = wh.read("stage_x", "review_id string, etl_batch_id bigint")
     assert got.count() == 8 and got.filter("etl_batch_id = 4").count() == 4
+
+
+def test_log_reject_appends_one_row(spark, tmp_root):
+    from vitrine.plans.runlog import RunLog
+
+    log = RunLog(Warehouse(spark, tmp_root))
+    log.log_reject(5, "STG_ORDERS", "o9", "x" * 1200, raw="o9,c1")
+    rows = log.wh.read("stg_rejected_records").collect()
+    assert len(rows) == 1
+    r = rows[0]
+    assert (r.source_table, r.source_key, r.raw_data, r.etl_batch_id) == ("STG_ORDERS", "o9", "o9,c1", 5)
+    assert len(r.reject_reason) == 1000  # reason cut to 1000 characters

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from vitrine.llm import op4_sharding, op7_mixing, op8_exact_dedup
+from vitrine.llm import op2_language_id, op4_sharding, op5_token_counts, op7_mixing, op8_exact_dedup, op9_bpe
 
 QUERIES = {
+    "op2_language_id": op2_language_id.op2_language_id,
     "op4_sharding": op4_sharding.op4_sharding,
+    "op5_token_counts": op5_token_counts.op5_token_counts,
     "op7_mixing": op7_mixing.op7_mixing,
     "op8_exact_dedup": op8_exact_dedup.op8_exact_dedup,
+    "op9_bpe": op9_bpe.op9_bpe,
 }
 
 ORACLE = {

@@ -112,7 +112,7 @@ def map_texts(
         import pyarrow.compute  # noqa: F401  (pa.compute)
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        call, arrow = make(), to_arrow_schema(schema, timezone="UTC", prefers_large_types=False)
+        call, arrow = make(), to_arrow_schema(schema)
         for batch in batches:
             for piece in pieces(batch, at):
                 made = call(piece.column(at))

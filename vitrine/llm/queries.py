@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
-from vitrine.llm import op2_language_id, op4_sharding, op5_token_counts, op7_mixing, op8_exact_dedup, op9_bpe
+from vitrine.llm import (
+    op2_language_id,
+    op4_sharding,
+    op5_token_counts,
+    op7_mixing,
+    op8_exact_dedup,
+    op9_bpe,
+    op10_quality,
+)
 
 QUERIES = {
     "op2_language_id": op2_language_id.op2_language_id,
@@ -11,6 +19,7 @@ QUERIES = {
     "op7_mixing": op7_mixing.op7_mixing,
     "op8_exact_dedup": op8_exact_dedup.op8_exact_dedup,
     "op9_bpe": op9_bpe.op9_bpe,
+    "op10_quality": op10_quality.op10_quality,
 }
 
 ORACLE = {

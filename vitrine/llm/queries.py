@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from vitrine.llm import (
+    op1_simhash,
     op2_language_id,
     op4_sharding,
     op5_token_counts,
@@ -13,6 +14,7 @@ from vitrine.llm import (
 )
 
 QUERIES = {
+    "op1_simhash": op1_simhash.op1_simhash,
     "op2_language_id": op2_language_id.op2_language_id,
     "op4_sharding": op4_sharding.op4_sharding,
     "op5_token_counts": op5_token_counts.op5_token_counts,

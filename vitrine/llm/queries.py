@@ -7,6 +7,7 @@ from vitrine.llm import (
     op2_language_id,
     op4_sharding,
     op5_token_counts,
+    op6_mtree,
     op7_mixing,
     op8_exact_dedup,
     op9_bpe,
@@ -18,6 +19,7 @@ QUERIES = {
     "op2_language_id": op2_language_id.op2_language_id,
     "op4_sharding": op4_sharding.op4_sharding,
     "op5_token_counts": op5_token_counts.op5_token_counts,
+    "op6_mtree": op6_mtree.op6_mtree,
     "op7_mixing": op7_mixing.op7_mixing,
     "op8_exact_dedup": op8_exact_dedup.op8_exact_dedup,
     "op9_bpe": op9_bpe.op9_bpe,
@@ -25,6 +27,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op6_mtree": op6_mtree.SQL,
     "op7_mixing": op7_mixing.SQL,
     "op8_exact_dedup": op8_exact_dedup.SQL,
 }

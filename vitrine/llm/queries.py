@@ -5,6 +5,7 @@ from __future__ import annotations
 from vitrine.llm import (
     op1_simhash,
     op2_language_id,
+    op3_licenses,
     op4_sharding,
     op5_token_counts,
     op6_mtree,
@@ -17,6 +18,7 @@ from vitrine.llm import (
 QUERIES = {
     "op1_simhash": op1_simhash.op1_simhash,
     "op2_language_id": op2_language_id.op2_language_id,
+    "op3_licenses": op3_licenses.op3_licenses,
     "op4_sharding": op4_sharding.op4_sharding,
     "op5_token_counts": op5_token_counts.op5_token_counts,
     "op6_mtree": op6_mtree.op6_mtree,

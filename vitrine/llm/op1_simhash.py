@@ -105,11 +105,12 @@ def near_dedup(
     max_bits: int = 2,
     pair_block: int = 64,
 ) -> DataFrame:
-    """``keep`` columns (default: all) plus fingerprint (16 hex digits) and component_id.
+    """``keep`` columns (default: all) plus fingerprint (16 hex digits), component_id and stays.
 
     Rows whose fingerprints differ in at most ``max_bits`` (1 or 2) bits are
     linked; component_id is the smallest id reachable, a null id counting for
-    nothing (null only if no id of the component is set). Null texts and texts
+    nothing (null only if no id of the component is set); stays marks one row of
+    each component, one with that id. Null texts and texts
     without words have fingerprint zero and are linked like any other. Equal
     texts and repeated rows share a component. An empty table gives an empty
     result.
@@ -121,18 +122,25 @@ def near_dedup(
     src = Input(docs, id=id_col, text=text_col, **roles)
     inner = list(dict.fromkeys([src.name("id"), *[src.name(r) for r in roles]]))
     fields = [T.StructField("fp", T.LongType())]
-    rows = written(map_texts(src.df, src.name("text"), inner, fields, lambda: fingerprinter(width)), "op1-prints")
-    prints = written(rows.groupBy("fp").agg(F.min(src.name("id")).alias("least")), "op1-distinct")
+    printed = map_texts(src.df, src.name("text"), inner, fields, lambda: fingerprinter(width))
+    rows = written(printed.withColumn("rid", F.monotonically_increasing_id()), "op1-prints")
+
+    def first_row(row_id: str, doc_id: str) -> Column:
+        return F.coalesce(F.min_by(row_id, doc_id), F.min(row_id)).alias("first")
+
+    by_print = rows.groupBy("fp").agg(F.min(src.name("id")).alias("least"), first_row("rid", src.name("id")))
+    prints = written(by_print, "op1-distinct")
     roots = components(links(prints.select("fp"), max_bits, pair_block), "a", "b").withColumnRenamed("node", "fp")
     rooted = prints.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.select("fp", "root").join(least, "root").select("fp", "component_id")
+    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"), first_row("first", "least"))
+    named = rooted.select("fp", "root").join(least, "root").select("fp", "component_id", "first")
     out = rows.join(named, "fp")
-    results = {"fingerprint", "component_id"}
+    results = {"fingerprint", "component_id", "stays"}
     return out.select(
         *[src[r].alias(k) for r, k in roles.items() if k.lower() not in results],
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
+        (F.col("rid") == F.col("first")).alias("stays"),
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from vitrine.llm import (
     op1_simhash,
     op2_language_id,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup.op8_exact_dedup,
     "op9_bpe": op9_bpe.op9_bpe,
     "op10_quality": op10_quality.op10_quality,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE = {
@@ -33,3 +35,6 @@ ORACLE = {
     "op7_mixing": op7_mixing.SQL,
     "op8_exact_dedup": op8_exact_dedup.SQL,
 }
+
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -17,30 +17,42 @@ from vitrine.llm import op1_simhash, op7_mixing, op8_exact_dedup, op9_bpe, op10_
 from vitrine.llm.common import written
 
 
+ROLES = ("doc_id", "text", "lang", "source")
+
+
+def aside(docs: DataFrame) -> DataFrame:
+    """``docs`` with its other columns renamed, so that none shares its name with an operator's result."""
+    return docs.toDF(*[c if c in ROLES else f"__other{i}" for i, c in enumerate(docs.columns)])
+
+
+def back(result: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` under their own names."""
+    return result.select(*aside(docs).columns).toDF(*docs.columns)
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score reaches the threshold."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
-    scored = op10_quality.quality(docs, labels, op10_quality.learnable(F.col("id")))
-    return scored.where("predicted = 1").select(*docs.columns)
+    scored = op10_quality.quality(aside(docs), labels, op10_quality.learnable(F.col("id")))
+    return back(scored.where("predicted = 1"), docs)
 
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The row that stays of each group of equal texts."""
-    return op8_exact_dedup.exact_dedup(docs).where("kept").select(*docs.columns)
+    return back(op8_exact_dedup.exact_dedup(aside(docs)).where("kept"), docs)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of fingerprints within two bits."""
-    return op1_simhash.near_dedup(docs).where("stays").select(*docs.columns)
+    return back(op1_simhash.near_dedup(aside(docs)).where("stays"), docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it, in whole copies; without a copy it goes."""
-    mixed = op7_mixing.mix_sources(docs)
+    mixed = op7_mixing.mix_sources(aside(docs))
     copies = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(0).cast("int")
-    return mixed.withColumn("copies", copies).where("copies > 0").withColumn(
-        "copy", F.explode(F.sequence(F.lit(1), F.col("copies")))
-    ).select(*docs.columns)
+    taken = mixed.withColumn("copies", copies).where("copies > 0")
+    return back(taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))), docs)
 
 
 def coding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

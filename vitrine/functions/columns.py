@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 
 from vitrine.functions import lookups as L
 
-# Parsed types. Money is parsed wide and narrowed on write (NUMBER(12,2) etc.);
-# coordinates keep 14 decimals until the centroid is rounded to 6.
-MONEY_PARSE = "decimal(18,4)"
-COORD_PARSE = "decimal(18,14)"
+# Parsed types. Money is parsed wide and rounded once, when it is narrowed on
+# write (NUMBER(12,2) etc.). Coordinates are parsed wide too; those that fit the
+# column's four integer digits keep 14 decimals until the centroid is rounded to 6.
+MONEY_PARSE = "decimal(38,12)"
+COORD_PARSE = "decimal(38,14)"
+COORD_KEPT = "decimal(18,14)"
 COORD_SCALE = 14
 PRICE_TYPE = "decimal(12,2)"
 ITEM_TOTAL_TYPE = "decimal(14,2)"
@@ -80,9 +82,19 @@ def parse_amount(text: Column | str) -> Column:
     return _c(text).try_cast(MONEY_PARSE)
 
 
+def parse_amount_as(text: Column | str, kind: str) -> Column:
+    """Money text rounded once to the column type ``kind``; NULL when not a number or too large for it."""
+    return parse_amount(text).try_cast(kind)
+
+
+def amount_overflows(text: Column | str, kind: str) -> Column:
+    """Whether the text is a number that does not fit ``kind``."""
+    return parse_amount(text).isNotNull() & parse_amount_as(text, kind).isNull()
+
+
 def parse_coord(text: Column | str) -> Column:
-    """Coordinate text with '.' or ',' as decimal mark -> decimal, NULL when invalid."""
-    return F.regexp_replace(_c(text), ",", ".").try_cast(COORD_PARSE)
+    """Coordinate text with '.' or ',' as decimal mark -> decimal; NULL when invalid or too large (a reject rule)."""
+    return F.regexp_replace(_c(text), ",", ".").try_cast(COORD_PARSE).try_cast(COORD_KEPT)
 
 
 def parse_day(text: Column | str) -> Column:

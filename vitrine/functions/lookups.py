@@ -89,6 +89,22 @@ NULL_KEY_TEXT = "NULL"
 # (unparseable amounts and dates); they are not in the source's reject set.
 REJECT_NON_NUMERIC = "Non-numeric amount"
 REJECT_BAD_DATE = "Invalid date"
+REJECT_AMOUNT_RANGE = "Amount out of range"
+REJECT_BAD_COORDINATE = "Invalid coordinate"
+
+# Reasons for rows that a load leaves out.
+REJECT_NULL_CUSTOMER = "NULL CUSTOMER_UNIQUE_ID"
+REJECT_NULL_SELLER = "NULL SELLER_ID"
+REJECT_NULL_PRODUCT = "NULL PRODUCT_ID"
+REJECT_NULL_ITEM_KEY = "NULL ORDER_ID or ORDER_ITEM_ID"
+REJECT_NULL_REVIEW = "NULL REVIEW_ID"
+REJECT_NO_SCORE = "Score missing or not 1-5"
+REJECT_NO_ORDER = "Order not in batch"
+REJECT_NO_ORDER_DATE = "Invalid ORDER_PURCHASE_TIMESTAMP"
+REJECT_NO_CUSTOMER = "Customer not in DIM_CUSTOMER"
+REJECT_NO_PRODUCT = "Product not in DIM_PRODUCT"
+REJECT_NO_SELLER = "Seller not in DIM_SELLER"
+REJECT_SELLER_ADDRESSES = "Seller with more than one address"
 
 # --- FIXED VALUES: watermark seeds and defaults ---
 WATERMARK_SOURCE = "OLIST_CSV"

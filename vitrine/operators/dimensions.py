@@ -2,8 +2,7 @@
 
 The ``*_source`` functions are the per-batch source rows of each dimension;
 ``scd1_upsert`` and ``scd2_apply`` turn (current table, source rows) into the
-next version of the table. Both are a single join against the target, so the
-work is one shuffle of target and source on the business key.
+next version of the table.
 """
 
 from __future__ import annotations
@@ -14,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.functions import columns as C
+from vitrine.functions import lookups as L
 from vitrine.operators.keys import DEFAULT_BUCKETS, assign_keys
 from vitrine.operators.quality import in_batch
 from vitrine.sources.feeds import Staging
@@ -150,6 +150,30 @@ def customer_source(stg: Staging, batch_id: int | None = None) -> DataFrame:
     )
 
 
+def keyless_rows(stg: Staging, batch_id: int | None = None) -> DataFrame:
+    """Reject rows of customers, sellers and products without their business key (the dimensions require it)."""
+    batch = F.lit(batch_id).cast("long") if batch_id is not None else F.col("etl_batch_id")
+
+    def rows(df: DataFrame, table: str, key: str, reason: str, raw: list[str]) -> DataFrame:
+        return (
+            in_batch(df, batch_id)
+            .filter(F.col(key).isNull())
+            .select(
+                F.lit(table).alias("source_table"),
+                F.lit(L.NULL_KEY_TEXT).alias("source_key"),
+                F.lit(reason).alias("reject_reason"),
+                F.concat_ws(",", *raw).alias("raw_data"),
+                batch.alias("etl_batch_id"),
+            )
+        )
+
+    return (
+        rows(stg.customers, "STG_CUSTOMERS", "customer_unique_id", L.REJECT_NULL_CUSTOMER, ["customer_id", "customer_city"])
+        .unionByName(rows(stg.sellers, "STG_SELLERS", "seller_id", L.REJECT_NULL_SELLER, ["seller_city", "seller_state"]))
+        .unionByName(rows(stg.products, "STG_PRODUCTS", "product_id", L.REJECT_NULL_PRODUCT, ["product_category_name"]))
+    )
+
+
 # -------------------------------------------------------------------- sellers
 
 
@@ -289,16 +313,24 @@ def scd1_upsert(
     Existing surrogate keys never change; new ones continue after
     ``start_key``. Target rows without a source row are kept as they are.
     The result has an extra column ``merge_action`` (KEEP/UPDATE/INSERT).
+
+    Only the business keys not seen before are numbered (one key column each of
+    source and target); target and source meet in a single full outer join.
     """
     ts = F.lit(as_of_ts).cast("timestamp")
     updated_cols = [c for c in source.columns if c != business_key]
+    unseen = source.select(business_key).join(target.select(business_key), business_key, "left_anti")
+    numbered = assign_keys(unseen, [business_key], "_new_key", start_key, buckets)
+    s = source.join(numbered, business_key, "left")
     t = target.select(*[F.col(c).alias(f"t_{c}") for c in target.columns], F.lit(True).alias("_in_t"))
-    s = source.select(*[F.col(c).alias(f"s_{c}") for c in source.columns], F.lit(True).alias("_in_s"))
-    j = t.join(s, t[f"t_{business_key}"] == s[f"s_{business_key}"], "full_outer")
+    s = s.select(*[F.col(c).alias(f"s_{c}") for c in source.columns], "_new_key", F.lit(True).alias("_in_s"))
+    j = t.join(s, F.col(f"t_{business_key}") == F.col(f"s_{business_key}"), "full_outer")
     in_t, in_s = F.col("_in_t").isNotNull(), F.col("_in_s").isNotNull()
     action = F.when(in_t & in_s, "UPDATE").when(in_t, "KEEP").otherwise("INSERT")
 
     def pick(c: str) -> Column:
+        if c == key_name:
+            return F.coalesce(F.col(f"t_{c}"), F.col("_new_key"))
         if c == business_key:
             return F.coalesce(F.col(f"t_{c}"), F.col(f"s_{c}"))
         if c in updated_cols:
@@ -311,9 +343,4 @@ def scd1_upsert(
             return F.when(in_t, F.col(f"t_{c}")).otherwise(F.lit("Y"))
         return F.col(f"t_{c}")
 
-    merged = j.select(*[pick(c).alias(c) for c in columns], action.alias("merge_action"))
-    old = merged.filter(F.col("merge_action") != "INSERT")
-    new = assign_keys(
-        merged.filter(F.col("merge_action") == "INSERT").drop(key_name), [business_key], key_name, start_key, buckets
-    )
-    return old.unionByName(new.select(*columns, "merge_action"))
+    return j.select(*[pick(c).alias(c) for c in columns], action.alias("merge_action"))

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.functions import columns as C
+from vitrine.functions import lookups as L
 from vitrine.operators.quality import in_batch
 from vitrine.sources.feeds import Staging
 
@@ -93,7 +94,9 @@ def payment_type_totals(stg: Staging, batch_id: int | None = None) -> DataFrame:
     """Payments summed per (order, payment type)."""
     p = in_batch(stg.order_payments, batch_id)
     return p.groupBy("order_id", "payment_type").agg(
-        F.sum(C.parse_amount("payment_value")).alias("type_total"),
+        F.sum(C.parse_amount(F.when(~C.amount_overflows("payment_value", C.PAYMENT_TOTAL_TYPE), F.col("payment_value")))).alias(
+            "type_total"
+        ),
         F.max("payment_installments").alias("type_max_installments"),
     )
 
@@ -166,8 +169,8 @@ def fact_orders(
     """FACT_ORDERS rows of a batch (plus ``customer_unique_id`` for reporting).
 
     Orders whose customer does not resolve are not returned (see
-    ``fact_orders_unresolved``); nor are orders whose purchase date does not
-    parse (the order date key is required).
+    ``fact_orders_unresolved``); nor are orders without an id or whose purchase
+    date does not parse (both are required).
     """
     o = _orders_to_load(stg, batch_id, loaded)
     pay = payments_rollup(stg, batch_id)
@@ -192,7 +195,7 @@ def fact_orders(
         C.date_key(delivered).alias("delivered_date_key"),
         C.date_key(estimated).alias("estimated_delivery_date_key"),
         F.upper("order_status").alias("order_status"),
-        F.coalesce("total_payment", F.lit(0)).cast(C.PAYMENT_TOTAL_TYPE).alias("total_payment_value"),
+        F.coalesce("total_payment", F.lit(0)).try_cast(C.PAYMENT_TOTAL_TYPE).alias("total_payment_value"),
         F.coalesce("max_installments", F.lit(1)).cast("long").alias("payment_installments_max"),
         "primary_payment_type",
         F.coalesce("num_methods", F.lit(1)).cast("long").alias("num_payment_methods"),
@@ -204,7 +207,7 @@ def fact_orders(
         C.yes_no(F.col("r_id").isNotNull()).alias("has_review"),
         _batch(batch_id).alias("etl_batch_id"),
     ).withColumnRenamed("primary_payment_type", "payment_type_primary")
-    return out.filter(F.col("order_date_key").isNotNull())
+    return out.filter(F.col("order_id").isNotNull() & F.col("order_date_key").isNotNull())
 
 
 def fact_orders_unresolved(
@@ -214,24 +217,24 @@ def fact_orders_unresolved(
     loaded: DataFrame | None = None,
     customer_lookup: str = "customer_id",
 ) -> DataFrame:
-    """Staged orders that the fact load leaves out, with the reason."""
+    """Staged orders that the fact load leaves out, each once, with the first reason that holds."""
     o = _orders_to_load(stg, batch_id, loaded)
     cust = customer_lookup_rows(stg, dim_customer, batch_id, customer_lookup).select(
-        F.col("customer_id").alias("_cid")
+        F.col("customer_id").alias("_cid"), F.lit(True).alias("_known")
     )
-    missing = o.join(cust, o["customer_id"] == cust["_cid"], "left_anti").select(
-        "order_id", "customer_id", F.lit("Customer not in DIM_CUSTOMER").alias("reason")
+    j = o.join(cust.distinct(), o["customer_id"] == cust["_cid"], "left")
+    reason = (
+        F.when(F.col("order_id").isNull(), L.REJECT_NULL_ORDER_ID)
+        .when(F.col("_known").isNull(), L.REJECT_NO_CUSTOMER)
+        .when(C.to_date_key("order_purchase_timestamp").isNull(), L.REJECT_NO_ORDER_DATE)
     )
-    undated = o.filter(C.to_date_key("order_purchase_timestamp").isNull()).select(
-        "order_id", "customer_id", F.lit("Invalid ORDER_PURCHASE_TIMESTAMP").alias("reason")
-    )
-    return missing.unionByName(undated)
+    return j.select("order_id", "customer_id", reason.alias("reason")).filter(F.col("reason").isNotNull())
 
 
 # -------------------------------------------------------------------- items
 
 
-def fact_order_items(
+def resolved_items(
     stg: Staging,
     dim_customer: DataFrame,
     dim_product: DataFrame,
@@ -239,24 +242,41 @@ def fact_order_items(
     batch_id: int | None = None,
     loaded: DataFrame | None = None,
 ) -> DataFrame:
-    """FACT_ORDER_ITEMS rows of a batch (with product/seller/customer ids).
+    """Every staged item not loaded yet: its fact columns, and ``reason`` if the load must leave it out.
 
     Items resolve their order within the same batch and the *current* product
     version. Orders are joined to the customer first (the smaller side), so
     the item stream is shuffled once per lookup key: order, product, seller.
+    Outer joins keep the items that do not resolve, for the reject table.
     """
     i = not_yet_loaded(in_batch(stg.order_items, batch_id), loaded, ["order_id", "order_item_id"])
-    o = in_batch(stg.orders, batch_id).select(
-        "order_id", "customer_id", C.to_date_key("order_purchase_timestamp").alias("order_date_key")
+    o = (
+        in_batch(stg.orders, batch_id)
+        .filter(F.col("order_id").isNotNull())
+        .select(
+            "order_id",
+            "customer_id",
+            C.to_date_key("order_purchase_timestamp").alias("order_date_key"),
+            F.lit(True).alias("_staged"),
+        )
     )
     cust = dim_customer.select("customer_id", "customer_key", "customer_unique_id")
-    oc = o.join(cust, "customer_id").drop("customer_id")
+    oc = o.join(cust, "customer_id", "left").drop("customer_id")
     prod = dim_product.filter(F.col("is_current") == "Y").select("product_id", "product_key")
     sell = dim_seller.select("seller_id", "seller_key")
-    j = i.join(oc, "order_id").join(prod, "product_id").join(sell, "seller_id")
-    price = C.parse_amount("price").cast(C.PRICE_TYPE)
-    freight = C.parse_amount("freight_value").cast(C.PRICE_TYPE)
-    out = j.select(
+    j = i.join(oc, "order_id", "left").join(prod, "product_id", "left").join(sell, "seller_id", "left")
+    price, freight = (C.parse_amount_as(c, C.PRICE_TYPE) for c in ("price", "freight_value"))
+    too_large = C.amount_overflows("price", C.PRICE_TYPE) | C.amount_overflows("freight_value", C.PRICE_TYPE)
+    reason = (
+        F.when(F.col("order_id").isNull() | F.col("order_item_id").isNull(), L.REJECT_NULL_ITEM_KEY)
+        .when(F.col("_staged").isNull(), L.REJECT_NO_ORDER)
+        .when(F.col("order_date_key").isNull(), L.REJECT_NO_ORDER_DATE)
+        .when(F.col("customer_key").isNull(), L.REJECT_NO_CUSTOMER)
+        .when(F.col("product_key").isNull(), L.REJECT_NO_PRODUCT)
+        .when(F.col("seller_key").isNull(), L.REJECT_NO_SELLER)
+        .when(too_large, L.REJECT_AMOUNT_RANGE)
+    )
+    return j.select(
         "order_id",
         "order_item_id",
         "order_date_key",
@@ -270,8 +290,35 @@ def fact_order_items(
         freight.alias("freight_value"),
         (price + freight).cast(C.ITEM_TOTAL_TYPE).alias("total_item_value"),
         _batch(batch_id).alias("etl_batch_id"),
+        reason.alias("reason"),
     )
-    return out.filter(F.col("order_date_key").isNotNull())
+
+
+def fact_order_items(
+    stg: Staging,
+    dim_customer: DataFrame,
+    dim_product: DataFrame,
+    dim_seller: DataFrame,
+    batch_id: int | None = None,
+    loaded: DataFrame | None = None,
+) -> DataFrame:
+    """FACT_ORDER_ITEMS rows of a batch (with product/seller/customer ids): the items that resolve."""
+    rows = resolved_items(stg, dim_customer, dim_product, dim_seller, batch_id, loaded)
+    return rows.filter(F.col("reason").isNull()).drop("reason")
+
+
+def fact_order_items_unresolved(
+    stg: Staging,
+    dim_customer: DataFrame,
+    dim_product: DataFrame,
+    dim_seller: DataFrame,
+    batch_id: int | None = None,
+    loaded: DataFrame | None = None,
+) -> DataFrame:
+    """Staged items that the fact load leaves out, each with the first reason that holds."""
+    rows = resolved_items(stg, dim_customer, dim_product, dim_seller, batch_id, loaded)
+    cols = ["order_id", "order_item_id", "product_id", "seller_id", "reason"]
+    return rows.filter(F.col("reason").isNotNull()).select(*cols)
 
 
 # ------------------------------------------------------------------ reviews
@@ -286,6 +333,7 @@ def fact_reviews(
     loaded unless ``one_per_key`` keeps only the greatest row per id.
     """
     r = in_batch(stg.order_reviews, batch_id).filter(F.col("review_score").between(1, 5))
+    r = r.filter(F.col("review_id").isNotNull())
     r = not_yet_loaded(r, loaded, ["review_id"])
     if one_per_key:
         cols = [c for c in r.columns if c != "review_id"]
@@ -303,3 +351,12 @@ def fact_reviews(
         F.datediff(answered, created).alias("response_days"),
         _batch(batch_id).alias("etl_batch_id"),
     )
+
+
+def fact_reviews_unresolved(stg: Staging, batch_id: int | None = None, loaded: DataFrame | None = None) -> DataFrame:
+    """Staged reviews that the fact load leaves out, with the first reason that holds."""
+    r = not_yet_loaded(in_batch(stg.order_reviews, batch_id), loaded, ["review_id"])
+    reason = F.when(F.col("review_id").isNull(), L.REJECT_NULL_REVIEW).when(
+        ~F.coalesce(F.col("review_score").between(1, 5), F.lit(False)), L.REJECT_NO_SCORE
+    )
+    return r.select("review_id", "order_id", reason.alias("reason")).filter(F.col("reason").isNotNull())

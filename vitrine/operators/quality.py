@@ -86,6 +86,20 @@ NON_NUMERIC_PAYMENT = Check(
     lambda: _unparseable("payment_value", C.parse_amount("payment_value")),
     lambda: C.text_concat("order_id", F.lit("-"), "payment_sequential"), True,
 )
+ITEM_AMOUNT_RANGE = Check(
+    "order_items", "STG_ORDER_ITEMS", L.REJECT_AMOUNT_RANGE,
+    lambda: _any([C.amount_overflows(c, C.PRICE_TYPE) for c in ("price", "freight_value")]), item_key, True,
+)
+PAYMENT_AMOUNT_RANGE = Check(
+    "order_payments", "STG_ORDER_PAYMENTS", L.REJECT_AMOUNT_RANGE,
+    lambda: C.amount_overflows("payment_value", C.PAYMENT_TOTAL_TYPE),
+    lambda: C.text_concat("order_id", F.lit("-"), "payment_sequential"), True,
+)
+BAD_COORDINATE = Check(
+    "geolocation", "STG_GEOLOCATION", L.REJECT_BAD_COORDINATE,
+    lambda: _any([_unparseable(c, C.parse_coord(c)) for c in ("geolocation_lat", "geolocation_lng")]),
+    lambda: F.col("geolocation_zip_code_prefix"), True,
+)
 BAD_ORDER_DATE = Check(
     "orders", "STG_ORDERS", L.REJECT_BAD_DATE,
     lambda: _any([_unparseable(c, C.parse_day(c)) for c in ORDER_DATE_COLUMNS]), lambda: F.col("order_id"), True,
@@ -96,8 +110,10 @@ BAD_REVIEW_DATE = Check(
 )
 CHECKS = [
     NULL_ORDER_ID, BAD_STATUS, NEGATIVE_AMOUNT, BAD_SCORE,
-    NON_NUMERIC_ITEM, NON_NUMERIC_PAYMENT, BAD_ORDER_DATE, BAD_REVIEW_DATE,
+    NON_NUMERIC_ITEM, NON_NUMERIC_PAYMENT, ITEM_AMOUNT_RANGE, PAYMENT_AMOUNT_RANGE, BAD_COORDINATE,
+    BAD_ORDER_DATE, BAD_REVIEW_DATE,
 ]
+DQ_REASONS = sorted({c.reason for c in CHECKS})
 
 
 def run_checks(stg: Staging, checks: list[Check], batch_id: int | None = None) -> DataFrame:
@@ -159,6 +175,11 @@ def non_numeric_amounts(stg: Staging, batch_id: int | None = None) -> DataFrame:
     return run_checks(stg, [NON_NUMERIC_ITEM, NON_NUMERIC_PAYMENT], batch_id)
 
 
+def out_of_range(stg: Staging, batch_id: int | None = None) -> DataFrame:
+    """Amounts too large for their column, and coordinates that are no number or too large."""
+    return run_checks(stg, [ITEM_AMOUNT_RANGE, PAYMENT_AMOUNT_RANGE, BAD_COORDINATE], batch_id)
+
+
 def bad_dates(stg: Staging, batch_id: int | None = None) -> DataFrame:
     """Date text that does not parse."""
     return run_checks(stg, [BAD_ORDER_DATE, BAD_REVIEW_DATE], batch_id)
@@ -180,8 +201,16 @@ def without_rejects(df: DataFrame, rejects: DataFrame, table: str, key: Column)
 
 
 def strict_staging(stg: Staging, rejects: DataFrame) -> Staging:
-    """Staging without the rows whose key was rejected (orders, items, reviews)."""
+    """Staging without the rows that data-quality rules rejected (orders, items, reviews), nor those without a key.
+
+    ``rejects``: the rule rejects of the same run. Rows that a *load* of an
+    earlier run left out (an unknown customer, say) are not affected.
+    """
+    rejects = rejects.filter(F.col("reject_reason").isin(*DQ_REASONS))
     t = stg.tables()
+    t["orders"] = t["orders"].filter(F.col("order_id").isNotNull())
+    t["order_items"] = t["order_items"].filter(F.col("order_id").isNotNull() & F.col("order_item_id").isNotNull())
+    t["order_reviews"] = t["order_reviews"].filter(F.col("review_id").isNotNull())
     t["orders"] = without_rejects(t["orders"], rejects, "STG_ORDERS", F.col("order_id"))
     t["order_items"] = without_rejects(t["order_items"], rejects, "STG_ORDER_ITEMS", item_key())
     t["order_reviews"] = without_rejects(t["order_reviews"], rejects, "STG_ORDER_REVIEWS", F.col("review_id"))

@@ -158,6 +158,17 @@ def dq_parse_errors(w: FixtureLoad) -> DataFrame:
     return Q.non_numeric_amounts(w.stg, BATCH).unionByName(Q.bad_dates(w.stg, BATCH)).select(*REJECT_OUT)
 
 
+@query
+def dq_out_of_range(w: FixtureLoad) -> DataFrame:
+    return Q.out_of_range(w.stg, BATCH).select(*REJECT_OUT)
+
+
+@query
+def dim_rejects(w: FixtureLoad) -> DataFrame:
+    """Customers, sellers and products that no dimension can hold: their key is missing."""
+    return D.keyless_rows(w.stg, BATCH).select(*REJECT_OUT, "raw_data")
+
+
 @query
 def dq_summary(w: FixtureLoad) -> DataFrame:
     return Q.reject_summary(Q.validate_staging(w.stg, BATCH))
@@ -193,13 +204,18 @@ DIM_CUSTOMER_OUT = [
 # Earlier loads used to build prior warehouse states (fixed scenario values).
 EARLIER_CUSTOMER_CITIES = ["Building Do Sul", "Automobile Do Sul"]  # two market segments
 EARLIER_SELLER_REGION = "Southeast"
+RETIRED_STATE, RETIRED_REGION = "RJ", "South"  # of customers and sellers that no later feed holds
 EARLIER_ORDERS_BEFORE = "1998-01-01"  # orders purchased before this day
 
 
-def _prior_dimension(src: DataFrame, earlier: Column, key: str, id_col: str, ddl_cols: list[str]) -> DataFrame:
-    """Earlier version of a dimension: the rows an earlier load had, then with an old city."""
+def _prior_dimension(
+    src: DataFrame, earlier: Column, retired: Column, key: str, id_col: str, ddl_cols: list[str]
+) -> DataFrame:
+    """Earlier version of a dimension: the rows an earlier load had, then with an old city, and rows since retired."""
+    gone = src.filter(retired).withColumn(id_col, F.concat(F.lit("gone-"), F.col(id_col)))
     prior = (
         src.filter(earlier)
+        .unionByName(gone)
         .withColumn("city", F.lit("Old"))
         .withColumn("etl_batch_id", F.lit(0).cast("long"))
         .withColumn("is_active", F.lit("Y"))
@@ -212,7 +228,9 @@ def _prior_dimension(src: DataFrame, earlier: Column, key: str, id_col: str, ddl
 @query
 def dim_customer_upsert(w: FixtureLoad) -> DataFrame:
     earlier = F.col("city").isin(*EARLIER_CUSTOMER_CITIES)
-    target = _prior_dimension(w.customer_source, earlier, "customer_key", "customer_unique_id", D.CUSTOMER_COLUMNS)
+    target = _prior_dimension(
+        w.customer_source, earlier, F.col("state") == RETIRED_STATE, "customer_key", "customer_unique_id", D.CUSTOMER_COLUMNS
+    )
     out = D.scd1_upsert(
         target, w.customer_source, "customer_unique_id", "customer_key", D.CUSTOMER_COLUMNS, LOAD_TS,
         start_key=1_000_000_000,
@@ -229,7 +247,9 @@ def dim_seller_source(w: FixtureLoad) -> DataFrame:
 def dim_seller_upsert(w: FixtureLoad) -> DataFrame:
     src = D.seller_source(w.stg, BATCH)
     earlier = F.col("region") == EARLIER_SELLER_REGION
-    target = _prior_dimension(src, earlier, "seller_key", "seller_id", D.SELLER_COLUMNS)
+    target = _prior_dimension(
+        src, earlier, F.col("region") == RETIRED_REGION, "seller_key", "seller_id", D.SELLER_COLUMNS
+    )
     out = D.scd1_upsert(target, src, "seller_id", "seller_key", D.SELLER_COLUMNS, LOAD_TS, start_key=1_000_000_000)
     return out.select(*[c for c in D.SELLER_COLUMNS if c not in ("seller_key", "etl_insert_dt", "etl_update_dt")], "merge_action")
 
@@ -240,9 +260,10 @@ def dim_product_source(w: FixtureLoad) -> DataFrame:
 
 
 def _toys_history(w: FixtureLoad, loaded_on: str = PRIOR_AS_OF) -> DataFrame:
-    """Earlier version of the product dimension: every product filed under 'toys'."""
+    """Earlier version of the product dimension: products of most weights, all filed under 'toys'."""
     h = (
-        w.product_source.withColumn("category_name_en", F.lit("toys"))
+        w.product_source.filter(F.col("weight_g") % 700 != 0)
+        .withColumn("category_name_en", F.lit("toys"))
         .withColumn("category_group", C.category_group(F.lit("toys")))
         .withColumn("effective_from", F.lit(loaded_on).cast("date"))
         .withColumn("effective_to", F.lit(None).cast("date"))
@@ -396,11 +417,21 @@ def fact_order_items_incremental(w: FixtureLoad) -> DataFrame:
     ).select(*FACT_ITEM_OUT)
 
 
+@query
+def fact_order_items_unresolved(w: FixtureLoad) -> DataFrame:
+    return FT.fact_order_items_unresolved(w.stg, w.dim_customer, w.dim_product, w.dim_seller, BATCH)
+
+
 @query
 def fact_reviews(w: FixtureLoad) -> DataFrame:
     return w.fact_reviews
 
 
+@query
+def fact_reviews_unresolved(w: FixtureLoad) -> DataFrame:
+    return FT.fact_reviews_unresolved(w.stg, BATCH)
+
+
 @query
 def sentiment_counts(w: FixtureLoad) -> DataFrame:
     return w.fact_reviews.groupBy("sentiment", "review_score").agg(
@@ -484,41 +515,57 @@ def check_not_null(w: FixtureLoad) -> DataFrame:
 # ----------------------------------------------------------- run counters
 
 
-def _metric(df: DataFrame, step: str, metric: str) -> DataFrame:
-    """(step, metric, n): one row counting ``df`` (a partial-aggregated count)."""
-    return df.agg(F.count(F.lit(1)).alias("n")).select(
-        F.lit(step).alias("step_name"), F.lit(metric).alias("metric"), "n"
-    )
+def _counted(df: DataFrame, step: str, **metrics: Column) -> DataFrame:
+    """(step, metric, n) rows of several counts taken in one pass over ``df``."""
+    one = df.agg(*[F.coalesce(F.sum(m.cast("long")), F.lit(0)).alias(k) for k, m in metrics.items()])
+    pairs = [F.struct(F.lit(k).alias("metric"), F.col(k).alias("n")) for k in metrics]
+    return one.select(F.lit(step).alias("step_name"), F.inline(F.array(*pairs)))
 
 
 def step_count_rows(w: FixtureLoad) -> DataFrame:
-    """Counts each step of a first load logs: real input, output and rejected rows."""
+    """Counts of each step of a first load: input, output, rejected and merged rows, one pass per step and table.
+
+    Merged rows are further rows of a business key that a dimension holds once.
+    """
     from functools import reduce
 
     from vitrine.functions import lookups as L
 
-    stg = w.stg
+    stg, one = w.stg, F.lit(1)
+
+    def dimension(step: str, rows: DataFrame, key: str, group: list[str]) -> DataFrame:
+        per_row = rows.groupBy(*group).agg(F.count(one).alias("rows"))
+        known = F.col(key).isNotNull()
+        return _counted(
+            per_row,
+            step,
+            **{"in": F.col("rows"), "out": known, "rejected": F.when(~known, F.col("rows")).otherwise(0),
+               "merged": F.when(known, F.col("rows") - 1).otherwise(0)},
+        )
+
+    def fact(step: str, read: DataFrame, out: DataFrame, left_out: DataFrame) -> list[DataFrame]:
+        return [_counted(read, step, **{"in": one}), _counted(out, step, out=one), _counted(left_out, step, rejected=one)]
+
     staged = reduce(DataFrame.unionByName, [t.select(F.lit(1).alias("x")) for t in stg.tables().values()])
+    items = FT.resolved_items(stg, w.dim_customer, w.dim_product, w.dim_seller, BATCH)
+    loads = F.col("reason").isNull()
+    agg = A.agg_daily_sales(w.fact_orders, w.dim_customer, w.fact_items, w.dim_product)
+    seller = ["seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"]
     parts = [
-        _metric(staged, L.STEP_TAG_STAGING, "in"),
-        _metric(staged, L.STEP_TAG_STAGING, "out"),
-        _metric(Q.validate_staging(stg, BATCH), L.STEP_DQ, "rejected"),
-        _metric(stg.customers, L.STEP_DIM_CUSTOMER, "in"),
-        _metric(w.customer_source, L.STEP_DIM_CUSTOMER, "out"),
-        _metric(stg.sellers, L.STEP_DIM_SELLER, "in"),
-        _metric(D.seller_source(stg, BATCH), L.STEP_DIM_SELLER, "out"),
-        _metric(stg.products, L.STEP_DIM_PRODUCT, "in"),
-        _metric(w.product_source, L.STEP_DIM_PRODUCT, "out"),
-        _metric(stg.orders, L.STEP_FACT_ORDERS, "in"),
-        _metric(w.fact_orders, L.STEP_FACT_ORDERS, "out"),
-        _metric(FT.fact_orders_unresolved(stg, w.dim_customer, BATCH), L.STEP_FACT_ORDERS, "rejected"),
-        _metric(stg.order_items, L.STEP_FACT_ITEMS, "in"),
-        _metric(w.fact_items, L.STEP_FACT_ITEMS, "out"),
-        _metric(stg.order_reviews, L.STEP_FACT_REVIEWS, "in"),
-        _metric(w.fact_reviews, L.STEP_FACT_REVIEWS, "out"),
+        _counted(staged, L.STEP_TAG_STAGING, **{"in": one, "out": one}),
+        _counted(Q.validate_staging(stg, BATCH), L.STEP_DQ, rejected=one),
+        dimension(L.STEP_DIM_CUSTOMER, stg.customers, "customer_unique_id", ["customer_unique_id"]),
+        dimension(L.STEP_DIM_SELLER, stg.sellers, "seller_id", seller),
+        _counted(
+            stg.products, L.STEP_DIM_PRODUCT,
+            **{"in": one, "out": F.col("product_id").isNotNull(), "rejected": F.col("product_id").isNull()},
+        ),
+        *fact(L.STEP_FACT_ORDERS, stg.orders, w.fact_orders, FT.fact_orders_unresolved(stg, w.dim_customer, BATCH)),
+        _counted(items, L.STEP_FACT_ITEMS, **{"in": one, "out": loads, "rejected": ~loads}),
+        *fact(L.STEP_FACT_REVIEWS, stg.order_reviews, w.fact_reviews, FT.fact_reviews_unresolved(stg, BATCH)),
+        _counted(items, L.STEP_AGG_DAILY, **{"in": loads}),
+        _counted(agg, L.STEP_AGG_DAILY, out=one),
     ]
-    agg = A.agg_daily_sales(w.fact_orders, w.dim_customer, w.fact_items, w.dim_product)
-    parts += [_metric(agg, L.STEP_AGG_DAILY, "in"), _metric(agg, L.STEP_AGG_DAILY, "out")]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -527,14 +574,30 @@ def _pivot_counts(rows: DataFrame, keys: list[str]) -> DataFrame:
         return F.coalesce(F.sum(F.when(F.col("metric") == m, F.col("n"))), F.lit(0)).cast("long")
 
     return rows.groupBy(*keys).agg(
-        total("in").alias("records_in"), total("out").alias("records_out"), total("rejected").alias("records_rejected")
+        total("in").alias("records_in"),
+        total("out").alias("records_out"),
+        total("rejected").alias("records_rejected"),
+        total("merged").alias("records_merged"),
     )
 
 
 @query
 def step_counts(w: FixtureLoad) -> DataFrame:
     """Step detail of a batch (counts part): what each step reads, writes and rejects."""
-    return _pivot_counts(step_count_rows(w), ["step_name"])
+    return _pivot_counts(step_count_rows(w), ["step_name"]).drop("records_merged")
+
+
+@query
+def load_reconciliation(w: FixtureLoad) -> DataFrame:
+    """Every row a load reads is written, merged into its key's row, or rejected with a reason."""
+    from vitrine.functions import lookups as L
+
+    loads = [
+        L.STEP_DIM_CUSTOMER, L.STEP_DIM_SELLER, L.STEP_DIM_PRODUCT, L.STEP_FACT_ORDERS, L.STEP_FACT_ITEMS, L.STEP_FACT_REVIEWS,
+    ]
+    counts = _pivot_counts(step_count_rows(w).filter(F.col("step_name").isin(*loads)), ["step_name"])
+    total = F.col("records_out") + F.col("records_rejected") + F.col("records_merged")
+    return counts.withColumn("balanced", F.col("records_in") == total)
 
 
 @query
@@ -570,6 +633,41 @@ def ingest_orders_csv(w: FixtureLoad) -> DataFrame:
     return _csv_round_trip(w, "orders")
 
 
+@query
+def ingest_customers_csv(w: FixtureLoad) -> DataFrame:
+    return _csv_round_trip(w, "customers")
+
+
+@query
+def ingest_sellers_csv(w: FixtureLoad) -> DataFrame:
+    return _csv_round_trip(w, "sellers")
+
+
+@query
+def ingest_products_csv(w: FixtureLoad) -> DataFrame:
+    return _csv_round_trip(w, "products")
+
+
+@query
+def ingest_geolocation_csv(w: FixtureLoad) -> DataFrame:
+    return _csv_round_trip(w, "geolocation")
+
+
+@query
+def ingest_order_items_csv(w: FixtureLoad) -> DataFrame:
+    return _csv_round_trip(w, "order_items")
+
+
+@query
+def ingest_payments_csv(w: FixtureLoad) -> DataFrame:
+    return _csv_round_trip(w, "order_payments")
+
+
+@query
+def ingest_translation_csv(w: FixtureLoad) -> DataFrame:
+    return _csv_round_trip(w, "category_translation")
+
+
 @query
 def ingest_reviews_csv(w: FixtureLoad) -> DataFrame:
     return _csv_round_trip(w, "order_reviews")

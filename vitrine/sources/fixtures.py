@@ -93,10 +93,10 @@ def stg_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise("processing")
     )
     df = o.select(
-        k.cast("string").alias("order_id"),
+        F.when(k % 701 != 0, k.cast("string")).alias("order_id"),
         F.col("o_custkey").cast("string").alias("customer_id"),
         status.alias("order_status"),
-        _day_text(day, 0, "08:00:00").alias("order_purchase_timestamp"),
+        F.when(k % 499 == 0, "1998-13-45 08:00:00").otherwise(_day_text(day, 0, "08:00:00")).alias("order_purchase_timestamp"),
         F.when(k % 50 != 0, _day_text(day, (k % 3).cast("int"), "09:00:00")).alias("order_approved_at"),
         F.lit(None).cast("string").alias("order_delivered_carrier_date"),
         F.when(F.col("o_orderstatus") == "F", _day_text(day, (1 + k % 30).cast("int"), "18:00:00")).alias(
@@ -115,14 +115,21 @@ def stg_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity", "l_discount", "l_tax"
     )
     price = F.col("l_extendedprice").cast("decimal(12,2)")
-    negative = (F.col("l_orderkey") % 500 == 0) & (F.col("l_linenumber") == 7)
+    key, line = F.col("l_orderkey"), F.col("l_linenumber")
+    text = (
+        F.when((key % 613 == 0) & (line == 1), "n/a")
+        .when((key % 1009 == 0) & (line == 2), "12345678901.00")
+        .when((key % 500 == 0) & (line == 7), (-price).cast("string"))
+        .when(key % 11 == 0, F.concat(price.cast("string"), F.lit("495")))
+        .otherwise(price.cast("string"))
+    )
     df = li.select(
         F.col("l_orderkey").cast("string").alias("order_id"),
         F.row_number().over(w).cast("long").alias("order_item_id"),
         F.col("l_partkey").cast("string").alias("product_id"),
         F.col("l_suppkey").cast("string").alias("seller_id"),
         F.col("l_shipdate").cast("date").cast("string").alias("shipping_limit_date"),
-        F.when(negative, -price).otherwise(price).cast("string").alias("price"),
+        text.alias("price"),
         _money_text(F.col("l_quantity")).alias("freight_value"),
     )
     return _audit(df, "lineitem.parquet")
@@ -140,7 +147,10 @@ def stg_order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_linenumber").cast("long").alias("payment_sequential"),
         ptype.alias("payment_type"),
         (1 + F.col("l_linenumber")).cast("long").alias("payment_installments"),
-        _money_text(F.col("l_extendedprice")).alias("payment_value"),
+        F.when((F.col("l_orderkey") % 29 == 0) & (F.col("l_returnflag") == "A"), F.lit(None))
+        .when(F.col("l_orderkey") % 31 == 0, "10.00")
+        .otherwise(_money_text(F.col("l_extendedprice")))
+        .alias("payment_value"),
     )
     return _audit(df, "lineitem.parquet")
 
@@ -168,7 +178,7 @@ def stg_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     unique = F.when(k % 20 == 19, k - 1).otherwise(k)
     df = c.select(
         k.cast("string").alias("customer_id"),
-        F.concat(F.lit("u"), unique.cast("string")).alias("customer_unique_id"),
+        F.when(k % 211 != 0, F.concat(F.lit("u"), unique.cast("string"))).alias("customer_unique_id"),
         _zip(F.col("c_nationkey")).alias("customer_zip_code_prefix"),
         F.concat(F.lower("c_mktsegment"), F.lit(" do sul")).alias("customer_city"),
         _state(F.col("c_nationkey")).alias("customer_state"),
@@ -180,7 +190,7 @@ def stg_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = read_table(spark, sf_dir, "supplier")
     k = F.col("s_suppkey")
     df = s.select(
-        k.cast("string").alias("seller_id"),
+        F.when(k % 43 != 7, k.cast("string")).alias("seller_id"),
         _zip(F.col("s_nationkey")).alias("seller_zip_code_prefix"),
         F.concat(F.lit("porto-d'agua "), (k % 7).cast("string")).alias("seller_city"),
         _state(F.col("s_nationkey")).alias("seller_state"),
@@ -193,9 +203,10 @@ def stg_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("p_partkey")
     size = F.col("p_size").cast("long")
     name_len = F.length("p_name").cast("long")
+    variant = F.when(k % 3 == 0, F.concat(F.lit("_"), (k % 4).cast("string"))).otherwise("")
     df = p.select(
-        k.cast("string").alias("product_id"),
-        F.when(k % 200 != 0, F.concat(F.lit("cat_"), F.lower("p_type"))).alias("product_category_name"),
+        F.when(k % 307 != 0, k.cast("string")).alias("product_id"),
+        F.when(k % 200 != 0, F.concat(F.lit("cat_"), F.lower("p_type"), variant)).alias("product_category_name"),
         name_len.alias("product_name_lenght"),
         (name_len * 10).alias("product_description_lenght"),
         (size % 5).alias("product_photos_qty"),
@@ -208,13 +219,15 @@ def stg_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stg_geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = read_table(spark, sf_dir, "customer").filter(F.col("c_nationkey") != 7)
+    c = read_table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
     frac = F.lpad((k % 1000).cast("string"), 3, "0")
     mark = F.when(k % 2 == 0, ",").otherwise(".")
     df = c.select(
-        _zip(F.col("c_nationkey")).alias("geolocation_zip_code_prefix"),
-        F.concat(F.lit("-"), (k % 33).cast("string"), mark, frac).alias("geolocation_lat"),
+        F.when(F.col("c_nationkey") == 7, "99907").otherwise(_zip(F.col("c_nationkey"))).alias("geolocation_zip_code_prefix"),
+        F.when(k % 401 == 0, "-123456.5")
+        .otherwise(F.concat(F.lit("-"), (k % 33).cast("string"), mark, frac))
+        .alias("geolocation_lat"),
         F.concat(F.lit("-"), (35 + k % 35).cast("string"), F.lit("."), frac).alias("geolocation_lng"),
         F.lit(None).cast("string").alias("geolocation_city"),
         F.lit(None).cast("string").alias("geolocation_state"),

@@ -18,9 +18,10 @@ def test_failed_publish_keeps_previous_version(spark, tmp_root):
     assert wh.versions("agg_daily_sales") == [1]
     assert wh.current("agg_daily_sales").count() == 3  # never emptied, unlike truncate-then-insert
     assert wh.publish("agg_daily_sales", spark.range(7)) == 7
-    assert wh.versions("agg_daily_sales") == [1, 2] and wh.current("agg_daily_sales").count() == 7
+    # the failed write's number stays claimed
+    assert wh.versions("agg_daily_sales") == [1, 3] and wh.current("agg_daily_sales").count() == 7
     assert wh.prune("agg_daily_sales", keep=1) == [1]
-    assert wh.versions("agg_daily_sales") == [2]
+    assert wh.versions("agg_daily_sales") == [3]
 
 
 def test_append_counts_and_reads(spark, tmp_root):
@@ -40,5 +41,5 @@ def test_log_reject_appends_one_row(spark, tmp_root):
     rows = log.wh.read("stg_rejected_records").collect()
     assert len(rows) == 1
     r = rows[0]
-    assert (r.source_table, r.source_key, r.raw_data, r.etl_batch_id) == ("STG_ORDERS", "o9", "o9,c1", 5)
+    assert (r.source_table, r.source_key, r.raw_data, r.etl_batch_id, r.attempt) == ("STG_ORDERS", "o9", "o9,c1", 5, 1)
     assert len(r.reject_reason) == 1000  # reason cut to 1000 characters

@@ -6,6 +6,8 @@
     python -m vitrine health   --root ROOT
     python -m vitrine steps    --root ROOT --batch N
     python -m vitrine watch    --root ROOT --landing DIR
+    python -m vitrine report   --root ROOT --name top_categories|monthly_revenue|late_rate_by_state|constraint_errors
+    python -m vitrine prune    --root ROOT --keep N
 """
 
 from __future__ import annotations
@@ -16,26 +18,30 @@ import sys
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="vitrine")
-    ap.add_argument("command", choices=["run", "rerun", "hourly", "health", "steps", "watch"])
+    ap.add_argument("command", choices=["run", "rerun", "hourly", "health", "steps", "watch", "report", "prune"])
     ap.add_argument("--root", required=True, help="warehouse root folder (shared storage)")
-    ap.add_argument("--feeds", help="folder with the nine feed files")
+    ap.add_argument("--feeds", help="folder with the nine feed files (default: rows staged as batch 0)")
     ap.add_argument("--landing", help="folder that receives feed drops (watch)")
     ap.add_argument("--batch", type=int)
     ap.add_argument("--as-of", dest="as_of")
     ap.add_argument("--strict", action="store_true")
     ap.add_argument("--bridge", action="store_true", help="resolve orders through the customer unique id")
     ap.add_argument("--triggered-by", default="CLI")
+    ap.add_argument("--error-limit", type=int, help="rejected rows of a feed that stop the run (default: no limit)")
+    ap.add_argument("--keep", type=int, help="versions to keep (prune)")
+    reports = ["top_categories", "monthly_revenue", "late_rate_by_state", "constraint_errors"]
+    ap.add_argument("--name", choices=reports, default=reports[0])
     a = ap.parse_args(argv)
 
     from vitrine.plans.pipeline import Pipeline, RunOptions
     from vitrine.session import get_session
 
     spark = get_session()
-    opts = RunOptions(as_of=a.as_of, strict=a.strict, customer_lookup="bridge" if a.bridge else "customer_id")
+    opts = RunOptions(
+        as_of=a.as_of, strict=a.strict, customer_lookup="bridge" if a.bridge else "customer_id", error_limit=a.error_limit
+    )
     p = Pipeline(spark, a.root, opts)
     if a.command == "run":
-        if not a.feeds:
-            ap.error("run needs --feeds")
         print(f"batch {p.run_pipeline(a.triggered_by, feeds_dir=a.feeds)} loaded")
         p.health_check().show(truncate=False)
     elif a.command == "rerun":
@@ -47,6 +53,10 @@ def main(argv: list[str] | None = None) -> int:
         p.health_check().show(truncate=False)
     elif a.command == "steps":
         p.step_detail(a.batch).show(truncate=False)
+    elif a.command == "report":
+        getattr(p, a.name)().show(1000, truncate=False)
+    elif a.command == "prune":
+        print(p.prune(a.keep or 1))
     elif a.command == "watch":
         from vitrine.streaming.feed_watch import watch_feeds
 

@@ -11,9 +11,9 @@ staging partition of the batch is kept for exactly this purpose.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.functions import lookups as L
@@ -24,6 +24,7 @@ from vitrine.operators import quality as Q
 from vitrine.plans import reports as R
 from vitrine.plans.runlog import RunLog, StepCounts
 from vitrine.plans.warehouse import Warehouse
+from vitrine.session import scratch_path
 from vitrine.sources import ingest as I
 from vitrine.sources.feeds import FEEDS, Staging
 
@@ -35,14 +36,16 @@ class RunOptions:
     strict: bool = False  # drop rejected rows from the loads
     one_review_per_id: bool = False
     product_versions: str = "current"  # or "all" (aggregate keeps items of expired product versions)
-    keep_versions: int = 5  # published snapshot versions kept per table (older ones are deleted)
-    error_limit: int = I.DEFAULT_ERROR_LIMIT
+    error_limit: int | None = None  # rejected rows of a feed that stop a run; none by default
+    started: dt.datetime | None = None  # set once per run, so a run over midnight has one date
 
     def day(self) -> str:
-        return self.as_of or dt.date.today().isoformat()
+        return self.as_of or f"{self.started or dt.datetime.now(dt.timezone.utc):%Y-%m-%d}"
 
     def load_ts(self) -> str:
-        return f"{self.day()} {dt.datetime.now():%H:%M:%S}" if self.as_of is None else f"{self.as_of} 00:00:00"
+        if self.as_of is not None:
+            return f"{self.as_of} 00:00:00"
+        return f"{self.started or dt.datetime.now(dt.timezone.utc):%Y-%m-%d %H:%M:%S}"
 
 
 def _count_observed(df: DataFrame, name: str, **metrics) -> tuple[DataFrame, Observation]:
@@ -61,9 +64,30 @@ class Pipeline:
 
     def validate_staging(self, stg: Staging, batch_id: int, attempt: int) -> DataFrame:
         with self.log.step(batch_id, L.STEP_DQ, attempt) as c:
-            rejects = Q.validate_staging(stg, batch_id)
-            c.records_rejected = self.wh.append("stg_rejected_records", rejects)
-        return self.wh.read("stg_rejected_records").filter(F.col("etl_batch_id") == batch_id)
+            c.records_rejected = self._reject(Q.validate_staging(stg, batch_id), batch_id, attempt)
+        mine = (F.col("etl_batch_id") == batch_id) & (F.col("attempt") == attempt)
+        return self.wh.read("stg_rejected_records").filter(mine)
+
+    def _reject(self, rows: DataFrame, batch_id: int, attempt: int) -> int:
+        return self.wh.append_rejects(rows, batch_id, attempt, self.opts.load_ts())
+
+    def _leave_out(self, rows: DataFrame, table: str, key: Column, raw: str, batch_id: int, attempt: int) -> int:
+        """Rows a fact load leaves out (with their ``reason``), as reject rows."""
+        return self._reject(
+            rows.select(
+                F.lit(table).alias("source_table"),
+                F.coalesce(key.cast("string"), F.lit(L.NULL_KEY_TEXT)).alias("source_key"),
+                F.col("reason").alias("reject_reason"),
+                F.col(raw).cast("string").alias("raw_data"),
+            ),
+            batch_id,
+            attempt,
+        )
+
+    def _reject_keyless(self, stg: Staging, table: str, batch_id: int, attempt: int) -> int:
+        return self._reject(
+            D.keyless_rows(stg, batch_id).filter(F.col("source_table") == table), batch_id, attempt
+        )
 
     def _strict(self, stg: Staging, rejects: DataFrame) -> Staging:
         return Q.strict_staging(stg, rejects) if self.opts.strict else stg
@@ -82,16 +106,22 @@ class Pipeline:
             )
             self.wh.publish("dim_customer", merged.drop("merge_action"))
             c.records_in = stg.customers.count()
+            c.records_rejected = self._reject_keyless(stg, "STG_CUSTOMERS", batch_id, attempt)
             c.records_out = int(obs.get["changed"])
         self.log.set_watermarks(["CUSTOMERS"], batch_id)
 
     def load_dim_seller(self, stg: Staging, batch_id: int, attempt: int) -> None:
         with self.log.step(batch_id, L.STEP_DIM_SELLER, attempt) as c:
             src = D.seller_source(stg, batch_id)
-            dups = Q.duplicate_keys(src, ["seller_id"], "DIM_SELLER source").limit(20).collect()
-            if dups:
-                keys = ", ".join(r["key_value"] for r in dups)
-                raise ValueError(f"sellers with more than one address in batch {batch_id}: {keys}")
+            dups = Q.duplicate_keys(src, ["seller_id"], "STG_SELLERS").select(
+                F.col("table_name").alias("source_table"),
+                F.col("key_value").alias("source_key"),
+                F.lit(L.REJECT_SELLER_ADDRESSES).alias("reject_reason"),
+                F.col("occurrences").cast("string").alias("raw_data"),
+            )
+            if n := self._reject(dups, batch_id, attempt):
+                c.records_rejected = n
+                raise ValueError(f"{n} sellers have more than one address in batch {batch_id}; see the reject table")
             target = self.wh.current("dim_seller")
             start = self.wh.max_value(target, "seller_key")
             merged = D.scd1_upsert(target, src, "seller_id", "seller_key", D.SELLER_COLUMNS, self.opts.load_ts(), start)
@@ -100,6 +130,7 @@ class Pipeline:
             )
             self.wh.publish("dim_seller", merged.drop("merge_action"))
             c.records_in = stg.sellers.count()
+            c.records_rejected = self._reject_keyless(stg, "STG_SELLERS", batch_id, attempt)
             c.records_out = int(obs.get["changed"])
         self.log.set_watermarks(["SELLERS"], batch_id)
 
@@ -115,6 +146,7 @@ class Pipeline:
             )
             self.wh.publish("dim_product", new)
             c.records_in = stg.products.count()
+            c.records_rejected = self._reject_keyless(stg, "STG_PRODUCTS", batch_id, attempt)
             c.records_out = int(obs.get["inserted"])
         self.log.set_watermarks(["PRODUCTS"], batch_id)
 
@@ -123,27 +155,32 @@ class Pipeline:
             loaded = self.wh.read("fact_orders").select("order_id")
             dim = self.wh.current("dim_customer")
             rows = FT.fact_orders(stg, dim, batch_id, loaded, self.opts.customer_lookup)
-            c.records_out = self.wh.append("fact_orders", rows.select(*FT.FACT_ORDER_COLUMNS))
             unresolved = FT.fact_orders_unresolved(stg, dim, batch_id, loaded, self.opts.customer_lookup)
-            c.records_rejected = self.wh.append(
-                "stg_rejected_records",
-                unresolved.select(
-                    F.lit("STG_ORDERS").alias("source_table"), F.col("order_id").alias("source_key"),
-                    F.col("reason").alias("reject_reason"), F.col("customer_id").alias("raw_data"),
-                    F.lit(batch_id).cast("long").alias("etl_batch_id"),
-                ),
+            c.records_rejected = self._leave_out(
+                unresolved, "STG_ORDERS", F.col("order_id"), "customer_id", batch_id, attempt
             )
+            c.records_out = self.wh.append("fact_orders", rows.select(*FT.FACT_ORDER_COLUMNS))
             c.records_in = stg.orders.count()
         self.log.set_watermarks(["ORDERS"], batch_id)
 
     def load_fact_order_items(self, stg: Staging, batch_id: int, attempt: int) -> None:
         with self.log.step(batch_id, L.STEP_FACT_ITEMS, attempt) as c:
             loaded = self.wh.read("fact_order_items").select("order_id", "order_item_id")
-            rows = FT.fact_order_items(
+            rows = FT.resolved_items(
                 stg, self.wh.current("dim_customer"), self.wh.current("dim_product"), self.wh.current("dim_seller"),
                 batch_id, loaded,
             )
-            c.records_out = self.wh.append("fact_order_items", rows.select(*FT.FACT_ITEM_COLUMNS))
+            # resolved once: written to the shared folder, then split into facts and rejects
+            scratch = scratch_path(self.spark, f"items-{batch_id}-{attempt}")
+            rows.write.parquet(scratch)
+            rows = self.spark.read.schema(rows.schema).parquet(scratch)
+            item = Q.item_key()
+            c.records_rejected = self._leave_out(
+                rows.filter(F.col("reason").isNotNull()), "STG_ORDER_ITEMS", item, "product_id", batch_id, attempt
+            )
+            loads = rows.filter(F.col("reason").isNull()).select(*FT.FACT_ITEM_COLUMNS)
+            c.records_out = self.wh.append("fact_order_items", loads)
+            self.wh.fs.delete(scratch)
             c.records_in = stg.order_items.count()
         self.log.set_watermarks(["ORDER_ITEMS"], batch_id)
 
@@ -151,6 +188,10 @@ class Pipeline:
         with self.log.step(batch_id, L.STEP_FACT_REVIEWS, attempt) as c:
             loaded = self.wh.read("fact_reviews").select("review_id")
             rows = FT.fact_reviews(stg, batch_id, loaded, self.opts.one_review_per_id)
+            c.records_rejected = self._leave_out(
+                FT.fact_reviews_unresolved(stg, batch_id, loaded), "STG_ORDER_REVIEWS", F.col("review_id"), "order_id",
+                batch_id, attempt,
+            )
             c.records_out = self.wh.append("fact_reviews", rows.select(*FT.FACT_REVIEW_COLUMNS))
             c.records_in = stg.order_reviews.count()
         self.log.set_watermarks(["ORDER_REVIEWS"], batch_id)
@@ -161,15 +202,20 @@ class Pipeline:
                 self.wh.read("fact_orders"), self.wh.current("dim_customer"), self.wh.read("fact_order_items"),
                 self.wh.current("dim_product"), self.opts.product_versions,
             ).withColumn("etl_batch_id", F.lit(batch_id).cast("long"))
-            n = self.wh.publish("agg_daily_sales", agg)
-            c.records_in = c.records_out = n
+            c.records_out = self.wh.publish("agg_daily_sales", agg)
+            c.records_in = self.wh.read("fact_order_items").count()
 
     # ----------------------------------------------------------------- runs
 
-    def _prune(self) -> None:
-        if self.opts.keep_versions > 0:
-            for table in ("dim_customer", "dim_seller", "dim_product", "agg_daily_sales", "etl_watermark"):
-                self.wh.prune(table, self.opts.keep_versions)
+    def prune(self, keep: int) -> dict[str, list[int]]:
+        """Delete all but the newest ``keep`` (at least 1) versions of each table; nothing calls this by itself."""
+        if keep < 1:
+            raise ValueError("keep must be at least 1")
+        return {t: self.wh.prune(t, keep) for t in self.wh.SNAPSHOT_SCHEMAS}
+
+    def _begin(self) -> None:
+        """One clock reading for the whole run."""
+        self.opts = replace(self.opts, started=dt.datetime.now(dt.timezone.utc))
 
     def run_all(self, batch_id: int, attempt: int = 1) -> None:
         """All transform steps of one batch, in dependency order."""
@@ -183,12 +229,16 @@ class Pipeline:
         self.load_fact_order_items(stg, batch_id, attempt)
         self.load_fact_reviews(stg, batch_id, attempt)
         self.refresh_agg_daily_sales(batch_id, attempt)
-        self._prune()
 
     def run_pipeline(
         self, triggered_by: str = "SCHEDULER", feeds_dir: str | None = None, staging: Staging | None = None
     ) -> int:
-        """Open a batch, load its staging (CSV feeds or given DataFrames), transform, close."""
+        """Open a batch, load its staging, transform, close.
+
+        Staging comes from CSV feeds, from given DataFrames, or (with neither)
+        from rows that an outside loader left in the staging tables as batch 0.
+        """
+        self._begin()
         self.log.seed_watermarks()
         batch_id = self.log.start_batch(triggered_by=triggered_by)
         try:
@@ -202,7 +252,7 @@ class Pipeline:
                     c.records_out = sum(I.stage_batch(self.wh, staging, batch_id).values())
                     c.records_in = c.records_out
                 else:
-                    raise ValueError("either feeds_dir or staging is required")
+                    c.records_out = c.records_in = sum(I.claim_batch_zero(self.wh, batch_id).values())
             self.run_all(batch_id)
         except Exception as e:
             self.log.end_batch(batch_id, "FAILED", f"{type(e).__name__}: {e}")
@@ -212,6 +262,7 @@ class Pipeline:
 
     def rerun_batch(self, batch_id: int) -> None:
         """Run the transforms of an earlier batch again on its kept staging partition."""
+        self._begin()
         cur = self.log.batch(batch_id)
         if cur is None:
             raise KeyError(f"batch {batch_id} does not exist")
@@ -229,8 +280,9 @@ class Pipeline:
 
     def refresh_hourly(self, triggered_by: str = "SCHEDULER") -> int:
         """The hourly job: its own batch row around an aggregate refresh."""
+        self._begin()
         batch_id = self.log.start_batch(
-            f"{L.HOURLY_BATCH_PREFIX}{dt.datetime.now():%H%M%S}", L.HOURLY_PIPELINE_NAME, triggered_by
+            f"{L.HOURLY_BATCH_PREFIX}{self.opts.started:%H%M%S}", L.HOURLY_PIPELINE_NAME, triggered_by
         )
         try:
             self.refresh_agg_daily_sales(batch_id)
@@ -242,6 +294,45 @@ class Pipeline:
 
     # -------------------------------------------------------------- reports
 
+    def top_categories(self, n: int = 10) -> DataFrame:
+        items, orders = self.wh.read("fact_order_items"), self.wh.read("fact_orders")
+        return R.top_categories(items, orders, self.wh.current("dim_product"), n, self.opts.product_versions)
+
+    def monthly_revenue(self) -> DataFrame:
+        """Delivered orders and revenue per month of the warehouse calendar."""
+        return R.monthly_revenue(self.wh.read("fact_orders"), self.calendar())
+
+    def late_rate_by_state(self) -> DataFrame:
+        return R.late_rate_by_state(self.wh.read("fact_orders"), self.wh.current("dim_customer"))
+
+    def calendar(self) -> DataFrame:
+        """The stored calendar table; written on first use."""
+        if not self.wh.versions("dim_date"):
+            self.wh.publish("dim_date", A.dim_date(self.spark))
+        return self.wh.current("dim_date")
+
+    def constraint_errors(self) -> DataFrame:
+        """Keys of the loaded tables that occur twice or point nowhere: (constraint_name, key_value, occurrences)."""
+        orders, items, dates = self.wh.read("fact_orders"), self.wh.read("fact_order_items"), self.calendar()
+        named = {
+            "dim_customer": (self.wh.current("dim_customer"), ["customer_unique_id"]),
+            "dim_seller": (self.wh.current("dim_seller"), ["seller_id"]),
+            "fact_orders": (orders, ["order_id"]),
+            "fact_order_items": (items, ["order_id", "order_item_id"]),
+            "dim_date": (dates, ["date_key"]),
+        }
+        out = None
+        for table, (df, keys) in named.items():
+            dup = Q.duplicate_keys(df, keys, table.upper()).withColumnRenamed("table_name", "constraint_name")
+            out = dup if out is None else out.unionByName(dup)
+        for child, col, parent, name in (
+            (orders, "customer_key", self.wh.current("dim_customer"), "FACT_ORD_CUST_FK"),
+            (items, "product_key", self.wh.current("dim_product"), "FACT_ITEM_PROD_FK"),
+            (items, "seller_key", self.wh.current("dim_seller"), "FACT_ITEM_SELL_FK"),
+        ):
+            out = out.unionByName(Q.orphans(child, [col], parent, [col], name))
+        return out.unionByName(Q.orphans(orders, ["order_date_key"], dates, ["date_key"], "FACT_ORD_DATE_FK"))
+
     def health_check(self, n: int = 5) -> DataFrame:
         return R.health_check(self.log.batches(), n)
 

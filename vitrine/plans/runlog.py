@@ -10,6 +10,7 @@ the latest attempt only, so a re-run does not double count.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -24,7 +25,8 @@ _STATUS_RANK = {"RUNNING": 0, "RERUN": 1, "SUCCESS": 2, "FAILED": 2}
 
 
 def _now() -> dt.datetime:
-    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    """The time now; aware, so a driver outside UTC writes the same instant."""
+    return dt.datetime.now(dt.timezone.utc)
 
 
 def latest_events(log: DataFrame, key: str) -> DataFrame:
@@ -67,9 +69,9 @@ class RunLog:
         """Current state of every step."""
         return latest_events(self.step_events(), "step_log_id")
 
-    def _append(self, table: str, ddl: str, row: dict) -> None:
+    def _append(self, table: str, ddl: str, row: dict, partition_by: str | None = None) -> None:
         df = self.spark.createDataFrame([Row(**row)], ddl)
-        self.wh.append(table, df.coalesce(1), partition_by=None)
+        self.wh.append(table, df.coalesce(1), partition_by)
 
     # ------------------------------------------------------------ batches
 
@@ -84,7 +86,7 @@ class RunLog:
     ) -> int:
         now = _now()
         if batch_id is None:
-            batch_id = self.wh.max_value(self.batch_events(), "batch_id") + 1
+            batch_id = self.wh.claim_id("batch", self.wh.max_value(self.batch_events(), "batch_id"))
         name = batch_name or f"{L.BATCH_NAME_PREFIX}{now:%Y%m%d_%H%M%S}"
         self._append(
             "etl_batch_log",
@@ -127,7 +129,7 @@ class RunLog:
 
     def start_step(self, batch_id: int, step_name: str, attempt: int = 1) -> int:
         now = _now()
-        step_id = self.wh.max_value(self.step_events(), "step_log_id") + 1
+        step_id = self.wh.claim_id("step", self.wh.max_value(self.step_events(), "step_log_id"))
         self._append(
             "etl_step_log",
             schemas.STEP_LOG,
@@ -146,7 +148,7 @@ class RunLog:
         cur.update(
             step_status=status, records_in=counts.records_in, records_out=counts.records_out,
             records_rejected=counts.records_rejected, end_dt=end,
-            duration_secs=round((end - cur["start_dt"]).total_seconds(), 1),
+            duration_secs=round((end - cur["start_dt"].astimezone()).total_seconds(), 1),  # collected as local time
             error_message=(err or None) and err[:4000], event_ts=end,
         )
         self._append("etl_step_log", schemas.STEP_LOG, cur)
@@ -163,13 +165,16 @@ class RunLog:
             raise
         self.end_step(step_id, "SUCCESS", counts)
 
-    def log_reject(self, batch_id: int, table: str, key: str | None, reason: str, raw: str | None = None) -> None:
-        """Append one reject row on its own, outside any step's write."""
+    def log_reject(
+        self, batch_id: int, table: str, key: str | None, reason: str, raw: str | None = None, attempt: int = 1
+    ) -> None:
+        """Append one reject row on its own, outside any step's write (reasons hold 1,000 characters, keys any length)."""
         self._append(
             "stg_rejected_records",
             schemas.REJECTS,
-            dict(source_table=table, source_key=None if key is None else key[:500], reject_reason=reason[:1000],
-                 raw_data=raw, etl_batch_id=batch_id),
+            dict(reject_id=str(uuid.uuid4()), source_table=table, source_key=key, reject_reason=reason[:1000],
+                 raw_data=raw, attempt=attempt, reject_dt=_now(), etl_batch_id=batch_id),
+            "etl_batch_id",
         )
 
     # --------------------------------------------------------- watermarks

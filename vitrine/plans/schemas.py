@@ -32,7 +32,10 @@ FACT_REVIEWS = (
     "review_id string, order_id string, review_date_key int, review_score int, sentiment string, "
     "has_comment_title string, has_comment_message string, response_days int, etl_batch_id bigint"
 )
-REJECTS = "source_table string, source_key string, reject_reason string, raw_data string, etl_batch_id bigint"
+REJECTS = (
+    "reject_id string, source_table string, source_key string, reject_reason string, raw_data string, "
+    "attempt int, reject_dt timestamp, etl_batch_id bigint"
+)
 BATCH_LOG = (
     "batch_id bigint, attempt int, batch_name string, pipeline_name string, start_dt timestamp, "
     "end_dt timestamp, status string, total_records bigint, success_records bigint, rejected_records bigint, "

@@ -22,8 +22,6 @@ same code runs on HDFS, object stores and local disks.
 from __future__ import annotations
 
 import re
-from contextlib import suppress
-
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,6 +61,18 @@ class FileSystem:
             return []
         return [s.getPath().getName() for s in fs.listStatus(p)]
 
+    def claim(self, path: str) -> bool:
+        """Create an empty file; False if it exists already (only one of two writers gets True)."""
+        p, fs = self._fs(path)
+        fs.mkdirs(p.getParent())
+        try:
+            fs.create(p, False).close()
+        except Exception as e:
+            if fs.exists(p):
+                return False
+            raise e
+        return True
+
     def delete(self, path: str) -> None:
         p, fs = self._fs(path)
         if fs.exists(p):
@@ -86,6 +96,7 @@ class Warehouse:
         "dim_product": schemas.DIM_PRODUCT,
         "etl_watermark": schemas.WATERMARK,
         "agg_daily_sales": None,
+        "dim_date": None,
     }
 
     def __init__(self, spark: SparkSession, root: str):
@@ -125,6 +136,27 @@ class Warehouse:
         writer.parquet(self.path(table))
         return int(obs.get["rows"])
 
+    def append_rejects(self, df: DataFrame, batch_id: int, attempt: int, at: str) -> int:
+        """Append reject rows (table, key, reason, raw text) with an id, the attempt and the time."""
+        rows = df.select(
+            F.expr("uuid()").alias("reject_id"),
+            "source_table",
+            "source_key",
+            "reject_reason",
+            "raw_data",
+            F.lit(attempt).cast("int").alias("attempt"),
+            F.lit(at).cast("timestamp").alias("reject_dt"),
+            F.lit(batch_id).cast("long").alias("etl_batch_id"),
+        )
+        return self.append("stg_rejected_records", rows)
+
+    def claim_id(self, kind: str, last: int) -> int:
+        """The next id above ``last`` that no other run has claimed (an exclusive create decides)."""
+        n = last + 1
+        while not self.fs.claim(f"{self.root}/_claims/{kind}/{n}"):
+            n += 1
+        return n
+
     # ----------------------------------------------------------- snapshot
 
     def versions(self, table: str) -> list[int]:
@@ -147,13 +179,14 @@ class Warehouse:
         return reader.parquet(f"{self.path(table)}/v={v[-1]:06d}")
 
     def publish(self, table: str, df: DataFrame) -> int:
-        """Write the next version; it becomes current when the write commits."""
+        """Write the next version; it becomes current when the write commits.
+
+        The version number is claimed first, so two runs never write to one
+        folder; a claimed version whose write failed is simply never current.
+        """
         v = self.versions(table)
-        nxt = (v[-1] + 1) if v else 1
+        nxt = self.claim_id(f"version-{table}", v[-1] if v else 0)
         target = f"{self.path(table)}/v={nxt:06d}"
-        # A folder without _SUCCESS is a failed earlier attempt: replace it.
-        with suppress(Exception):
-            self.fs.delete(target)
         obs = Observation(f"publish_{table}_{nxt}")
         df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(target)
         return int(obs.get["rows"])

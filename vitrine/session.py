@@ -11,6 +11,7 @@ setting is absent (tests, a laptop) is a local default used.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -45,11 +46,16 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is used as is. Only
-    when it is unset (tests) is a fresh local folder created.
+    On a cluster this setting must point at shared storage and is used as is:
+    executors and driver would not see each other's local folders, so a
+    missing setting is an error there. Only a local session (tests, a laptop)
+    gets a fresh local folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not re.match(r"local($|\[)", master):
+            raise RuntimeError(f"spark.checkpoint.dir must name shared storage on {master}")
         d = tempfile.mkdtemp(prefix="vitrine-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", d)

@@ -9,8 +9,10 @@ whatever the feed size; quoted free text (reviews) is read multi-line, every
 other feed stays splittable.
 
 Short rows are padded with NULLs and extra fields of long rows are dropped,
-as the permissive reader does; the header line is skipped. More rejects than
-``error_limit`` fails the feed before anything is published.
+as the permissive reader does; the header line is skipped. An empty feed loads
+zero rows and replaces the batch's partition like any other. With an
+``error_limit``, more rejects than that fail the feed before anything is
+published; by default there is none.
 """
 
 from __future__ import annotations
@@ -21,7 +23,6 @@ from pyspark.sql import functions as F
 from vitrine.session import scratch_path
 from vitrine.sources.feeds import FEEDS, LOAD_ORDER, Feed, Staging
 
-DEFAULT_ERROR_LIMIT = 1000
 
 
 class TooManyRejects(RuntimeError):
@@ -89,7 +90,7 @@ def ingest_feed(
     path: str,
     batch_id: int,
     load_ts: str,
-    error_limit: int = DEFAULT_ERROR_LIMIT,
+    error_limit: int | None = None,
 ) -> tuple[int, int]:
     """Load one feed file (or folder) into ``stg_<feed>``; returns (loaded, rejected)."""
     spark = wh.spark
@@ -98,29 +99,30 @@ def ingest_feed(
     tagged = spark.read.parquet(scratch)
     bad = tagged.filter(F.col("_reject_reason").isNotNull())
     rejected = bad.count()
-    if rejected > error_limit:
+    if error_limit is not None and rejected > error_limit:
         raise TooManyRejects(f"{feed.file_name}: {rejected} rejected rows > limit {error_limit}")
     if rejected:
-        wh.append(
-            "stg_rejected_records",
+        wh.append_rejects(
             bad.select(
                 F.lit(feed.table.upper()).alias("source_table"),
-                F.substring(_key(feed), 1, 500).alias("source_key"),
+                _key(feed).alias("source_key"),
                 F.col("_reject_reason").alias("reject_reason"),
                 F.col("_raw").alias("raw_data"),
-                "etl_batch_id",
             ),
+            batch_id,
+            1,
+            load_ts,
         )
     good = tagged.filter(F.col("_reject_reason").isNull()).drop("_reject_reason", "_raw")
-    loaded = write_staging(wh, feed.name, good)
+    loaded = write_staging(wh, feed.name, good, batch_id)
     wh.fs.delete(scratch)
     return loaded, rejected
 
 
-def write_staging(wh, name: str, df: DataFrame) -> int:
-    """Replace this batch's partition of ``stg_<name>`` (other batches are kept)."""
+def write_staging(wh, name: str, df: DataFrame, batch_id: int) -> int:
+    """Replace this batch's partition of ``stg_<name>`` as a whole, also by nothing (other batches are kept)."""
     feed = FEEDS[name]
-    cols = [f.name for f in feed.staging_schema().fields]
+    cols = [f.name for f in feed.staging_schema().fields if f.name != "etl_batch_id"]
     from pyspark.sql import Observation
 
     obs = Observation(f"stage_{name}")
@@ -128,14 +130,12 @@ def write_staging(wh, name: str, df: DataFrame) -> int:
         df.select(*cols)
         .observe(obs, F.count(F.lit(1)).alias("rows"))
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("etl_batch_id")
-        .parquet(wh.path(feed.table))
+        .parquet(f"{wh.path(feed.table)}/etl_batch_id={batch_id}")
     )
     return int(obs.get["rows"])
 
 
-def ingest_all(wh, feeds_dir: str, batch_id: int, load_ts: str, error_limit: int = DEFAULT_ERROR_LIMIT) -> dict:
+def ingest_all(wh, feeds_dir: str, batch_id: int, load_ts: str, error_limit: int | None = None) -> dict:
     """Load all nine feeds of ``feeds_dir`` in the fixed load order."""
     out = {}
     for feed in LOAD_ORDER:
@@ -148,7 +148,21 @@ def stage_batch(wh, stg: Staging, batch_id: int) -> dict[str, int]:
     """Write already-typed staging DataFrames (e.g. the test views) as batch ``batch_id``."""
     out = {}
     for name, df in stg.tables().items():
-        out[name] = write_staging(wh, name, df.withColumn("etl_batch_id", F.lit(batch_id).cast("long")))
+        out[name] = write_staging(wh, name, df, batch_id)
+    return out
+
+
+def claim_batch_zero(wh, batch_id: int) -> dict[str, int]:
+    """Rows that an outside loader staged with batch 0 become batch ``batch_id``; a feed without any is empty."""
+    out = {}
+    for name, feed in FEEDS.items():
+        zero = f"{wh.path(feed.table)}/etl_batch_id=0"
+        schema = feed.staging_schema()
+        cols = [f for f in schema.fields if f.name != "etl_batch_id"]
+        kept = type(schema)(cols)
+        df = wh.spark.read.schema(kept).parquet(zero) if wh.fs.exists(zero) else wh.spark.createDataFrame([], kept)
+        out[name] = write_staging(wh, name, df, batch_id)
+        wh.fs.delete(zero)
     return out
 
 

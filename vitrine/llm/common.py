@@ -62,6 +62,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_sample(df: DataFrame, by: str, n: int) -> DataFrame:
+    """At most ``n`` distinct rows, those of the smallest hashes of column ``by``; the same at every run.
+
+    A hash bound from the row count first cuts the rows to a few times ``n``, so
+    the final sort meets no more than that, whatever the input and its copies.
+    """
+    total = df.count()
+    if total > 4 * n:
+        cells = 1 << 32
+        df = df.where(F.pmod(F.xxhash64(by), F.lit(cells)) < cells * 4 * n // total)
+    return df.distinct().orderBy(F.xxhash64(by), by).limit(n)
+
+
 def documents(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return df.select(*cols) if cols else df

@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import Input, documents
+from vitrine.llm.common import Input, bounded_sample, documents
 
 NONE, UNKNOWN = "none", "unknown"
 
@@ -288,8 +288,8 @@ def license_scan(
     spark = docs.sparkSession
     src = Input(docs, text=text_col)
     text = F.coalesce(src["text"], F.lit(""))
-    some = src.df.select(src["text"].alias("text")).where("text is not null").orderBy(F.xxhash64("text"), "text")
-    lines = some.limit(sample_docs).select(F.explode(F.split("text", "\n")).alias("line"))
+    some = bounded_sample(src.df.select(src["text"].alias("text")).where("text is not null"), "text", sample_docs)
+    lines = some.select(F.explode(F.split("text", "\n")).alias("line"))
     lines = lines.where("trim(line) <> ''").orderBy(F.xxhash64("line"), "line").limit(sample_lines)
     model = train(spark, lines)
 

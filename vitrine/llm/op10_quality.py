@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vitrine.llm.common import Input, crc_mod, documents, map_texts
+from vitrine.llm.common import Input, bounded_sample, crc_mod, documents, map_texts
 
 LETTER, UPPER, DIGIT, SPACE, POINT, SYMBOL = 1, 2, 4, 8, 16, 32
 POINTS = ".,;:'\"!?()-’‘“”¿¡"
@@ -240,7 +240,7 @@ def sample_features(docs: DataFrame, labels: DataFrame, train_docs: int, train_l
     agreed = labels.where("label is not null and id is not null").groupBy("id").agg(
         F.min("label").alias("label"), F.max("label").alias("other")
     )
-    chosen = agreed.where("label = other").orderBy(F.xxhash64("id"), "id").limit(train_docs).select("id", "label")
+    chosen = bounded_sample(agreed.where("label = other").select("id", "label"), "id", train_docs)
     sample = docs.join(F.broadcast(chosen), "id")  # bounded by train_docs
     fields = [T.StructField(c, T.BinaryType()) for c in ("own", "size")]
 

@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import Input, written
+from vitrine.llm.common import Input, bounded_sample, written
 
 EXACT = 2.0**52  # products up to this are exact in doubles, in any order of adding
 SLACK = 1e-9
@@ -224,7 +224,7 @@ def top_k(
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     dims = max(1, dims)
 
-    some = valid.orderBy(F.xxhash64("id"), "id").limit(sample).select("vec").toArrow().column(0)
+    some = bounded_sample(valid.select("id", "vec"), "id", sample).select("vec").toArrow().column(0)
     m = matrix(some, dims)
     count = min(pivots, -(-n // tree_rows))
     at = spread(m, lift(m, top), count)

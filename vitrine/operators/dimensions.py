@@ -8,6 +8,7 @@ next version of the table.
 from __future__ import annotations
 
 import datetime as _dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from vitrine.functions import columns as C
 from vitrine.functions import lookups as L
 from vitrine.operators.keys import DEFAULT_BUCKETS, assign_keys
 from vitrine.operators.quality import in_batch
+from vitrine.session import scratch_path
 from vitrine.sources.feeds import Staging
 
 CUSTOMER_COLUMNS = [
@@ -208,12 +210,16 @@ def seller_source(stg: Staging, batch_id: int | None = None) -> DataFrame:
 # ------------------------------------------------------------------- products
 
 
-def product_source(stg: Staging, batch_id: int | None = None) -> DataFrame:
-    """Staged products with English category name and category group (rows without an id are skipped)."""
+def product_source(stg: Staging, batch_id: int | None = None, with_translated: bool = False) -> DataFrame:
+    """Staged products with English category name and category group (rows without an id go to ``keyless_rows``).
+
+    ``with_translated`` adds whether the batch has a translation of the category.
+    """
     s = in_batch(stg.products, batch_id).filter(F.col("product_id").isNotNull())
     t = in_batch(stg.category_translation, batch_id).select(
         F.col("product_category_name").alias("_pt"), F.col("product_category_name_english").alias("_en")
     )
+    extra = [F.col("_pt").isNotNull().alias("translated")] if with_translated else []
     j = s.join(t, s["product_category_name"] == t["_pt"], "left")
     batch = _batch_lit(batch_id) if batch_id is not None else F.lit(None).cast("long")
     length, height, width = F.col("product_length_cm"), F.col("product_height_cm"), F.col("product_width_cm")
@@ -231,26 +237,25 @@ def product_source(stg: Staging, batch_id: int | None = None) -> DataFrame:
         width.alias("width_cm"),
         (length * height * width).alias("volume_cm3"),
         batch.alias("etl_batch_id"),
+        *extra,
     )
 
 
-def product_changes(history: DataFrame, stg: Staging, batch_id: int | None = None) -> DataFrame:
-    """Current dimension rows whose English category differs from the new feed.
+def product_changes(
+    history: DataFrame,
+    stg: Staging,
+    batch_id: int | None = None,
+    tracked: tuple[str, ...] = ("category_name_en",),
+) -> DataFrame:
+    """Current dimension rows that differ from the new feed in a ``tracked`` column, NULL-safely.
 
-    Only staged products that *have* a translation in the same batch take
-    part (inner join), and only the English name is compared, NULL-safely.
+    Only staged products that *have* a translation in the same batch take part.
     """
-    s = in_batch(stg.products, batch_id)
-    t = in_batch(stg.category_translation, batch_id)
-    fresh = s.join(
-        t,
-        (s["product_category_name"] == t["product_category_name"]) & (s["etl_batch_id"] == t["etl_batch_id"]),
-    ).select(s["product_id"].alias("_pid"), t["product_category_name_english"].alias("_new_en"))
+    fresh = product_source(stg, batch_id, with_translated=True).filter("translated")
+    fresh = fresh.select(F.col("product_id").alias("_pid"), *[F.col(c).alias(f"_new_{c}") for c in tracked])
+    differs = reduce(lambda x, y: x | y, [~F.col(c).eqNullSafe(F.col(f"_new_{c}")) for c in tracked])
     current = history.filter(F.col("is_current") == "Y")
-    changed = (F.col("product_id") == F.col("_pid")) & ~F.coalesce(F.col("category_name_en"), F.lit("~")).eqNullSafe(
-        F.coalesce(F.col("_new_en"), F.lit("~"))
-    )
-    return current.join(fresh, changed, "left_semi")
+    return current.join(fresh, (F.col("product_id") == F.col("_pid")) & differs, "left_semi")
 
 
 def scd2_apply(
@@ -273,7 +278,10 @@ def scd2_apply(
     """
     day = F.lit(str(as_of)).cast("date")
     ts = F.lit(load_ts or f"{as_of} 00:00:00").cast("timestamp")
-    chg = changed.select(F.col("product_id").alias("_cid")).distinct()
+    # The ids of changed products are needed three times: written once, small.
+    path = scratch_path(history.sparkSession, "changed-products")
+    changed.select(F.col("product_id").alias("_cid")).distinct().write.parquet(path)
+    chg = history.sparkSession.read.schema("_cid string").parquet(path)
     h = history.join(chg, history["product_id"] == chg["_cid"], "left")
     closing = (F.col("is_current") == "Y") & F.col("_cid").isNotNull()
     h = (
@@ -281,7 +289,8 @@ def scd2_apply(
         .withColumn("is_current", F.when(closing, F.lit("N")).otherwise(F.col("is_current")))
         .drop("_cid")
     )
-    still_current = h.filter(F.col("is_current") == "Y").select(F.col("product_id").alias("_cur"))
+    current = history.filter(F.col("is_current") == "Y").select(F.col("product_id").alias("_cur"))
+    still_current = current.join(chg, F.col("_cur") == F.col("_cid"), "left_anti")
     new = source.join(still_current, source["product_id"] == still_current["_cur"], "left_anti")
     new = (
         new.withColumn("effective_from", day)

@@ -218,9 +218,10 @@ def train(spark: SparkSession, lines: DataFrame, frequent: float = 0.002) -> Cla
     shares = {r["w"]: r["share"] for r in common.collect()}  # words of the sample
     usual = sorted(w for w, s in shares.items() if s > frequent)
     told = lambda g: ~F.forall(F.split(g, " "), lambda w: F.array_contains(_strings(usual), w)) if usual else F.lit(True)
-    data = examples(spark, background).withColumn("grams", F.filter(grams(words(F.col("line"))), told))
-    data = data.where("label <> 'none' or size(grams) > 0 or not held").coalesce(1).cache()
-    classes = sorted(NOTICES) + [UNKNOWN, NONE]
+    data = examples(spark, background).withColumn("grams", grams(words(F.col("line"))))
+    of_notice = F.when(F.col("label") != NONE, F.filter("grams", told)).otherwise(F.col("grams"))
+    data = data.withColumn("grams", of_notice).coalesce(1).cache()  # the features are n-grams of notices only
+    classes = [NONE, *sorted(NOTICES), UNKNOWN]
     number = _constant({c: float(i) for i, c in enumerate(classes)}, "map<string,double>")
     data = data.withColumn("y", F.try_element_at(number, F.col("label")))
     known = data.where("label <> 'none'").select("grams")

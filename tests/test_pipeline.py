@@ -84,6 +84,11 @@ def test_full_run_rerun_and_reports(spark, tmp_root):
     # hourly refresh gets its own batch; reports read the log
     hb = p.refresh_hourly("TEST")
     assert hb == 2
+    again = p.wh.current("agg_daily_sales").drop("etl_batch_id").collect()
+    assert sorted(map(_key, again)) == sorted(map(_key, first["agg"]))
+    with p.log.step(b, "LOAD_FACT_ORDERS", 3):  # an old batch loads again after the refresh
+        pass
+    assert p._changed_since(hb, 9) == b
     hist = p.run_history().collect()
     assert [r["batch_id"] for r in hist][:2] == [2, 1]
     health = p.health_check().collect()
@@ -175,6 +180,14 @@ def test_second_batch_keeps_keys_and_versions(spark, tmp_root):
     from vitrine.operators.quality import scd2_interval_errors
 
     assert scd2_interval_errors(dp).count() == 0
+    # the aggregate, refreshed for the touched days, is the one computed in full
+    from vitrine.operators.aggregates import agg_daily_sales
+
+    full = agg_daily_sales(
+        p2.wh.read("fact_orders"), p2.wh.current("dim_customer"), p2.wh.read("fact_order_items"), dp
+    )
+    kept = p2.wh.current("agg_daily_sales").select(*full.columns)
+    assert kept.exceptAll(full).count() == 0 and full.exceptAll(kept).count() == 0
     # facts: batch 2 adds only orders not loaded before
     fo = p2.wh.read("fact_orders")
     assert fo.groupBy("order_id").count().filter("count > 1").count() == 0

@@ -107,6 +107,54 @@ def agg_daily_sales(
     )
 
 
+def touched_days(
+    fact_orders: DataFrame,
+    fact_items: DataFrame,
+    dim_customer: DataFrame,
+    dim_product: DataFrame,
+    since_batch: int,
+) -> DataFrame:
+    """Order days whose aggregate rows may differ from a refresh at the end of batch ``since_batch``.
+
+    A row depends on its orders, their items, the customers' states and the
+    items' product versions, and each of these tables names the batch that
+    wrote a row last. The batch itself counts as changed (it may have been
+    re-run). A closed product version keeps its batch, but the product then has
+    a version of a later one, so all versions of such products count.
+    """
+
+    def changed(df: DataFrame) -> DataFrame:
+        return df.filter(F.col("etl_batch_id") >= since_batch)
+
+    products = dim_product.join(changed(dim_product).select("product_id").distinct(), "product_id", "left_semi")
+    items = changed(fact_items).select("order_id").union(
+        fact_items.join(products.select("product_key"), "product_key", "left_semi").select("order_id")
+    )
+    dated = fact_orders.select("order_id", "customer_key", "order_date_key", "etl_batch_id")
+    days = (
+        changed(dated).select("order_date_key")
+        .union(dated.join(items.distinct(), "order_id", "left_semi").select("order_date_key"))
+        .union(dated.join(changed(dim_customer), "customer_key", "left_semi").select("order_date_key"))
+    )
+    return days.distinct().withColumnRenamed("order_date_key", "date_key")
+
+
+def refresh_days(
+    previous: DataFrame,
+    days: DataFrame,
+    fact_orders: DataFrame,
+    dim_customer: DataFrame,
+    fact_items: DataFrame,
+    dim_product: DataFrame,
+    product_versions: str = "current",
+) -> DataFrame:
+    """The daily aggregate with the ``days`` (date_key) computed anew and all others taken from ``previous``."""
+    orders = fact_orders.join(days.withColumnRenamed("date_key", "order_date_key"), "order_date_key", "left_semi")
+    items = fact_items.join(orders.select("order_id"), "order_id", "left_semi")
+    fresh = agg_daily_sales(orders, dim_customer, items, dim_product, product_versions)
+    return previous.join(days, "date_key", "left_anti").select(*AGG_DAILY_COLUMNS).unionByName(fresh)
+
+
 # ------------------------------------------------------------------ calendar
 
 

@@ -453,6 +453,21 @@ def agg_daily_sales(w: FixtureLoad) -> DataFrame:
     return A.agg_daily_sales(w.fact_orders, w.dim_customer, w.fact_items, w.dim_product)
 
 
+@query
+def agg_daily_sales_incremental(w: FixtureLoad) -> DataFrame:
+    """A refresh of the touched days only: orders since 1998 are new, customers of one state have moved there since."""
+    new_order = F.col("order_date_key") >= F.lit(int(EARLIER_ORDERS_BEFORE.replace("-", "")))
+    moved = F.col("state") == RETIRED_STATE
+    orders = w.fact_orders.withColumn("etl_batch_id", F.when(new_order, 2).otherwise(1).cast("long"))
+    items = w.fact_items.withColumn("etl_batch_id", F.when(new_order, 2).otherwise(1).cast("long"))
+    products = w.dim_product.withColumn("etl_batch_id", F.lit(1).cast("long"))
+    customers = w.dim_customer.withColumn("etl_batch_id", F.when(moved, 2).otherwise(1).cast("long"))
+    before = w.dim_customer.withColumn("state", F.when(moved, "SP").otherwise(F.col("state")))
+    previous = A.agg_daily_sales(orders.filter(~new_order), before, items.filter(~new_order), products)
+    days = A.touched_days(orders, items, customers, products, since_batch=2)
+    return A.refresh_days(previous, days, orders, customers, items, products)
+
+
 # ----------------------------------------------------------------- reports
 
 

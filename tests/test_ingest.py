@@ -73,6 +73,22 @@ def test_error_limit(spark, tmp_root):
     assert not wh.fs.exists(wh.path("stg_orders"))  # nothing published
 
 
+def test_staged_frames_have_no_blank_text_and_an_empty_feed_clears_its_batch(spark, tmp_root):
+    from vitrine.sources.feeds import Staging
+
+    wh = Warehouse(spark, tmp_root)
+    empty = {n: spark.createDataFrame([], f.staging_schema()) for n, f in FEEDS.items()}
+    orders = spark.createDataFrame([("o1", "", "delivered", "", None, None, None, None)], FEEDS["orders"].csv_schema())
+    orders = orders.selectExpr("*", "0L as etl_batch_id", "current_timestamp() as etl_insert_dt", "'x' as etl_source_file")
+    assert I.stage_batch(wh, Staging(**{**empty, "orders": orders}), 4)["orders"] == 1
+    row = I.read_staging(wh, 4).orders.first()
+    assert row.customer_id is None and row.order_purchase_timestamp is None and row.etl_batch_id == 4
+    d = tempfile.mkdtemp(prefix="feeds-")
+    _write(d, "orders.csv", ORDERS_CSV.split("\n")[0] + "\n")  # a header and nothing else
+    assert I.ingest_feed(wh, FEEDS["orders"], f"{d}/orders.csv", 4, "2024-01-01 00:00:00") == (0, 0)
+    assert I.read_staging(wh, 4).orders.count() == 0
+
+
 def test_tag_staging_batch(spark):
     df = spark.createDataFrame([(0,), (3,)], "etl_batch_id long")
     assert [r[0] for r in I.tag_staging_batch(df, 9).collect()] == [9, 3]

@@ -20,6 +20,7 @@ from vitrine.operators.quality import in_batch
 from vitrine.session import scratch_path
 from vitrine.sources.feeds import Staging
 
+# --- FIXED VALUES: column names and order of the warehouse's dimension tables ---
 CUSTOMER_COLUMNS = [
     "customer_key",
     "customer_unique_id",

@@ -20,6 +20,7 @@ from vitrine.functions import lookups as L
 from vitrine.operators.quality import in_batch
 from vitrine.sources.feeds import Staging
 
+# --- FIXED VALUES: column names and order of the warehouse's fact tables ---
 FACT_ORDER_COLUMNS = [
     "order_id",
     "customer_key",

@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vitrine.functions import columns as C
 from vitrine.session import scratch_path
 from vitrine.sources.feeds import FEEDS, LOAD_ORDER, Feed, Staging
 
@@ -144,11 +145,16 @@ def ingest_all(wh, feeds_dir: str, batch_id: int, load_ts: str, error_limit: int
     return out
 
 
+def _no_blanks(df: DataFrame, feed: Feed) -> DataFrame:
+    """Empty text as NULL, as the CSV reader gives it."""
+    return df.withColumns({c.name: C.blank_to_null(c.name) for c in feed.columns if c.kind == "string"})
+
+
 def stage_batch(wh, stg: Staging, batch_id: int) -> dict[str, int]:
     """Write already-typed staging DataFrames (e.g. the test views) as batch ``batch_id``."""
     out = {}
     for name, df in stg.tables().items():
-        out[name] = write_staging(wh, name, df, batch_id)
+        out[name] = write_staging(wh, name, _no_blanks(df, FEEDS[name]), batch_id)
     return out
 
 
@@ -161,7 +167,7 @@ def claim_batch_zero(wh, batch_id: int) -> dict[str, int]:
         cols = [f for f in schema.fields if f.name != "etl_batch_id"]
         kept = type(schema)(cols)
         df = wh.spark.read.schema(kept).parquet(zero) if wh.fs.exists(zero) else wh.spark.createDataFrame([], kept)
-        out[name] = write_staging(wh, name, df, batch_id)
+        out[name] = write_staging(wh, name, _no_blanks(df, feed), batch_id)
         wh.fs.delete(zero)
     return out
 

@@ -132,3 +132,31 @@ def test_probabilities_equal_plain_softmax(spark, classifier):
         z = (np.array(classifier.bias) + np.sum(found, axis=0)) / classifier.temperature
         p = np.exp(z - z.max())
         assert np.allclose(r["p"], p / p.sum())
+
+
+NAMED = {
+    "MIT": ["MIT License", "The MIT License (MIT)", "License: MIT", "SPDX-License-Identifier: MIT"],
+    "Apache-2.0": ["Apache License 2.0", "Licensed under Apache-2.0", "Apache License, Version 2.0"],
+    "GPL-3.0": ["GPLv3", "License: GPL-3.0"],
+    "GPL-2.0": ["GPLv2", "This program is licensed under the GNU General Public License, version 2."],
+    "LGPL-3.0": ["SPDX-License-Identifier: LGPL-3.0-or-later"],
+    "BSD-3-Clause": ["BSD 3-Clause License"],
+    "MPL-2.0": ["Mozilla Public License 2.0"],
+    "CC-BY-4.0": ["Licensed under CC BY 4.0."],
+    "CC-BY-SA-4.0": ["CC BY-SA 4.0"],
+    "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0."],
+}
+NEAR = [
+    "Licensed under the Apache License, Version 1.1.", "Licensed under the BSD 2-Clause License.", "Licensed under CC BY-ND 4.0.",
+    "CC BY-NC-SA 4.0", "Licensed under CC BY-SA 3.0.", "SPDX-License-Identifier: MIT-0", "SPDX-License-Identifier: BSD-3-Clause-Clear",
+    "Licensed under the GNU Lesser General Public License, version 2.1.", "Released under the Apache License.",
+    "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+]
+
+
+def test_a_family_is_told_from_its_neighbours(spark, monkeypatch, classifier):
+    monkeypatch.setattr(lic, "train", lambda *a, **k: classifier)
+    lines = [(line, f) for f, named in NAMED.items() for line in named] + [(line, "unknown") for line in NEAR]
+    docs = spark.createDataFrame([(i, f"one\n{line}") for i, (line, _) in enumerate(lines)], "doc_id long, text string")
+    got = {r["doc_id"]: [(x["paragraph"], x["family"]) for x in r["licenses"]] for r in lic.license_scan(docs).collect()}
+    assert {line: got[i] for i, (line, _) in enumerate(lines)} == {line: [(1, f)] for line, f in lines}

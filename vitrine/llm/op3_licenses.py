@@ -6,7 +6,10 @@ the notices below and a bounded sample of the corpus' own lines, gives each
 paragraph a probability for every licence family, for ``unknown`` (licence talk
 of no family listed) and for ``none``. Its temperature is set on held-out
 examples; a family below ``threshold`` becomes ``unknown``. A family is only
-reported if the paragraph also matches one of its notices by shared word pairs.
+reported if the paragraph also matches one of its notices or titles by shared
+word pairs and names the family exactly: version and parts (NC, SA, ND) must be
+its own. Text that several licences share, or a name without the version that
+tells them apart, is ``unknown``.
 
 Scoring is one map-only pass: documents without any anchor word (the rarest word
 of a feature) cannot hold a feature and are skipped; the others' lines are scored
@@ -55,22 +58,20 @@ NOTICES = {
     "GPL-2.0": [
         "This program is licensed under the GNU General Public License, version 2.",
         "SPDX-License-Identifier: GPL-2.0-only",
+        "it under the terms of the GNU General Public License as published by the Free Software Foundation; either"
+        " version 2 of the License, or (at your option) any later version.",
         "Released under the GPL version 2 license (GPLv2).",
     ],
     "LGPL-3.0": [
         "Licensed under the GNU Lesser General Public License, version 3.",
         "SPDX-License-Identifier: LGPL-3.0-or-later",
-        "Released under the LGPL license.",
     ],
     "AGPL-3.0": [
         "Licensed under the GNU Affero General Public License, version 3.",
         "SPDX-License-Identifier: AGPL-3.0-only",
-        "Released under the AGPL license.",
     ],
     "BSD-3-Clause": [
         "Licensed under the BSD 3-Clause License.",
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that"
-        " the following conditions are met",
         "SPDX-License-Identifier: BSD-3-Clause",
         "Released under the new BSD license.",
     ],
@@ -103,7 +104,7 @@ NOTICES = {
         "Released under the ISC License.",
         "SPDX-License-Identifier: ISC",
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby"
-        " granted",
+        " granted, provided that the above copyright notice and this permission notice appear in all copies.",
     ],
 }
 OTHER_NOTICES = [
@@ -117,7 +118,75 @@ OTHER_NOTICES = [
     "Redistribution is not permitted without written permission of the copyright holder.",
     "Use of this content is subject to the license agreement.",
     "Released under a license of its own.",
+    "Released under the LGPL license.",
+    "Released under the Apache License.",
+    "Licensed under CC BY 3.0.",
+    "Licensed under CC BY-NC-ND 4.0.",
+    "Licensed under the Mozilla Public License, version 1.1.",
+    "SPDX-License-Identifier: LGPL-2.1-only",
+    "SPDX-License-Identifier: BSD-2-Clause",
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that"
+    " the following conditions are met",
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby"
+    " granted.",
 ]
+# Titles and identifiers that stand alone or after a cue.
+TITLES = {
+    "MIT": ["MIT License", "The MIT License (MIT)", "License: MIT", "under MIT"],
+    "Apache-2.0": ["Apache License 2.0", "Apache License, Version 2.0, January 2004", "Apache-2.0", "Apache License v2"],
+    "GPL-3.0": ["GPLv3", "License: GPLv3", "under GPLv3", "GPL-3.0", "GNU GPL v3", "GNU General Public License v3.0", "GPL version 3"],
+    "GPL-2.0": ["GPLv2", "License: GPLv2", "under GPLv2", "GPL-2.0", "GNU GPL v2", "GNU General Public License v2.0", "GPL version 2"],
+    "LGPL-3.0": ["LGPLv3", "License: LGPLv3", "under LGPLv3", "LGPL-3.0", "GNU LGPL v3", "GNU Lesser General Public License v3.0",
+                 "LGPL version 3"],
+    "AGPL-3.0": ["AGPLv3", "License: AGPLv3", "under AGPLv3", "AGPL-3.0", "GNU AGPL v3", "GNU Affero General Public License v3.0",
+                 "AGPL version 3"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "BSD-3-Clause", "3-Clause BSD License", "New BSD License", "Modified BSD License"],
+    "MPL-2.0": ["Mozilla Public License 2.0", "Mozilla Public License Version 2.0", "MPL-2.0", "MPL version 2.0"],
+    "CC-BY-4.0": ["CC BY 4.0", "Creative Commons Attribution 4.0 International", "creativecommons.org/licenses/by/4.0"],
+    "CC-BY-SA-4.0": ["CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike 4.0 International",
+                     "creativecommons.org/licenses/by-sa/4.0"],
+    "CC-BY-NC-4.0": ["CC BY-NC 4.0", "Creative Commons Attribution-NonCommercial 4.0 International",
+                     "creativecommons.org/licenses/by-nc/4.0"],
+    "CC0-1.0": ["CC0 1.0", "CC0 1.0 Universal", "License: CC0", "under CC0", "creativecommons.org/publicdomain/zero/1.0"],
+    "ISC": ["ISC License", "License: ISC", "under ISC"],
+}
+
+
+def _gnu(long: str, short: str, number: int) -> str:
+    v = rf"(?:{number}|{number}\.0|v{number}|v{number}\.0)"
+    name = rf"(?:gnu {long} public licen[sc]e(?: {short})?|{short})"
+    cc = r"(?: as published by the free software foundation)?(?: either)?"
+    return rf" {name}(?: licen[sc]e)?{cc}(?: version| v| ver)? {v} | {short}v?{number}(?:\.0)? | version {v} of the (?:gnu )?{name} "
+
+
+def _cc(short: str, long: str) -> str:
+    name = rf"(?:(?:cc|creative commons|creativecommons\.org licen[sc]es) {short}|(?:cc|creative commons) {long})"
+    return rf" {name}(?: licen[sc]e)?(?: international)?(?: version| v)? v?4(?:\.0)? "
+
+
+# What names a family exactly (version and parts included) in words() joined by blanks. A line that holds
+# none of it names a neighbour, or is text that several licences share.
+MARKS = {
+    "MIT": r" (?<!modified )mit(?! (?:licen[sc]e )?(?:mit )?(?:0|no attribution|cmu|advertising|feh|wu|style|like|modern|open|festival) ) "
+    "| to deal in the software without restriction "
+    "| this permission notice shall be included in all copies or substantial portions of the software ",
+    "Apache-2.0": r" apache (?:software )?(?:licen[sc]e )?(?:version |v |ver )?v?2(?:\.0)? | apachev?2(?:\.0)? "
+    r"|apache\.org licenses license 2\.0(?:\.txt|\.html)? ",
+    "GPL-3.0": _gnu("general", "gpl", 3),
+    "GPL-2.0": _gnu("general", "gpl", 2),
+    "LGPL-3.0": _gnu("lesser general", "lgpl", 3),
+    "AGPL-3.0": _gnu("affero general", "agpl", 3),
+    "BSD-3-Clause": r" bsd (?:licen[sc]e )?(?:3|three) clause(?! (?:licen[sc]e )?(?:clear|lbnl|attribution|no|open|modification) ) "
+    r"| (?:3|three) clause (?:new |modified |revised )?bsd(?! clear ) | (?:new|modified|revised) bsd ",
+    "MPL-2.0": r" (?:mozilla public licen[sc]e|mpl)(?: mpl)?(?: version| v| ver)? v?2(?:\.0)?(?! no copyleft) | mplv?2(?:\.0)? ",
+    "CC-BY-4.0": _cc("by", "attribution"),
+    "CC-BY-SA-4.0": _cc("by sa", "attribution share ?alike"),
+    "CC-BY-NC-4.0": _cc("by nc", "attribution non ?commercial"),
+    "CC0-1.0": r" (?:cc0|creative commons zero)(?! (?:version |v )?v?(?!1(?:\.0)? )[0-9][0-9.]* ) "
+    r"|creativecommons\.org publicdomain zero 1\.0 ",
+    "ISC": r" isc(?! (?:licen[sc]e )?(?:veillard|style|like) ) "
+    "| hereby granted provided that the above copyright notice and this permission notice appear in all copies ",
+}
 LEADS = ["", "this work is", "the project is", "this page is", "source code:", "notice:"]
 
 
@@ -180,13 +249,18 @@ class Classifier:
 
 
 def examples(spark: SparkSession, background: DataFrame) -> DataFrame:
-    """(label, line, held): notices with and without a lead, their halves, and the corpus' lines as ``none``."""
+    """(label, line, held): notices with and without a lead, their halves, and the corpus' lines as ``none``.
+
+    A half that does not name its family is ``unknown``.
+    """
     rows = []
-    for family, notices in [*NOTICES.items(), (UNKNOWN, OTHER_NOTICES)]:
+    for family, notices in [*((f, n + TITLES[f]) for f, n in NOTICES.items()), (UNKNOWN, OTHER_NOTICES)]:
         for notice in notices:
             tokens = notice.split()
             parts = [notice] + ([" ".join(tokens[: len(tokens) // 2]), " ".join(tokens[len(tokens) // 2 :])] if len(tokens) > 14 else [])
-            rows += [(family, f"{lead} {p}".strip()) for p in parts for lead in LEADS]
+            for p in parts:
+                exact = family == UNKNOWN or re.search(MARKS[family], f" {' '.join(_words(p))} ")
+                rows += [(family if exact else UNKNOWN, f"{lead} {p}".strip()) for lead in LEADS]
     made = spark.createDataFrame(rows, "label string, line string")
     return made.union(background.select(F.lit(NONE).alias("label"), "line")).withColumn(
         "held", F.pmod(F.xxhash64("line"), F.lit(4)) == 0
@@ -252,13 +326,21 @@ def train(spark: SparkSession, lines: DataFrame, frequent: float = 0.002) -> Cla
     return made
 
 
+def _words(text: str) -> list[str]:
+    return re.findall(r"[a-z0-9]+(?:[.][a-z0-9]+)*", text.lower())
+
+
 def _pairs(text: str) -> list[str]:
-    t = re.findall(r"[a-z0-9]+(?:[.][a-z0-9]+)*", text.lower())
+    t = _words(text)
     return sorted({" ".join(p) for p in zip(t, t[1:])} | ({t[0]} if len(t) == 1 else set()))
 
 
 def confirmed(tokens: Column, family: str, share: float = 0.6) -> Column:
-    """Whether the paragraph holds ``share`` of a notice's word pairs, or consists of that share of them."""
+    """Whether the paragraph names the family exactly and shares word pairs with one of its notices.
+
+    Of the pairs it must hold ``share`` of a notice's, or consist of that share of them. Name, version and parts
+    (``MARKS``) must be the family's own, so a neighbouring licence is not confirmed however many pairs it shares.
+    """
 
     def pairs(t: Column) -> Column:
         run = F.transform(t, lambda w, i: F.array_join(F.slice(t, i + 1, 2), " "))
@@ -266,13 +348,15 @@ def confirmed(tokens: Column, family: str, share: float = 0.6) -> Column:
 
     def any_notice(held: Column) -> Column:
         out = F.lit(False)
-        for notice in NOTICES[family]:
-            wanted = _pairs(notice)
+        for wanted in sorted({tuple(_pairs(n)) for n in NOTICES[family] + TITLES[family]}):
             both = F.size(F.array_intersect(held, _strings(wanted)))
             out = out | (both >= share * len(wanted)) | ((both >= 3) & (both >= share * F.size(held)))
         return out
 
-    return let(let(tokens, pairs), any_notice)
+    def exact(t: Column) -> Column:
+        return F.concat(F.lit(" "), F.array_join(t, " "), F.lit(" ")).rlike(MARKS[family])
+
+    return let(tokens, lambda t: exact(t) & let(pairs(t), any_notice))
 
 
 def license_scan(

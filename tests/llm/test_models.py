@@ -160,3 +160,12 @@ def test_a_family_is_told_from_its_neighbours(spark, monkeypatch, classifier):
     docs = spark.createDataFrame([(i, f"one\n{line}") for i, (line, _) in enumerate(lines)], "doc_id long, text string")
     got = {r["doc_id"]: [(x["paragraph"], x["family"]) for x in r["licenses"]] for r in lic.license_scan(docs).collect()}
     assert {line: got[i] for i, (line, _) in enumerate(lines)} == {line: [(1, f)] for line, f in lines}
+
+
+def test_a_frequent_notice_of_no_listed_family_is_found(spark):
+    notices = ["All rights reserved.", "Released under the Acme Community License."]
+    some = spark.read.parquet(f"{SF_ORACLE}/documents.parquet").orderBy("doc_id").limit(360).select("doc_id", "text").collect()
+    rows = [(i, f"{r['text'] or ''}\n{notices[i % 2] if i % 3 == 0 else 'nothing of note'}") for i, r in enumerate(some)]
+    for r in lic.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        last = [x["family"] for x in r["licenses"] if x["paragraph"] == r["text"].count("\n")]
+        assert last == (["unknown"] if r["doc_id"] % 3 == 0 else []), r["doc_id"]

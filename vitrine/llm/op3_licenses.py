@@ -118,6 +118,9 @@ OTHER_NOTICES = [
     "Redistribution is not permitted without written permission of the copyright holder.",
     "Use of this content is subject to the license agreement.",
     "Released under a license of its own.",
+    "Distributed under the Example Public Licence.",
+    "Copying is subject to the licence of the authors.",
+    "Distributed under the license of the publisher.",
     "Released under the LGPL license.",
     "Released under the Apache License.",
     "Licensed under CC BY 3.0.",
@@ -130,6 +133,12 @@ OTHER_NOTICES = [
     "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby"
     " granted.",
 ]
+# Ordinary lines with words of licence talk; such lines of the corpus are not learned as ``none``.
+ORDINARY = [
+    "The driver showed her license to the officer.",
+    "The car had no license plate.",
+    "A licensed doctor saw the patient in the morning.",
+]
 # Titles and identifiers that stand alone or after a cue.
 TITLES = {
     "MIT": ["MIT License", "The MIT License (MIT)", "License: MIT", "under MIT"],
@@ -187,6 +196,11 @@ MARKS = {
     "ISC": r" isc(?! (?:licen[sc]e )?(?:veillard|style|like) ) "
     "| hereby granted provided that the above copyright notice and this permission notice appear in all copies ",
 }
+# Lines with such words may be notices of any licence, so the corpus' own are no examples of ordinary text.
+CUE = (
+    r" (?:(?:un|sub|re)?licen[sc](?:e|es|ed|ing|or|ors|ee|ees)|copyright(?:s|ed)?|copyleft|spdx|proprietary|redistribut[a-z]*"
+    r"|rights? reserved|public domain|creative commons|cc0|cc by|[al]?gpl(?:v?[0-9.]+)?) "
+)
 LEADS = ["", "this work is", "the project is", "this page is", "source code:", "notice:"]
 
 
@@ -261,6 +275,7 @@ def examples(spark: SparkSession, background: DataFrame) -> DataFrame:
             for p in parts:
                 exact = family == UNKNOWN or re.search(MARKS[family], f" {' '.join(_words(p))} ")
                 rows += [(family if exact else UNKNOWN, f"{lead} {p}".strip()) for lead in LEADS]
+    rows += [(NONE, line) for line in ORDINARY]
     made = spark.createDataFrame(rows, "label string, line string")
     return made.union(background.select(F.lit(NONE).alias("label"), "line")).withColumn(
         "held", F.pmod(F.xxhash64("line"), F.lit(4)) == 0
@@ -270,19 +285,19 @@ def examples(spark: SparkSession, background: DataFrame) -> DataFrame:
 def train(spark: SparkSession, lines: DataFrame, frequent: float = 0.002) -> Classifier:
     """Fit on the notices and ``lines`` (column line; bounded by the caller).
 
+    Lines that may be a licence notice, of a listed family or not, are left out:
+    as examples of ordinary text they would hide the notices that are frequent.
     N-grams made only of words found in more than ``frequent`` of the corpus
     lines are no features.
     """
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import CountVectorizer
 
-    def any_family(tokens: Column) -> Column:
-        out = F.lit(False)
-        for family in NOTICES:
-            out = out | confirmed(tokens, family)
-        return out
+    def may_be_notice(tokens: Column) -> Column:
+        return _spaced(tokens).rlike(CUE) | like_a_notice(tokens)
 
-    background = lines.where(~let(words(F.col("line")), any_family)).coalesce(2).cache()  # bounded: the sample
+    background = lines.select("line").distinct().where(~let(words(F.col("line")), may_be_notice))
+    background = background.coalesce(2).cache()  # bounded: the sample
     count = background.count()
     common = (
         background.select(F.explode(F.array_distinct(words(F.col("line")))).alias("w"))
@@ -335,6 +350,23 @@ def _pairs(text: str) -> list[str]:
     return sorted({" ".join(p) for p in zip(t, t[1:])} | ({t[0]} if len(t) == 1 else set()))
 
 
+def _spaced(tokens: Column) -> Column:
+    return F.concat(F.lit(" "), F.array_join(tokens, " "), F.lit(" "))
+
+
+def _held_pairs(t: Column) -> Column:
+    run = F.transform(t, lambda w, i: F.array_join(F.slice(t, i + 1, 2), " "))
+    return F.array_distinct(F.slice(run, F.lit(1), F.greatest(F.size(t) - 1, F.lit(1))))
+
+
+def _shares(held: Column, notices: list[str], share: float) -> Column:
+    out = F.lit(False)
+    for wanted in sorted({tuple(_pairs(n)) for n in notices}):
+        both = F.size(F.array_intersect(held, _strings(wanted)))
+        out = out | (both >= share * len(wanted)) | ((both >= 3) & (both >= share * F.size(held)))
+    return out
+
+
 def confirmed(tokens: Column, family: str, share: float = 0.6) -> Column:
     """Whether the paragraph names the family exactly and shares word pairs with one of its notices.
 
@@ -342,21 +374,14 @@ def confirmed(tokens: Column, family: str, share: float = 0.6) -> Column:
     (``MARKS``) must be the family's own, so a neighbouring licence is not confirmed however many pairs it shares.
     """
 
-    def pairs(t: Column) -> Column:
-        run = F.transform(t, lambda w, i: F.array_join(F.slice(t, i + 1, 2), " "))
-        return F.array_distinct(F.slice(run, F.lit(1), F.greatest(F.size(t) - 1, F.lit(1))))
-
-    def any_notice(held: Column) -> Column:
-        out = F.lit(False)
-        for wanted in sorted({tuple(_pairs(n)) for n in NOTICES[family] + TITLES[family]}):
-            both = F.size(F.array_intersect(held, _strings(wanted)))
-            out = out | (both >= share * len(wanted)) | ((both >= 3) & (both >= share * F.size(held)))
-        return out
+    notices = NOTICES[family] + TITLES[family]
+    return let(tokens, lambda t: _spaced(t).rlike(MARKS[family]) & let(_held_pairs(t), lambda held: _shares(held, notices, share)))
 
-    def exact(t: Column) -> Column:
-        return F.concat(F.lit(" "), F.array_join(t, " "), F.lit(" ")).rlike(MARKS[family])
 
-    return let(tokens, lambda t: exact(t) & let(pairs(t), any_notice))
+def like_a_notice(tokens: Column, share: float = 0.6) -> Column:
+    """Whether the paragraph shares the word pairs of any notice, exact name or not."""
+    notices = OTHER_NOTICES + [n for f in NOTICES for n in NOTICES[f] + TITLES[f]]
+    return let(_held_pairs(tokens), lambda held: _shares(held, notices, share))
 
 
 def license_scan(
@@ -375,7 +400,7 @@ def license_scan(
     text = F.coalesce(src["text"], F.lit(""))
     some = bounded_sample(src.df.select(src["text"].alias("text")).where("text is not null"), "text", sample_docs)
     lines = some.select(F.explode(F.split("text", "\n")).alias("line"))
-    lines = lines.where("trim(line) <> ''").orderBy(F.xxhash64("line"), "line").limit(sample_lines)
+    lines = lines.where("trim(line) <> ''").distinct().orderBy(F.xxhash64("line"), "line").limit(sample_lines)
     model = train(spark, lines)
 
     names = _strings(model.classes)
@@ -388,12 +413,16 @@ def license_scan(
             sure = F.lit(False)
             for family in NOTICES:
                 sure = F.when(name == family, confirmed(tokens, family)).otherwise(sure)
-            family = F.when(name == NONE, name).when((p >= threshold) & sure, name).otherwise(F.lit(UNKNOWN))
-            return F.struct(x["i"].cast("int").alias("paragraph"), family.alias("family"), p.alias("confidence"))
+            talk = _spaced(tokens).rlike(CUE) & like_a_notice(tokens)  # a near miss of a notice is not ordinary text
+            family = F.when((name == NONE) & ~talk, name).when((name != NONE) & (p >= threshold) & sure, name).otherwise(F.lit(UNKNOWN))
+            sure_of = F.when(name == NONE, 1 - p).otherwise(p)
+            return F.struct(x["i"].cast("int").alias("paragraph"), family.alias("family"), sure_of.alias("confidence"))
 
         def best(tokens: Column, p: Column) -> Column:
-            top = F.array_max(p)
-            name = F.get(names, (F.array_position(p, top) - 1).cast("int"))
+            told = F.slice(p, 2, len(model.classes) - 1)  # without none, which must outweigh all others together
+            top = F.when(F.get(p, F.lit(0)) >= 0.5, F.get(p, F.lit(0))).otherwise(F.array_max(told))
+            at = F.when(F.get(p, F.lit(0)) >= 0.5, F.lit(0)).otherwise(F.array_position(told, F.array_max(told)))
+            name = F.get(names, at.cast("int"))
             return let(F.struct(name.alias("name"), top.alias("p")), lambda b: named(tokens, b["name"], b["p"]))
 
         return let(words(x["line"]), lambda t: let(model.probabilities(grams(t)), lambda p: best(t, p)))

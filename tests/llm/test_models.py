@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from vitrine.llm import op2_language_id as lid
 from vitrine.llm import op3_licenses as lic
 from vitrine.llm import op10_quality as qual
+from vitrine.llm.common import bounded_sample
 
 
 def test_languages_held_out(spark):
@@ -169,3 +170,19 @@ def test_a_frequent_notice_of_no_listed_family_is_found(spark):
     for r in lic.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect():
         last = [x["family"] for x in r["licenses"] if x["paragraph"] == r["text"].count("\n")]
         assert last == (["unknown"] if r["doc_id"] % 3 == 0 else []), r["doc_id"]
+
+
+def test_calibration_lines_are_not_trained_on(spark):
+    lines = spark.createDataFrame([(f"plain words {i}",) for i in range(40)], "line string")
+    rows = lic.examples(spark, lines).collect()
+    learned, held = ({(r["label"], r["line"]) for r in rows if r["held"] == h} for h in (False, True))
+    assert not {line for _, line in learned} & {line for _, line in held}
+    assert {f for f, _ in held} == {f for f, _ in learned} == {"none", "unknown", *lic.NOTICES}
+    made = {line for f, line in held if f != "none"}
+    assert not made & {f"{lead} {n}".strip() for lead in lic.LEADS for f in lic.NOTICES for n in lic.NOTICES[f] + lic.TITLES[f]}
+
+
+def test_sample_of_repeated_rows_is_full(spark):
+    docs = spark.range(20_000).select(F.concat(F.lit("text "), F.col("id") % 50).alias("text"))
+    got = [r["text"] for r in bounded_sample(docs, "text", 30).collect()]
+    assert len(got) == len(set(got)) == 30

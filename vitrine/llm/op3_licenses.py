@@ -201,6 +201,24 @@ CUE = (
     r" (?:(?:un|sub|re)?licen[sc](?:e|es|ed|ing|or|ors|ee|ees)|copyright(?:s|ed)?|copyleft|spdx|proprietary|redistribut[a-z]*"
     r"|rights? reserved|public domain|creative commons|cc0|cc by|[al]?gpl(?:v?[0-9.]+)?) "
 )
+# Names for the calibration lines, which are in no notice above and are never trained on.
+HELD_NAMES = {
+    "MIT": ["the MIT License", "an MIT license"],
+    "Apache-2.0": ["the Apache License 2.0", "Apache License, Version 2.0"],
+    "GPL-3.0": ["the GNU GPL, version 3", "GPL-3.0"],
+    "GPL-2.0": ["the GNU GPL, version 2", "GPL-2.0"],
+    "LGPL-3.0": ["the GNU LGPL, version 3", "LGPL-3.0"],
+    "AGPL-3.0": ["the GNU AGPL, version 3", "AGPL-3.0"],
+    "BSD-3-Clause": ["the BSD 3-Clause License", "the 3-Clause BSD License"],
+    "MPL-2.0": ["the Mozilla Public License 2.0", "MPL-2.0"],
+    "CC-BY-4.0": ["the Creative Commons Attribution 4.0 License", "CC BY 4.0"],
+    "CC-BY-SA-4.0": ["the Creative Commons Attribution-ShareAlike 4.0 License", "CC BY-SA 4.0"],
+    "CC-BY-NC-4.0": ["the Creative Commons Attribution-NonCommercial 4.0 License", "CC BY-NC 4.0"],
+    "CC0-1.0": ["CC0 1.0", "the CC0 dedication"],
+    "ISC": ["the ISC License", "an ISC license"],
+    UNKNOWN: ["the Zlib License", "a license of the vendor", "the Eclipse Public License 2.0", "the Apache License 1.1"],
+}
+HELD_FORMS = ["Code is available under the terms of {}.", "You may share these files under {}.", "All files here are covered by {}."]
 LEADS = ["", "this work is", "the project is", "this page is", "source code:", "notice:"]
 
 
@@ -265,7 +283,8 @@ class Classifier:
 def examples(spark: SparkSession, background: DataFrame) -> DataFrame:
     """(label, line, held): notices with and without a lead, their halves, and the corpus' lines as ``none``.
 
-    A half that does not name its family is ``unknown``.
+    A half that does not name its family is ``unknown``. Held lines are for the calibration alone: notices of other
+    wording (``HELD_FORMS``), and a quarter of the corpus' lines.
     """
     rows = []
     for family, notices in [*((f, n + TITLES[f]) for f, n in NOTICES.items()), (UNKNOWN, OTHER_NOTICES)]:
@@ -276,10 +295,10 @@ def examples(spark: SparkSession, background: DataFrame) -> DataFrame:
                 exact = family == UNKNOWN or re.search(MARKS[family], f" {' '.join(_words(p))} ")
                 rows += [(family if exact else UNKNOWN, f"{lead} {p}".strip()) for lead in LEADS]
     rows += [(NONE, line) for line in ORDINARY]
-    made = spark.createDataFrame(rows, "label string, line string")
-    return made.union(background.select(F.lit(NONE).alias("label"), "line")).withColumn(
-        "held", F.pmod(F.xxhash64("line"), F.lit(4)) == 0
-    )
+    marked = [(*r, False) for r in rows]
+    marked += [(family, form.format(n), True) for family, names in HELD_NAMES.items() for n in names for form in HELD_FORMS]
+    made = spark.createDataFrame(marked, "label string, line string, held boolean")
+    return made.union(background.select(F.lit(NONE), "line", F.pmod(F.xxhash64("line"), F.lit(4)) == 0))
 
 
 def train(spark: SparkSession, lines: DataFrame, frequent: float = 0.002) -> Classifier:
@@ -313,14 +332,15 @@ def train(spark: SparkSession, lines: DataFrame, frequent: float = 0.002) -> Cla
     classes = [NONE, *sorted(NOTICES), UNKNOWN]
     number = _constant({c: float(i) for i, c in enumerate(classes)}, "map<string,double>")
     data = data.withColumn("y", F.try_element_at(number, F.col("label")))
-    known = data.where("label <> 'none'").select("grams")
+    known = data.where("label <> 'none' and not held").select("grams")
     vectors = CountVectorizer(inputCol="grams", outputCol="x", binary=True, vocabSize=1 << 14).fit(known)
-    per_class = data.groupBy("label").agg(F.count("*").alias("n"))
-    fit = vectors.transform(data).join(F.broadcast(per_class), "label").withColumn("weight", 1.0 / F.sqrt("n"))
+    learned = data.where("not held")
+    per_class = learned.groupBy("label").agg(F.count("*").alias("n"))
+    fit = vectors.transform(learned).join(F.broadcast(per_class), "label").withColumn("weight", 1.0 / F.sqrt("n"))
     model = LogisticRegression(
         featuresCol="x", labelCol="y", weightCol="weight", family="multinomial", elasticNetParam=1.0, regParam=2e-4,
         maxIter=25, standardization=False,
-    ).fit(fit.where(~F.col("held") | (F.col("label") != NONE)))
+    ).fit(fit)
     matrix, bias = model.coefficientMatrix.toArray(), model.interceptVector.toArray()
     weights = {
         g: matrix[:, j].round(6).tolist() for j, g in enumerate(vectors.vocabulary) if abs(matrix[:, j]).max() > 1e-4

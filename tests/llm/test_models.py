@@ -186,3 +186,10 @@ def test_sample_of_repeated_rows_is_full(spark):
     docs = spark.range(20_000).select(F.concat(F.lit("text "), F.col("id") % 50).alias("text"))
     got = [r["text"] for r in bounded_sample(docs, "text", 30).collect()]
     assert len(got) == len(set(got)) == 30
+
+
+def test_repeated_ids_do_not_push_documents_out_of_the_sample(spark):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(8)] + [(0, f"copy {i}") for i in range(40)], "id long, text string")
+    labels = spark.createDataFrame([(i, int(i > 3)) for i in range(8)], "id long, label int")
+    rows = qual.sample_features(docs, labels, 8, 200)
+    assert sorted(y for _, _, y in rows) == [0] * 4 + [1] * 4

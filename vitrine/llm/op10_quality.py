@@ -7,8 +7,8 @@ the length-weighted mean of its lines' marginals for "good" (forward-backward),
 put on a probability scale by a logistic fit.
 
 The field is fitted on a bounded sample of labelled documents (``train_docs`` of
-them by hash order, each of at most ``train_lines`` lines, all lines carrying
-their document's label); the sample's line features, not its texts, come to the
+them by hash order, one text per id, each of at most ``train_lines`` lines, all
+lines carrying their document's label); the sample's line features, not its texts, come to the
 driver. Scoring reads every text whole, in Arrow batches, one pass, no shuffle.
 """
 
@@ -241,7 +241,12 @@ def sample_features(docs: DataFrame, labels: DataFrame, train_docs: int, train_l
         F.min("label").alias("label"), F.max("label").alias("other")
     )
     chosen = bounded_sample(agreed.where("label = other").select("id", "label"), "id", train_docs)
-    sample = docs.join(F.broadcast(chosen), "id")  # bounded by train_docs
+    joined = docs.join(F.broadcast(chosen), "id")
+    pick = F.struct(F.xxhash64("text").alias("hash"), F.coalesce("text", F.lit("")).alias("text"))
+    sample = (  # one row per chosen id, so repeated ids grow nothing; copies are combined before the exchange
+        joined.groupBy("id").agg(F.min("label").alias("label"), F.min(pick).alias("pick"))
+        .select("id", "label", F.col("pick.text").alias("text"))
+    )
     fields = [T.StructField(c, T.BinaryType()) for c in ("own", "size")]
 
     def make():
@@ -264,7 +269,7 @@ def sample_features(docs: DataFrame, labels: DataFrame, train_docs: int, train_l
             np.frombuffer(r["size"], "<f4").astype(float),
             int(r["label"]),
         )
-        for r in rows[: 2 * train_docs]  # ids that occur again and again don't grow the sample
+        for r in rows
     ]
 
 

@@ -49,6 +49,16 @@ def test_a_hot_group_is_split_and_small_groups_stay_whole(spark):
     assert sum(len(p) > 1 for t, p in places.items() if t != "hot copy") <= 7
 
 
+def test_a_repeated_row_is_split(spark):
+    docs = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("same row")).otherwise(F.concat(F.lit("text "), F.col("id") % 1000)).alias("text"),
+    )
+    rows = histogram_shards(docs, 8, rows_per_range=100).collect()
+    sizes = check_shards(rows, 8)
+    assert max(sizes) - min(sizes) <= 0.03 * sum(sizes) / 8
+
+
 @pytest.mark.parametrize("shards", [1, 3, 40])
 def test_odd_rows_are_placed(odd_docs, no_docs, shards):
     got = histogram_shards(odd_docs, shards)

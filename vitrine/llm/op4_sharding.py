@@ -1,7 +1,8 @@
 """Sharding by histogram sort (DataFrame functions only).
 
-Rows are ordered by (hash of the text, hash of the id), so equal texts lie side
-by side and the order does not depend on where rows are stored. Splitters are
+Rows are ordered by (hash of the text, hash of the id, salt), so equal texts lie
+side by side; only rows equal in text and id depend on where they are stored.
+Rows are written once with their number, which the salt comes from. Splitters are
 found by counting exact bytes below candidate keys: each round spreads probes
 over the key interval that still holds a wanted splitter, one distributed pass
 adds up the bytes between probes (partial sums before the exchange), and the
@@ -11,9 +12,9 @@ enough to stay whole; a group beyond that is refined further by the id hash.
 Only then rows are exchanged, once, to their shard.
 
 Per round at most ``shards * probes`` sums come to the driver, whatever the
-input. Slots are numbered in parallel: a shard is cut into sub-ranges of the id
-hash, rows are numbered inside each, and counts of the earlier sub-ranges are
-added.
+input. Slots are numbered in parallel: a shard is cut into ranges of the id
+hash (a range that repeated ids overfill also by the salt), rows are numbered
+inside each, and counts of the earlier ranges are added.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from vitrine.llm.common import Input, documents, written
 
 BITS = 62  # hashes are cut to 62 bits, so key arithmetic never overflows
+LEVELS = ("g", "d", "e")  # hashes of text and id, salt of the row
 PROBES = 65_536  # probes of all splitters together, per round
 
 
@@ -35,10 +37,10 @@ def _hash(col: Column) -> Column:
 
 @dataclass(frozen=True)
 class Interval:
-    """Keys lo..hi (ends included) of one level; level 1 is the ids inside ``group``."""
+    """Keys lo..hi (ends included) of column ``LEVELS[level]``, inside the one key ``group`` of the columns before it."""
 
     level: int
-    group: int
+    group: tuple[int, ...]
     lo: int
     hi: int
     below: int  # exact bytes before lo
@@ -55,11 +57,14 @@ def _count(keys: DataFrame, parts: list[Interval], probes: int) -> dict[Interval
     """For each interval the non-empty probe cells in order: (bytes, least key, greatest key)."""
     which, cell, key = [], [], []
     for i, p in enumerate(parts):
-        col = F.col("d") if p.level else F.col("g")
-        inside = col.between(p.lo, p.hi) & ((F.col("g") == p.group) if p.level else F.lit(True))
+        name = LEVELS[p.level]
+        col = F.col(name)
+        inside = col.between(p.lo, p.hi)
+        for c, at in zip(LEVELS, p.group):
+            inside = inside & (F.col(c) == at)
         width = (p.hi - p.lo) // probes + 1
         which.append((inside, F.lit(i)))
-        cell.append((inside, F.expr(f"({'d' if p.level else 'g'} - {p.lo}L) div {width}L")))
+        cell.append((inside, F.expr(f"({name} - {p.lo}L) div {width}L")))
         key.append((inside, col))
     sums = (
         keys.select(_pick(which).alias("part"), _pick(cell).alias("cell"), _pick(key).alias("key"), "size")
@@ -75,16 +80,16 @@ def _count(keys: DataFrame, parts: list[Interval], probes: int) -> dict[Interval
 
 def splitters(
     keys: DataFrame, shards: int, tolerance: float = 0.001, group_tolerance: float = 0.01
-) -> list[tuple[int, int]]:
-    """``shards - 1`` ascending keys (g, d): a row belongs right of a splitter if its key is not below it."""
+) -> list[tuple[int, int, int]]:
+    """``shards - 1`` ascending keys (g, d, e): a row belongs right of a splitter if its key is not below it."""
     total, lo, hi = keys.agg(F.sum("size"), F.min("g"), F.max("g")).first()
     if total is None or shards < 2:
         return []
     share = total / shards
     near, whole = tolerance * share, group_tolerance * share
-    start = Interval(0, 0, lo, hi, 0)
+    start = Interval(0, (), lo, hi, 0)
     open_ = {k: start for k in range(1, shards)}
-    done: dict[int, tuple[int, int]] = {}
+    done: dict[int, tuple[int, int, int]] = {}
     while open_:
         parts = list(dict.fromkeys(open_.values()))
         cells = _count(keys, parts, max(4, min(256, PROBES // len(parts))))
@@ -96,30 +101,31 @@ def splitters(
                 below += n_bytes
             before, after = target - below, below + n_bytes - target
             single = least == most
-            if min(before, after) <= near or (single and (p.level == 1 or n_bytes <= whole)):
+            if min(before, after) <= near or (single and (p.level == len(LEVELS) - 1 or n_bytes <= whole)):
                 at = least if before <= after else most + 1
-                done[k] = (p.group, at) if p.level else (at, -1)
+                done[k] = (*p.group, at, -1, -1)[: len(LEVELS)]
                 del open_[k]
             elif single:
-                open_[k] = Interval(1, least, 0, (1 << BITS) - 1, below)
+                open_[k] = Interval(p.level + 1, (*p.group, least), 0, (1 << BITS) - 1, below)
             else:
                 open_[k] = Interval(p.level, p.group, least, most, below)
-    out, last = [], (-1, -1)
+    out, last = [], (-1,) * len(LEVELS)
     for k in range(1, shards):
         last = max(last, done[k])
         out.append(last)
     return out
 
 
-def shard_of(cuts: list[tuple[int, int]]) -> Column:
+def shard_of(cuts: list[tuple[int, int, int]]) -> Column:
     """Binary decision over the splitters: log2(shards) comparisons a row."""
 
     def tree(lo: int, hi: int) -> Column:  # the shard is in lo..hi
         if lo == hi:
             return F.lit(lo)
         mid = (lo + hi + 1) // 2
-        g, d = cuts[mid - 1]
-        right = (F.col("g") > g) | ((F.col("g") == g) & (F.col("d") >= d))
+        g, d, e = cuts[mid - 1]
+        inner = (F.col("d") > d) | ((F.col("d") == d) & (F.col("e") >= e))
+        right = (F.col("g") > g) | ((F.col("g") == g) & inner)
         return F.when(right, tree(mid, hi)).otherwise(tree(lo, mid - 1))
 
     return tree(0, len(cuts))
@@ -140,34 +146,45 @@ def histogram_shards(
     (CRC 0). Shards have near equal bytes: each splitter is within
     ``tolerance`` of a shard's share, or as near as one row allows; equal texts
     stay in one shard unless they straddle a splitter and hold more than
-    ``group_tolerance`` of a share. Rows equal in text and id are one key and
-    stay together. Slots follow the id hash, a fixed shuffle of the shard. An
+    ``group_tolerance`` of a share. Rows equal in text and id are split the same
+    way. Slots follow the id hash, a fixed shuffle of the shard. An
     empty table gives an empty result; empty shards may occur if there are
     fewer rows than shards.
     """
     src = Input(docs, id=id_col, text=text_col)
     raw = F.coalesce(src["text"], F.lit("")).cast("binary")
-    base = src.df.select(
-        "*",
-        (F.octet_length(raw).cast("long") + 8).alias("size"),
-        F.crc32(raw).alias("crc"),
-        _hash(src["text"]).alias("g"),
-        _hash(src["id"]).alias("d"),
-    )
-    keys = written(base.select("g", "d", "size"), "op4-keys")
+    base = written(
+        src.df.select(
+            "*",
+            (F.octet_length(raw).cast("long") + 8).alias("size"),
+            F.crc32(raw).alias("crc"),
+            _hash(src["text"]).alias("g"),
+            _hash(src["id"]).alias("d"),
+            F.monotonically_increasing_id().alias("rid"),
+        ),
+        "op4-rows",
+    ).withColumn("e", _hash(F.col("rid")))
+    keys = base.select("g", "d", "e", "size")
     cuts = splitters(keys, shards, tolerance, group_tolerance)
     ranges = max(1, -(-keys.count() // (shards * rows_per_range)))
     place = [shard_of(cuts).alias("shard"), F.expr(f"d div {(1 << BITS) // ranges + 1}L").alias("range")]
-    counts = keys.select(*place).groupBy("shard", "range").count()
-    before = Window.partitionBy("shard").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    loads = keys.select(*place).groupBy("shard", "range").count().where(F.col("count") > 4 * rows_per_range)
+    full = loads.select("shard", "range", F.ceil(F.col("count") / rows_per_range).alias("parts"))
+
+    def parted(df: DataFrame) -> DataFrame:
+        part = F.expr(f"e div ({1 << BITS}L div parts + 1)")
+        return df.join(full, ["shard", "range"], "left").withColumn("part", F.coalesce(part, F.lit(0).cast("long")))
+
+    counts = parted(keys.select("e", *place)).groupBy("shard", "range", "part").count()
+    before = Window.partitionBy("shard").orderBy("range", "part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
-        "shard", "range", F.coalesce(F.sum("count").over(before), F.lit(0)).cast("long").alias("offset")
+        "shard", "range", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).cast("long").alias("offset")
     )
-    order = Window.partitionBy("shard", "range").orderBy("d", "g", "crc")
+    order = Window.partitionBy("shard", "range", "part").orderBy("d", "g", "crc", "rid")
     placed = (
-        base.select("*", *place)
+        parted(base.select("*", *place))
         .withColumn("nth", F.row_number().over(order))
-        .join(offsets, ["shard", "range"])
+        .join(offsets, ["shard", "range", "part"])
     )
     return src.restore(
         placed,

@@ -87,3 +87,18 @@ def test_twin(spark):
     con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{SF_ORACLE}/embeddings.parquet'")
     got = sorted(map(tuple, op6_mtree.op6_mtree(spark, SF_ORACLE).collect()))
     assert got == sorted(con.sql(op6_mtree.SQL).fetchall())
+
+
+def test_repeated_rows_count_as_in_the_sql(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(260)]
+    rows += [(i, rng.normal(size=4).tolist()) for i in (0, 100, 7, 7, 8)] + [rows[9], rows[200], rows[55], rows[55]]
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = sorted(map(tuple, op6_mtree.op6_mtree(spark, str(tmp_path)).collect()))
+    small = top_k(
+        spark.read.parquet(f"{tmp_path}/embeddings.parquet"), F.col("id") % 100 == 0, tree_rows=20, page=4, block=2, every_row=True
+    )
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    want = sorted(con.execute(op6_mtree.SQL).fetchall())
+    assert got == want and sorted(map(tuple, small.collect())) == want

@@ -193,12 +193,15 @@ def top_k(
     tree_rows: int = 4096,
     page: int = 64,
     block: int = 4096,
+    every_row: bool = False,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score) of each query's ``k`` best others; ``queries`` is a condition over ``id``.
 
     Rows with a null id, a null vector or a null or non-finite component take no
     part. Ids name vectors: rows with one id count once (of different vectors
-    the least counts), and a query is no candidate of its own. Shorter vectors
+    the least counts), and a query is no candidate of its own. With
+    ``every_row`` each row counts, as in the SQL: repeated rows of an id are
+    candidates and queries each, but never candidates of their own id. Shorter vectors
     are filled with zeros. Ties go to the smaller id; a query with fewer than
     ``k`` candidates gets them all. Scores beyond 64 bits are cut to the range
     of a long. An empty table gives an empty result.
@@ -207,15 +210,15 @@ def top_k(
     src = Input(vectors, id=id_col, vec=vector_col)
     vec = F.col("vec")
     finite = F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    valid = written(
+    rows = (
         src.df.select(src["id"].cast("long").alias("id"), src["vec"].cast("array<double>").alias("vec"))
         .where(F.col("id").isNotNull() & vec.isNotNull())
         .where(finite)
-        .groupBy("id")
-        .agg(F.min("vec").alias("vec"))
-        .withColumn("asks", F.coalesce(queries, F.lit(False))),
-        "op6-valid",
     )
+    rows = rows if every_row else rows.groupBy("id").agg(F.min("vec").alias("vec"))
+    number = F.monotonically_increasing_id() if every_row else F.col("id")  # deals repeated rows over trees and blocks
+    rows = rows.withColumn("asks", F.coalesce(queries, F.lit(False))).withColumn("rid", number)
+    valid = written(rows.select("id", "vec", "asks", "rid"), "op6-valid")
     length = F.aggregate(vec, F.lit(0.0), lambda acc, x: acc + F.pow(F.abs(x) * 1024.0 + 1, F.lit(2.0)))
     n, asked, dims, top = valid.agg(
         F.count("*"), F.count(F.when(F.col("asks"), 1)), F.max(F.size("vec")), F.max(length)
@@ -224,7 +227,7 @@ def top_k(
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     dims = max(1, dims)
 
-    some = bounded_sample(valid.select("id", "vec"), "id", sample).select("vec").toArrow().column(0)
+    some = bounded_sample(valid.select("rid", "vec"), "rid", sample).select("vec").toArrow().column(0)
     m = matrix(some, dims)
     count = min(pivots, -(-n // tree_rows))
     at = spread(m, lift(m, top), count)
@@ -244,11 +247,14 @@ def top_k(
                 near[closer], far[closer] = i, d[closer]
             packed = pa.array([r.tobytes() for r in x], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), packed, b.column(2), pa.array(near), pa.array(far)], names=["id", "x", "asks", "pivot", "away"]
+                [b.column(0), packed, b.column(2), b.column(3), pa.array(near), pa.array(far)],
+                names=["id", "x", "asks", "rid", "pivot", "away"],
             )
 
     dealt = written(
-        valid.select("id", "vec", "asks").mapInArrow(assign, "id long, x binary, asks boolean, pivot int, away double"),
+        valid.select("id", "vec", "asks", "rid").mapInArrow(
+            assign, "id long, x binary, asks boolean, rid long, pivot int, away double"
+        ),
         "op6-dealt",
     )
     radius, trees, first = [0.0] * len(m), [0] * len(m), [0] * len(m)
@@ -260,7 +266,7 @@ def top_k(
     def of(values: list) -> Column:
         return F.get(F.array(*[F.lit(x).cast("long") for x in values]), F.col("pivot"))
 
-    cut = F.pmod(F.xxhash64("id"), F.greatest(F.lit(1).cast("long"), of(trees)))
+    cut = F.pmod(F.xxhash64("rid"), F.greatest(F.lit(1).cast("long"), of(trees)))
     dealt = dealt.withColumn("tree", of(first) + cut)
 
     def make_pages(table):
@@ -287,7 +293,7 @@ def top_k(
         return pa.Table.from_pylist(rows, schema=page_schema())
 
     pages = written(dealt.select("tree", "id", "x").groupBy("tree").applyInArrow(make_pages, PAGES), "op6-pages")
-    asking = dealt.where("asks").select("tree", "pivot", "id", "x")
+    asking = dealt.where("asks").select("tree", "pivot", "id", "x", "rid")
 
     def search(left, right):
         import pyarrow as pa
@@ -322,20 +328,23 @@ def top_k(
                 bounds.append(bound)
                 where.append(np.flatnonzero(d - np.array(radius) <= bound).tolist())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), b.column(2), pa.array(bounds, pa.float64()), pa.array(where, pa.list_(pa.int32()))],
-                names=["home", "id", "x", "bound", "pivots"],
+                [
+                    b.column(0), b.column(1), b.column(2), pa.array(bounds, pa.float64()),
+                    pa.array(where, pa.list_(pa.int32())), b.column(4),
+                ],
+                names=["home", "id", "x", "bound", "pivots", "rid"],
             )
 
     blocks = -(-asked // block)
     routed = (
         asking.join(kth, "id", "left")
-        .select(F.col("tree").alias("home"), "id", "x", "kth")
-        .mapInArrow(route, "home long, id long, x binary, bound double, pivots array<int>")
-        .select("home", "id", "x", "bound", F.explode("pivots").alias("pivot"))
+        .select(F.col("tree").alias("home"), "id", "x", "kth", "rid")
+        .mapInArrow(route, "home long, id long, x binary, bound double, pivots array<int>, rid long")
+        .select("home", "id", "x", "bound", "rid", F.explode("pivots").alias("pivot"))
         .where(of(trees) > 0)
-        .select("home", "id", "x", "bound", F.explode(F.sequence(of(first), of(first) + of(trees) - 1)).alias("tree"))
+        .select("home", "id", "x", "bound", "rid", F.explode(F.sequence(of(first), of(first) + of(trees) - 1)).alias("tree"))
         .where("tree <> home")
-        .select("tree", F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"), "id", "x", "bound")
+        .select("tree", F.pmod(F.xxhash64("rid"), F.lit(blocks)).alias("block"), "id", "x", "bound")
     )
     paged = pages.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
     others = paged.groupBy("tree", "block").cogroup(routed.groupBy("tree", "block")).applyInArrow(search, FOUND)
@@ -353,7 +362,8 @@ def page_schema():
 
 
 def op6_mtree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding"), F.col("id") % 100 == 0)
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return top_k(vectors, F.col("id") % 100 == 0, every_row=True)
 
 
 SQL = """

@@ -92,3 +92,11 @@ def test_staged_frames_have_no_blank_text_and_an_empty_feed_clears_its_batch(spa
 def test_tag_staging_batch(spark):
     df = spark.createDataFrame([(0,), (3,)], "etl_batch_id long")
     assert [r[0] for r in I.tag_staging_batch(df, 9).collect()] == [9, 3]
+
+
+def test_translation_feed_comes_from_the_products(spark):
+    from vitrine.plans.catalog import translations_found
+
+    translation = spark.createDataFrame([("a", "x"), ("b", "y")], "product_category_name string, english string")
+    products = spark.createDataFrame([("b",), ("b",), ("c",), (None,)], "product_category_name string")
+    assert [tuple(r) for r in translations_found(translation, products).collect()] == [("b", "y")]

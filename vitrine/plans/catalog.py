@@ -629,20 +629,26 @@ def batch_totals(w: FixtureLoad) -> DataFrame:
 # --------------------------------------------------------------- CSV feeds
 
 
-def _csv_round_trip(w: FixtureLoad, feed_name: str) -> DataFrame:
+def _csv_round_trip(w: FixtureLoad, feed_name: str, staged: DataFrame | None = None) -> DataFrame:
     """Export a staging view as a delimited feed, then parse it back with the ingest code."""
     from vitrine.session import scratch_path
     from vitrine.sources import ingest as I
     from vitrine.sources.feeds import FEEDS
 
     feed = FEEDS[feed_name]
-    src = getattr(w.stg, feed_name).select(*[c.name for c in feed.columns])
+    src = (getattr(w.stg, feed_name) if staged is None else staged).select(*[c.name for c in feed.columns])
     path = scratch_path(w.spark, f"feed-{feed_name}")
     src.write.option("header", True).option("quote", '"').option("escape", '"').csv(path)
     tagged = I.tag_rows(I.read_feed_text(w.spark, feed, path), feed, BATCH, LOAD_TS)
     return tagged.filter(F.col("_reject_reason").isNull()).select(*[c.name for c in feed.columns], "etl_batch_id")
 
 
+def translations_found(translation: DataFrame, products: DataFrame) -> DataFrame:
+    """Translations of the categories that staged products have."""
+    found = products.select("product_category_name").distinct()
+    return translation.join(found, "product_category_name", "left_semi")
+
+
 @query
 def ingest_orders_csv(w: FixtureLoad) -> DataFrame:
     return _csv_round_trip(w, "orders")
@@ -680,7 +686,7 @@ def ingest_payments_csv(w: FixtureLoad) -> DataFrame:
 
 @query
 def ingest_translation_csv(w: FixtureLoad) -> DataFrame:
-    return _csv_round_trip(w, "category_translation")
+    return _csv_round_trip(w, "category_translation", translations_found(w.stg.category_translation, w.stg.products))
 
 
 @query

@@ -1,4 +1,7 @@
-"""Exact dedup: an extendible-hash index on shared files (DataFrame functions only).
+"""Exact dedup by grouping on address and bytes (DataFrame functions only).
+
+A plain grouping and a join replaced the extendible hash: the directory below
+only orders the written index, the lookup does not use it.
 
 1. Every row gets a row id, the 64-bit address and the SHA-256 of its
    normalised text; rows are written once to the shared folder.

@@ -15,7 +15,7 @@ def test_health_and_hourly_on_empty_warehouse(spark, tmp_root, capsys):
 def test_run_loads_exported_feeds(spark, tmp_root, capsys):
     import tempfile
 
-    from conftest import SF_SMALL
+    from star_cases import SF_SMALL
     from vitrine.plans.warehouse import Warehouse
     from vitrine.sources import fixtures as FX
     from vitrine.sources import ingest as I

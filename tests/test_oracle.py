@@ -2,8 +2,8 @@
 
 import pytest
 
-from conftest import SF_ORACLE
 from oracle_compare import compare, duck_connection
+from star_cases import SF_ORACLE
 from vitrine.plans.catalog import queries
 from vitrine.plans.oracle_sql import ORACLE
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from vitrine.functions import lookups as L
 
-from conftest import SF_SMALL
+from star_cases import SF_SMALL
 from vitrine.plans.pipeline import Pipeline, RunOptions
 from vitrine.sources import fixtures as FX
 

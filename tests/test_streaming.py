@@ -3,7 +3,7 @@
 import os
 import tempfile
 
-from conftest import SF_SMALL
+from star_cases import SF_SMALL
 from vitrine.plans.pipeline import RunOptions
 from vitrine.sources import fixtures as FX
 from vitrine.sources import ingest as I

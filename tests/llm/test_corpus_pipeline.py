@@ -56,4 +56,4 @@ def test_stages_keep_the_columns_of_documents(spark, odd_docs):
 
 def test_registered_queries():
     assert set(ORACLE) <= set(QUERIES)
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES if n.startswith("op")) == list(range(1, 14))

@@ -14,6 +14,9 @@ from vitrine.llm import (
     op8_exact_dedup,
     op9_bpe,
     op10_quality,
+    op11_line_dedup,
+    op12_prefix_trie,
+    op13_periodic_runs,
 )
 
 QUERIES = {
@@ -27,6 +30,9 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup.op8_exact_dedup,
     "op9_bpe": op9_bpe.op9_bpe,
     "op10_quality": op10_quality.op10_quality,
+    "op11_line_dedup": op11_line_dedup.op11_line_dedup,
+    "op12_prefix_trie": op12_prefix_trie.op12_prefix_trie,
+    "op13_periodic_runs": op13_periodic_runs.op13_periodic_runs,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -34,6 +40,8 @@ ORACLE = {
     "op6_mtree": op6_mtree.SQL,
     "op7_mixing": op7_mixing.SQL,
     "op8_exact_dedup": op8_exact_dedup.SQL,
+    "op11_line_dedup": op11_line_dedup.SQL,
+    "op12_prefix_trie": op12_prefix_trie.SQL,
 }
 
 if corpus_pipeline.ORACLE_SQL:

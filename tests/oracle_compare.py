@@ -79,8 +79,9 @@ def compare(spark, con, name: str, sf_dir: str) -> tuple[bool, str]:
     sv = sorted(tuple(_norm(r[i]) for i in si) for r in s_rows)
     dv = sorted(tuple(_norm(r[i]) for i in di) for r in d_rows)
     if sv != dv:
-        diff_s = [r for r in sv if r not in set(dv)][:3]
-        diff_d = [r for r in dv if r not in set(sv)][:3]
+        in_s, in_d = set(sv), set(dv)
+        diff_s = [r for r in sv if r not in in_d][:3]
+        diff_d = [r for r in dv if r not in in_s][:3]
         problems.append(f"values differ; cols={order}; spark-only={diff_s}; duck-only={diff_d}")
     return not problems, "; ".join(problems)
 

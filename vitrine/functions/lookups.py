@@ -104,6 +104,9 @@ REJECT_NO_ORDER_DATE = "Invalid ORDER_PURCHASE_TIMESTAMP"
 REJECT_NO_CUSTOMER = "Customer not in DIM_CUSTOMER"
 REJECT_NO_PRODUCT = "Product not in DIM_PRODUCT"
 REJECT_NO_SELLER = "Seller not in DIM_SELLER"
+REJECT_OPEN_QUOTE = "Quoted text without an end"
+REJECT_QUOTES = "Malformed quoted text"
+REJECT_LONG_ROW = "More fields than columns"
 REJECT_SELLER_ADDRESSES = "Seller with more than one address"
 
 # --- FIXED VALUES: watermark seeds and defaults ---

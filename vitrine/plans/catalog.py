@@ -692,3 +692,70 @@ def ingest_translation_csv(w: FixtureLoad) -> DataFrame:
 @query
 def ingest_reviews_csv(w: FixtureLoad) -> DataFrame:
     return _csv_round_trip(w, "order_reviews")
+
+
+@query
+def ingest_reviews_multiline(w: FixtureLoad) -> DataFrame:
+    """Reviews with line ends, quotes and commas in their messages, through the splittable scan of quoted records."""
+    return _csv_round_trip(w, "order_reviews", FX.multiline_reviews(w.stg.order_reviews))
+
+
+def _planted_ingest(w: FixtureLoad, feed_name: str) -> DataFrame:
+    """A feed with planted defects, written as delimited text and ingested; rows with more fields are rejected."""
+    from vitrine.session import scratch_path
+    from vitrine.sources import ingest as I
+    from vitrine.sources.feeds import FEEDS
+
+    feed, rows = FEEDS[feed_name], getattr(w.stg, feed_name)
+    rows = FX.multiline_reviews(rows) if feed.multiline else rows
+    path = scratch_path(w.spark, f"planted-{feed_name}")
+    records = FX.planted_records(rows.select(I.record_text(feed).alias("record")), feed.multiline)
+    I.export_records(records, feed, path)
+    return I.tag_rows(I.read_feed_text(w.spark, feed, path), feed, BATCH, LOAD_TS, long_rows="reject")
+
+
+@query
+def ingest_bad_rows(w: FixtureLoad) -> DataFrame:
+    """Rejects of all nine feeds with planted defects: the reason and the record exactly as it was read."""
+    from functools import reduce
+
+    from vitrine.sources import ingest as I
+    from vitrine.sources.feeds import LOAD_ORDER
+
+    parts = [
+        _planted_ingest(w, f.name).where("_reject_reason IS NOT NULL").select(
+            F.lit(f.table.upper()).alias("source_table"),
+            I._key(f).alias("source_key"),
+            F.col("_reject_reason").alias("reject_reason"),
+            F.col("_raw").alias("raw_data"),
+            "etl_batch_id",
+        )
+        for f in LOAD_ORDER
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def ingest_balance(w: FixtureLoad) -> DataFrame:
+    """Per feed with planted defects: loaded and rejected records, and the reasons' counts."""
+    from functools import reduce
+
+    from vitrine.functions import lookups as L
+    from vitrine.sources.feeds import LOAD_ORDER
+
+    def of(reason: Column) -> Column:
+        return F.count_if(F.coalesce(reason, F.lit(False)))
+
+    why = F.col("_reject_reason")
+    parts = [
+        _planted_ingest(w, f.name).groupBy().agg(
+            F.lit(f.table.upper()).alias("source_table"),
+            F.count(F.lit(1)).alias("records_in"),
+            of(why.isNull()).alias("loaded"),
+            of(why == L.REJECT_LONG_ROW).alias("long_rows"),
+            of(why == L.REJECT_QUOTES).alias("bad_quotes"),
+            of(why.startswith("Value too long")).alias("too_wide"),
+        )
+        for f in LOAD_ORDER
+    ]
+    return reduce(DataFrame.unionByName, parts)

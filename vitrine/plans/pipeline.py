@@ -37,6 +37,7 @@ class RunOptions:
     one_review_per_id: bool = False
     product_versions: str = "current"  # or "all" (aggregate keeps items of expired product versions)
     incremental_refresh: bool = True  # the daily aggregate: only days that may differ (same result)
+    long_rows: str = "reject"  # rows with more fields than columns; or "load" without the further fields
     error_limit: int | None = None  # rejected rows of a feed that stop a run; none by default
     started: dt.datetime | None = None  # set once per run, so a run over midnight has one date
 
@@ -265,7 +266,7 @@ class Pipeline:
         try:
             with self.log.step(batch_id, L.STEP_TAG_STAGING) as c:
                 if feeds_dir is not None:
-                    loaded = I.ingest_all(self.wh, feeds_dir, batch_id, self.opts.load_ts(), self.opts.error_limit)
+                    loaded = I.ingest_all(self.wh, feeds_dir, batch_id, self.opts.load_ts(), self.opts.error_limit, self.opts.long_rows)
                     c.records_in = sum(a + b for a, b in loaded.values())
                     c.records_out = sum(a for a, _ in loaded.values())
                     c.records_rejected = sum(b for _, b in loaded.values())

@@ -246,6 +246,34 @@ def stg_category_translation(spark: SparkSession, sf_dir: str | None = None) ->
     return _audit(df, "translation.inline")
 
 
+def multiline_reviews(reviews: DataFrame) -> DataFrame:
+    """Reviews of an even score get a message of several lines with quotes and commas (``FIXTURES.md``)."""
+    more = F.concat("review_comment_message", F.lit('\nsecond "line", with\n\na last one'))
+    even = F.col("review_score") % 2 == 0
+    return reviews.withColumn("review_comment_message", F.when(even, more).otherwise(F.col("review_comment_message")))
+
+
+#: Defects planted into a feed's records, by the record's length modulo PLANT_MOD (``FIXTURES.md``).
+PLANT_MOD = 23
+PLANT_LONG, PLANT_QUOTE, PLANT_WIDE, PLANT_SHORT, PLANT_OPEN = 3, 5, 7, 11, 17
+PLANT_WIDTH = 600
+
+
+def planted_records(records: DataFrame, multiline: bool) -> DataFrame:
+    """``record`` with a further field, a quote inside or at the end of its last field, a too long first field, or one field only."""
+    r = F.col("record")
+    kind = F.length(r) % PLANT_MOD
+    bad = (
+        F.when(kind == PLANT_LONG, F.concat(r, F.lit(",extra")))
+        .when(kind == PLANT_QUOTE, F.concat(r, F.lit('x"x"')))
+        .when(kind == PLANT_WIDE, F.concat(F.lit("w" * PLANT_WIDTH), r))
+        .when(kind == PLANT_SHORT, F.substring_index(r, ",", 1))
+    )
+    if not multiline:  # an open quote would take the rest of a file that may hold line ends in quotes
+        bad = bad.when(kind == PLANT_OPEN, F.concat(r, F.lit('"')))
+    return records.select(bad.otherwise(r).alias("record"))
+
+
 def staging(spark: SparkSession, sf_dir: str) -> Staging:
     return Staging(
         orders=stg_orders(spark, sf_dir),

@@ -1,15 +1,15 @@
 """Load the nine delimited feeds into batch-partitioned staging tables.
 
-Per feed: one CSV pass parses every row and tags it with a reject reason
-(overlong text, non-integer number) or none; that tagged result is written
-once to a scratch folder in the shared checkpoint area, then split with two
-columnar reads into the staging table (partition ``etl_batch_id=<b>``,
-replaced on a re-run) and the reject table. The CSV text is parsed once,
-whatever the feed size; quoted free text (reviews) is read multi-line, every
-other feed stays splittable.
-
-Short rows are padded with NULLs and extra fields of long rows are dropped,
-as the permissive reader does; the header line is skipped. An empty feed loads
+Per feed: one splittable scan takes the records apart from the line ends
+(``records.py``); every record is parsed beside its untouched text and tagged
+with a reject reason (quotes that don't pair, too many fields, overlong text,
+non-integer number) or none; that tagged result is written once to a scratch
+folder in the shared checkpoint area, then split with two columnar reads into
+the staging table (partition ``etl_batch_id=<b>``, replaced on a re-run) and the
+reject table, which keeps a rejected record as it was read.
+
+Short rows are padded with NULLs; the header line is skipped, and so are empty
+lines: loaded + rejected is the number of other records. An empty feed loads
 zero rows and replaces the batch's partition like any other. With an
 ``error_limit``, more rejects than that fail the feed before anything is
 published; by default there is none.
@@ -21,27 +21,31 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.functions import columns as C
+from vitrine.functions import lookups as L
 from vitrine.session import scratch_path
+from vitrine.sources import records as R
 from vitrine.sources.feeds import FEEDS, LOAD_ORDER, Feed, Staging
 
 
-
 class TooManyRejects(RuntimeError):
     pass
 
 
-def read_feed_text(spark: SparkSession, feed: Feed, path: str) -> DataFrame:
-    """All columns as text, with the source file name."""
-    return (
-        spark.read.schema(feed.csv_schema())
-        .option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", feed.multiline)
-        .option("mode", "PERMISSIVE")
-        .csv(path)
-        .withColumn("etl_source_file", F.col("_metadata.file_name"))
+def read_feed_text(spark: SparkSession, feed: Feed, path: str, scratch: str | None = None) -> DataFrame:
+    """All columns as text, with the source file name, the record as it was read (``_raw``) and what is wrong with
+    its form (``_form``): quotes that don't pair, or more fields than the feed has (``L.REJECT_LONG_ROW``)."""
+    records = R.quoted_records(spark, path, scratch) if feed.multiline else R.lines(spark, path)
+    options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "maxCharsPerColumn": "-1"}
+    record = F.col("record")
+    form = (
+        F.when(F.col("open"), L.REJECT_OPEN_QUOTE)
+        .when(~R.well_formed(record), L.REJECT_QUOTES)
+        .when(R.n_fields(record) > len(feed.columns), L.REJECT_LONG_ROW)
+    )
+    parsed = records.select(
+        F.from_csv(record, feed.csv_schema().toDDL(), options).alias("f"), "etl_source_file", record.alias("_raw"), form.alias("_form")
     )
+    return parsed.select(*[F.col(f"f.{c.name}") for c in feed.columns], "etl_source_file", "_raw", "_form")
 
 
 def _reason(feed: Feed) -> Column:
@@ -56,8 +60,15 @@ def _reason(feed: Feed) -> Column:
     return F.coalesce(*checks) if checks else F.lit(None).cast("string")
 
 
-def tag_rows(text: DataFrame, feed: Feed, batch_id: int, load_ts: str) -> DataFrame:
-    """Typed staging columns plus ``_reject_reason`` and the raw row text."""
+def tag_rows(text: DataFrame, feed: Feed, batch_id: int, load_ts: str, long_rows: str = "load") -> DataFrame:
+    """Typed staging columns plus ``_reject_reason`` and the record as it was read (``_raw``).
+
+    ``long_rows``: a row with more fields than the feed has is loaded without
+    them (``load``, as the source does) or rejected (``reject``).
+    """
+    if long_rows not in ("load", "reject"):
+        raise ValueError(f"long_rows must be 'load' or 'reject', not {long_rows!r}")
+    form = F.col("_form") if long_rows == "reject" else F.when(F.col("_form") != L.REJECT_LONG_ROW, F.col("_form"))
     typed = []
     for c in feed.columns:
         if c.kind == "string":
@@ -65,14 +76,13 @@ def tag_rows(text: DataFrame, feed: Feed, batch_id: int, load_ts: str) -> DataFr
         else:
             typ = "bigint" if c.kind == "long" else "int"
             typed.append(F.trim(c.name).try_cast(typ).alias(c.name))
-    raw = F.concat_ws(",", *[F.coalesce(F.col(c.name), F.lit("")) for c in feed.columns])
     return text.select(
         *typed,
         F.lit(batch_id).cast("long").alias("etl_batch_id"),
         F.lit(load_ts).cast("timestamp").alias("etl_insert_dt"),
         "etl_source_file",
-        _reason(feed).alias("_reject_reason"),
-        raw.alias("_raw"),
+        F.coalesce(form, _reason(feed)).alias("_reject_reason"),
+        "_raw",
     )
 
 
@@ -92,11 +102,15 @@ def ingest_feed(
     batch_id: int,
     load_ts: str,
     error_limit: int | None = None,
+    long_rows: str = "load",
 ) -> tuple[int, int]:
     """Load one feed file (or folder) into ``stg_<feed>``; returns (loaded, rejected)."""
     spark = wh.spark
     scratch = scratch_path(spark, f"ingest-{feed.name}-{batch_id}")
-    tag_rows(read_feed_text(spark, feed, path), feed, batch_id, load_ts).write.mode("overwrite").parquet(scratch)
+    pieces = scratch_path(spark, f"records-{feed.name}-{batch_id}")
+    text = read_feed_text(spark, feed, path, pieces)
+    tag_rows(text, feed, batch_id, load_ts, long_rows).write.mode("overwrite").parquet(scratch)
+    wh.fs.delete(pieces)
     tagged = spark.read.parquet(scratch)
     bad = tagged.filter(F.col("_reject_reason").isNotNull())
     rejected = bad.count()
@@ -136,12 +150,14 @@ def write_staging(wh, name: str, df: DataFrame, batch_id: int) -> int:
     return int(obs.get["rows"])
 
 
-def ingest_all(wh, feeds_dir: str, batch_id: int, load_ts: str, error_limit: int | None = None) -> dict:
+def ingest_all(
+    wh, feeds_dir: str, batch_id: int, load_ts: str, error_limit: int | None = None, long_rows: str = "load"
+) -> dict:
     """Load all nine feeds of ``feeds_dir`` in the fixed load order."""
     out = {}
     for feed in LOAD_ORDER:
         out[feed.name] = ingest_feed(wh, feed, f"{feeds_dir.rstrip('/')}/{feed.file_name}", batch_id, load_ts,
-                                     error_limit)
+                                     error_limit, long_rows)
     return out
 
 
@@ -195,6 +211,28 @@ def tag_staging_batch(df: DataFrame, batch_id: int) -> DataFrame:
     )
 
 
+def record_text(feed: Feed) -> Column:
+    """A row as one record: quotes around text that holds a comma, a quote or a line end; NULL as nothing."""
+
+    def field(c) -> Column:
+        text = F.col(c.name).cast("string")
+        quoted = F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
+        return F.coalesce(F.when(text.rlike('[",\r\n]'), quoted).otherwise(text), F.lit(""))
+
+    return F.concat_ws(",", *[field(c) for c in feed.columns])
+
+
+def export_records(records: DataFrame, feed: Feed, path: str) -> None:
+    """Write records (column ``record``) as they are, as a delimited feed with a header line in every file."""
+    header = F.array(F.lit(",".join(c.name for c in feed.columns)))
+    in_part = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # number of the row within its file
+    text = F.split("record", "\n", -1)
+    physical = records.select(in_part.alias("nth"), "record").select(
+        F.explode(F.when(F.col("nth") == 0, F.concat(header, text)).otherwise(text)).alias("value")
+    )
+    physical.write.text(path)
+
+
 def export_feeds(stg: Staging, feeds_dir: str) -> None:
     """Write staging tables out as the nine delimited feeds (header, quoted)."""
     for feed in LOAD_ORDER:

@@ -304,6 +304,46 @@ def scd2_apply(
     return h.select(*PRODUCT_COLUMNS).unionByName(keyed.select(*PRODUCT_COLUMNS))
 
 
+# ------------------------------------------------- versions out of order
+
+
+def merge_sightings(sightings: DataFrame, batch: DataFrame, key: str = "product_id", day: str = "seen_on") -> DataFrame:
+    """What each batch has said of a product: a row per product and day; the batch replaces what it said that day before."""
+    return sightings.join(batch.select(key, day), [key, day], "left_anti").unionByName(batch)
+
+
+def product_timeline(sightings: DataFrame, tracked: tuple[str, ...] = ("category_name_en",), key: str = "product_id", day: str = "seen_on") -> DataFrame:
+    """Version history from what the batches said, whatever the order they were loaded in.
+
+    Sightings of a product in day order; a version begins where a ``tracked``
+    column differs from the sighting before it (NULL-safely), keeps all columns
+    of that sighting, and ends the day before the next one begins. A product has
+    a sighting per batch, so its window is as long as the number of batches.
+    """
+    from pyspark.sql import Window
+
+    in_order = Window.partitionBy(key).orderBy(day)
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.lag(c).over(in_order)) for c in tracked])
+    first = F.row_number().over(in_order) == 1
+    begins = sightings.withColumn("_begins", first | ~same).where("_begins").drop("_begins")
+    following = F.lead(day).over(in_order)
+    return begins.select(
+        *[c for c in begins.columns if c != day],
+        F.col(day).alias("effective_from"),
+        F.date_sub(following, 1).alias("effective_to"),
+        C.yes_no(following.isNull()).alias("is_current"),
+    )
+
+
+def refresh_timeline(
+    timeline: DataFrame, sightings: DataFrame, batch: DataFrame, tracked: tuple[str, ...] = ("category_name_en",), key: str = "product_id"
+) -> DataFrame:
+    """The timeline after ``batch`` was merged into ``sightings``: only the batch's products are worked out anew."""
+    touched = batch.select(key).distinct()
+    fresh = product_timeline(sightings.join(touched, key, "left_semi"), tracked, key)
+    return timeline.join(touched, key, "left_anti").unionByName(fresh)
+
+
 # ------------------------------------------------------------ SCD1 upsert
 
 

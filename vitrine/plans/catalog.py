@@ -238,6 +238,30 @@ def dim_customer_upsert(w: FixtureLoad) -> DataFrame:
     return out.select(*DIM_CUSTOMER_OUT)
 
 
+UPSERT_BUCKETS, UPSERT_TOUCHED = 40, 4
+
+
+@query
+def dim_customer_upsert_buckets(w: FixtureLoad) -> DataFrame:
+    """The customer dimension stored by key bucket, after a batch whose keys lie in a tenth of the buckets."""
+    from vitrine.operators.keys import key_bucket
+    from vitrine.plans.buckets import BucketedDimension
+    from vitrine.session import scratch_path
+
+    source = w._table(w.customer_source, "customer_source")
+    earlier = F.col("city").isin(*EARLIER_CUSTOMER_CITIES)
+    prior = _prior_dimension(
+        source, earlier, F.col("state") == RETIRED_STATE, "customer_key", "customer_unique_id", D.CUSTOMER_COLUMNS
+    )
+    stored = BucketedDimension(
+        w.spark, scratch_path(w.spark, "dim_customer_buckets"), "customer_unique_id", "customer_key", D.CUSTOMER_COLUMNS,
+        UPSERT_BUCKETS,
+    )
+    stored.create(prior)
+    stored.upsert(source.where(key_bucket(F.col("customer_unique_id"), UPSERT_BUCKETS) < UPSERT_TOUCHED), LOAD_TS)
+    return stored.read().select(*[c for c in DIM_CUSTOMER_OUT if c != "merge_action"])
+
+
 @query
 def dim_seller_source(w: FixtureLoad) -> DataFrame:
     return D.seller_source(w.stg, BATCH)
@@ -302,6 +326,41 @@ def check_scd2_intervals(w: FixtureLoad) -> DataFrame:
     return Q.scd2_interval_errors(out).select("product_id", "effective_from", "effective_to", "problem")
 
 
+# Days of three product feeds; the second arrives after the third, and the first is then loaded again.
+TIMELINE_DAYS = [PRIOR_AS_OF, "2024-03-01", AS_OF]
+TIMELINE_LATER_NAME = "garden_tools"
+
+
+def _sightings(w: FixtureLoad) -> list[DataFrame]:
+    """What three feeds say of the products: most weights filed under 'toys', all as they are, some renamed since."""
+    src = w.product_source.select("product_id", "category_name_en", "weight_g", "product_photos_qty")
+    renamed = F.when(F.col("product_photos_qty") == 0, TIMELINE_LATER_NAME).when(F.col("product_photos_qty") == 1, "toys")
+    feeds = [
+        src.filter(F.col("weight_g") % 700 != 0).withColumn("category_name_en", F.lit("toys")),
+        src,
+        src.withColumn("category_name_en", F.coalesce(renamed, "category_name_en")),
+    ]
+    return [f.drop("product_photos_qty").withColumn("seen_on", F.lit(d).cast("date")) for f, d in zip(feeds, TIMELINE_DAYS)]
+
+
+@query
+def dim_product_timeline(w: FixtureLoad) -> DataFrame:
+    """Product versions when a batch arrives late and an old one is loaded again: as if all had come in order."""
+    first, late, last = _sightings(w)
+    said, timeline = first, D.product_timeline(first)
+    for n, batch in enumerate((last, late, first)):
+        said = w._table(D.merge_sightings(said, batch), f"sightings-{n}")
+        timeline = w._table(D.refresh_timeline(timeline, said, batch), f"timeline-{n}")
+    return timeline
+
+
+@query
+def check_timeline_intervals(w: FixtureLoad) -> DataFrame:
+    """Versions of the timeline that are empty or overlap: none."""
+    timeline = dim_product_timeline(w).withColumn("product_key", F.lit(0).cast("long"))
+    return Q.scd2_interval_errors(timeline).select("product_id", "effective_from", "effective_to", "problem")
+
+
 @query
 def category_group_counts(w: FixtureLoad) -> DataFrame:
     return w.product_source.groupBy("category_group").agg(F.count(F.lit(1)).alias("products"))
@@ -468,6 +527,65 @@ def agg_daily_sales_incremental(w: FixtureLoad) -> DataFrame:
     return A.refresh_days(previous, days, orders, customers, items, products)
 
 
+# ------------------------------------------------------- constraints, keys
+
+
+@query
+def constraint_gate(w: FixtureLoad) -> DataFrame:
+    """Orders in process are staged twice: neither they nor their items reach a fact; both show as rejects."""
+    from dataclasses import replace
+
+    from vitrine.operators import constraints as K
+
+    twice = w.stg.orders.filter(F.col("order_status") == "processing")
+    stg = replace(w.stg, orders=w.stg.orders.unionByName(twice))
+    orders = w._table(FT.fact_orders(stg, w.dim_customer, BATCH), "gate-orders")
+    orders = w._table(K.gate(orders, [K.Unique("FACT_ORDERS_UK", ("order_id",))]), "gated-orders")
+    accepted = orders.where("violation IS NULL")
+    items = w._table(FT.fact_order_items(stg, w.dim_customer, w.dim_product, w.dim_seller, BATCH), "gate-items")
+    rules = [
+        K.Parent("FACT_ITEM_ORDER_FK", ("order_id",), accepted, ("order_id",)),
+        K.Unique("FACT_ITEMS_UK", ("order_id", "order_item_id")),
+    ]
+    items = w._table(K.gate(items, rules), "gated-items")
+
+    def loaded(df: DataFrame, table: str) -> DataFrame:
+        n = df.where("violation IS NULL").agg(F.count(F.lit(1)).alias("occurrences"))
+        return n.select(F.lit(table).alias("constraint_name"), F.lit("loaded").alias("key_value"), "occurrences")
+
+    return (
+        K.violations(orders, ["order_id"])
+        .unionByName(K.violations(items, ["order_id", "order_item_id"]))
+        .unionByName(loaded(orders, "FACT_ORDERS"))
+        .unionByName(loaded(items, "FACT_ORDER_ITEMS"))
+    )
+
+
+@query
+def fact_keys(w: FixtureLoad) -> DataFrame:
+    """Surrogate keys of the three facts, given out by written file: as many as rows, dense from 1."""
+    from functools import reduce
+
+    from vitrine.operators.keys import keys_by_file
+    from vitrine.session import scratch_path
+
+    parts = []
+    for name, rows in (("FACT_ORDERS", w.fact_orders), ("FACT_ORDER_ITEMS", w.fact_items), ("FACT_REVIEWS", w.fact_reviews)):
+        path = scratch_path(w.spark, f"keys-{name.lower()}")
+        rows.write.parquet(path)
+        keyed = keys_by_file(w.spark, path, rows.schema, "fact_key")
+        parts.append(
+            keyed.agg(
+                F.lit(name).alias("fact"),
+                F.count(F.lit(1)).alias("n_rows"),
+                F.min("fact_key").alias("min_key"),
+                F.max("fact_key").alias("max_key"),
+                F.countDistinct("fact_key").alias("n_keys"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
 # ----------------------------------------------------------------- reports
 
 

@@ -107,6 +107,7 @@ REJECT_NO_SELLER = "Seller not in DIM_SELLER"
 REJECT_OPEN_QUOTE = "Quoted text without an end"
 REJECT_QUOTES = "Malformed quoted text"
 REJECT_LONG_ROW = "More fields than columns"
+REJECT_CONSTRAINT = "Constraint "  # followed by its name
 REJECT_SELLER_ADDRESSES = "Seller with more than one address"
 
 # --- FIXED VALUES: watermark seeds and defaults ---

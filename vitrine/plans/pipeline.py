@@ -18,12 +18,14 @@ from pyspark.sql import functions as F
 
 from vitrine.functions import lookups as L
 from vitrine.operators import aggregates as A
+from vitrine.operators import constraints as K
 from vitrine.operators import dimensions as D
 from vitrine.operators import facts as FT
 from vitrine.operators import quality as Q
+from vitrine.operators.keys import keys_by_file
 from vitrine.plans import reports as R
 from vitrine.plans.runlog import RunLog, StepCounts
-from vitrine.plans.warehouse import Warehouse
+from vitrine.plans.warehouse import Warehouse, empty_table
 from vitrine.session import scratch_path
 from vitrine.sources import ingest as I
 from vitrine.sources.feeds import FEEDS, Staging
@@ -38,6 +40,8 @@ class RunOptions:
     product_versions: str = "current"  # or "all" (aggregate keeps items of expired product versions)
     incremental_refresh: bool = True  # the daily aggregate: only days that may differ (same result)
     long_rows: str = "reject"  # rows with more fields than columns; or "load" without the further fields
+    constraints: str = "reject"  # rows that break a key go to the reject table; "fail" also fails the step; "off"
+    enforce_calendar: bool = False  # an order's purchase day must be in the calendar
     error_limit: int | None = None  # rejected rows of a feed that stop a run; none by default
     started: dt.datetime | None = None  # set once per run, so a run over midnight has one date
 
@@ -152,6 +156,42 @@ class Pipeline:
             c.records_out = int(obs.get["inserted"])
         self.log.set_watermarks(["PRODUCTS"], batch_id)
 
+    def _publish_fact(
+        self, table: str, rows: DataFrame, rules: list, key_name: str, source: str, key: Column, batch_id: int, attempt: int
+    ) -> tuple[int, int]:
+        """Append the rows that keep the rules, with surrogate keys and the load time; returns (loaded, rejected).
+
+        ``rows`` is a written table. Rows that break a rule become rejects in
+        the same pass; with ``constraints="fail"`` they then fail the step
+        before anything of it is published.
+        """
+        if self.opts.constraints not in ("reject", "fail", "off"):
+            raise ValueError(f"constraints must be 'reject', 'fail' or 'off', not {self.opts.constraints!r}")
+        split = scratch_path(self.spark, f"{table}-{batch_id}-{attempt}")
+        K.write_split(K.gate(rows, rules if self.opts.constraints != "off" else []), split)
+        rejected = 0
+        if self.wh.fs.exists(f"{split}/ok=false"):
+            bad = self.spark.read.parquet(f"{split}/ok=false")
+            reason = F.concat(F.lit(L.REJECT_CONSTRAINT), F.col("violation")).alias("reason")
+            rejected = self._leave_out(bad.select("*", reason), source, key, "order_date_key", batch_id, attempt)
+            if self.opts.constraints == "fail":
+                raise K.ConstraintViolation(f"{rejected} rows of {table} break a constraint; see the reject table")
+        if self.wh.fs.exists(f"{split}/ok=true"):
+            start = self.wh.max_value(self.wh.read(table), key_name)
+            keyed = keys_by_file(self.spark, f"{split}/ok=true", rows.schema, key_name, start)
+        else:
+            keyed = rows.limit(0).withColumn(key_name, F.lit(None).cast("long"))
+        keyed = keyed.withColumn("etl_insert_dt", F.lit(self.opts.load_ts()).cast("timestamp"))
+        names = empty_table(self.spark, self.wh.APPEND_SCHEMAS[table]).columns
+        loaded = self.wh.append(table, keyed.select(*names))
+        self.wh.fs.delete(split)
+        return loaded, rejected
+
+    def _written(self, rows: DataFrame, name: str) -> tuple[DataFrame, str]:
+        scratch = scratch_path(self.spark, name)
+        rows.write.parquet(scratch)
+        return self.spark.read.schema(rows.schema).parquet(scratch), scratch
+
     def load_fact_orders(self, stg: Staging, batch_id: int, attempt: int) -> None:
         with self.log.step(batch_id, L.STEP_FACT_ORDERS, attempt) as c:
             loaded = self.wh.read("fact_orders").select("order_id")
@@ -161,7 +201,15 @@ class Pipeline:
             c.records_rejected = self._leave_out(
                 unresolved, "STG_ORDERS", F.col("order_id"), "customer_id", batch_id, attempt
             )
-            c.records_out = self.wh.append("fact_orders", rows.select(*FT.FACT_ORDER_COLUMNS))
+            rows, scratch = self._written(rows.select(*FT.FACT_ORDER_COLUMNS), f"orders-{batch_id}-{attempt}")
+            rules: list[K.Rule] = [K.Unique("FACT_ORDERS_UK", ("order_id",))]
+            if self.opts.enforce_calendar:
+                rules.append(K.Parent("FACT_ORD_DATE_FK", ("order_date_key",), self.calendar(), ("date_key",)))
+            c.records_out, bad = self._publish_fact(
+                "fact_orders", rows, rules, "order_fact_key", "STG_ORDERS", F.col("order_id"), batch_id, attempt
+            )
+            c.records_rejected += bad
+            self.wh.fs.delete(scratch)
             c.records_in = stg.orders.count()
         self.log.set_watermarks(["ORDERS"], batch_id)
 
@@ -173,15 +221,21 @@ class Pipeline:
                 batch_id, loaded,
             )
             # resolved once: written to the shared folder, then split into facts and rejects
-            scratch = scratch_path(self.spark, f"items-{batch_id}-{attempt}")
-            rows.write.parquet(scratch)
-            rows = self.spark.read.schema(rows.schema).parquet(scratch)
+            rows, scratch = self._written(rows, f"items-{batch_id}-{attempt}")
             item = Q.item_key()
             c.records_rejected = self._leave_out(
                 rows.filter(F.col("reason").isNotNull()), "STG_ORDER_ITEMS", item, "product_id", batch_id, attempt
             )
             loads = rows.filter(F.col("reason").isNull()).select(*FT.FACT_ITEM_COLUMNS)
-            c.records_out = self.wh.append("fact_order_items", loads)
+            orders = self.wh.read("fact_orders")
+            rules: list[K.Rule] = [
+                K.Parent("FACT_ITEM_ORDER_FK", ("order_id",), orders, ("order_id",)),
+                K.Unique("FACT_ITEMS_UK", ("order_id", "order_item_id")),
+            ]
+            c.records_out, bad = self._publish_fact(
+                "fact_order_items", loads, rules, "item_fact_key", "STG_ORDER_ITEMS", item, batch_id, attempt
+            )
+            c.records_rejected += bad
             self.wh.fs.delete(scratch)
             c.records_in = stg.order_items.count()
         self.log.set_watermarks(["ORDER_ITEMS"], batch_id)
@@ -194,7 +248,11 @@ class Pipeline:
                 FT.fact_reviews_unresolved(stg, batch_id, loaded), "STG_ORDER_REVIEWS", F.col("review_id"), "order_id",
                 batch_id, attempt,
             )
-            c.records_out = self.wh.append("fact_reviews", rows.select(*FT.FACT_REVIEW_COLUMNS))
+            rows, scratch = self._written(rows.select(*FT.FACT_REVIEW_COLUMNS), f"reviews-{batch_id}-{attempt}")
+            c.records_out, _ = self._publish_fact(
+                "fact_reviews", rows, [], "review_fact_key", "STG_ORDER_REVIEWS", F.col("review_id"), batch_id, attempt
+            )
+            self.wh.fs.delete(scratch)
             c.records_in = stg.order_reviews.count()
         self.log.set_watermarks(["ORDER_REVIEWS"], batch_id)
 
@@ -213,6 +271,7 @@ class Pipeline:
             else:
                 agg = A.agg_daily_sales(orders, customers, items, products, versions)
             agg = agg.withColumn("etl_batch_id", F.lit(batch_id).cast("long"))
+            agg = agg.withColumn("etl_insert_dt", F.lit(self.opts.load_ts()).cast("timestamp"))
             c.records_out = self.wh.publish("agg_daily_sales", agg)
             c.records_in = self.wh.read("fact_order_items").count()
 

@@ -17,20 +17,20 @@ DIM_PRODUCT = (
     "effective_from date, effective_to date, is_current string, etl_batch_id bigint, etl_insert_dt timestamp"
 )
 FACT_ORDERS = (
-    "order_id string, customer_key bigint, order_date_key int, approved_date_key int, delivered_date_key int, "
+    "order_fact_key bigint, order_id string, customer_key bigint, order_date_key int, approved_date_key int, delivered_date_key int, "
     "estimated_delivery_date_key int, order_status string, total_payment_value decimal(14,2), "
     "payment_installments_max bigint, payment_type_primary string, num_payment_methods bigint, "
     "days_to_deliver int, days_to_approve int, delivery_delay_days int, is_late_delivery string, "
-    "review_score int, has_review string, etl_batch_id bigint"
+    "review_score int, has_review string, etl_insert_dt timestamp, etl_batch_id bigint"
 )
 FACT_ORDER_ITEMS = (
-    "order_id string, order_item_id bigint, order_date_key int, customer_key bigint, product_key bigint, "
+    "item_fact_key bigint, order_id string, order_item_id bigint, order_date_key int, customer_key bigint, product_key bigint, "
     "seller_key bigint, price decimal(12,2), freight_value decimal(12,2), total_item_value decimal(14,2), "
-    "etl_batch_id bigint"
+    "etl_insert_dt timestamp, etl_batch_id bigint"
 )
 FACT_REVIEWS = (
-    "review_id string, order_id string, review_date_key int, review_score int, sentiment string, "
-    "has_comment_title string, has_comment_message string, response_days int, etl_batch_id bigint"
+    "review_fact_key bigint, review_id string, order_id string, review_date_key int, review_score int, sentiment string, "
+    "has_comment_title string, has_comment_message string, response_days int, etl_insert_dt timestamp, etl_batch_id bigint"
 )
 REJECTS = (
     "reject_id string, source_table string, source_key string, reject_reason string, raw_data string, "

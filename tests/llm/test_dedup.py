@@ -1,13 +1,14 @@
 import hashlib
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 from llm_cases import ROWS, SF_SMALL, plain_components, plain_fingerprint
 
 from vitrine.llm.components import components
 from vitrine.llm.op1_simhash import links, near_dedup, op1_simhash
+from vitrine.llm import op8_exact_dedup as op8
 from vitrine.llm.op8_exact_dedup import exact_dedup
 
 
@@ -92,3 +93,41 @@ def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (200, 200)], "a long, b long")
     found = {r["node"]: r["root"] for r in components(edges, "a", "b").collect()}
     assert found == {**{i: 0 for i in range(1, 61)}, 101: 100}
+
+
+def test_directory_splits_until_a_bucket_fits_or_is_one_address(spark):
+    rnd = random.Random(3)
+    near = [(5 << 40) + i for i in range(40)]  # differ in the last bits only
+    addresses = {a: rnd.randint(1, 30) for a in [*near, *(rnd.getrandbits(64) - (1 << 63) for _ in range(300))]}
+    addresses[7] = 5000  # one address beyond any bucket
+    slots, bits = op8.directory(spark.createDataFrame(list(addresses.items()), "address long, bytes long"), 100)
+    rows = slots.collect()
+    of_slot = {r["slot"]: (r["bucket"], r["depth"]) for r in rows}
+    assert len(of_slot) == len(rows)
+    held = defaultdict(list)
+    for a in addresses:
+        held[of_slot[(a % (1 << 64)) >> (64 - bits)]].append(a)
+    for (bucket, depth), members in held.items():
+        assert sum(addresses[a] for a in members) <= 100 or len(members) == 1
+        assert len({(a % (1 << 64)) >> (64 - depth) if depth else 0 for a in members}) == 1
+    assert max(len(m) for m in held.values()) > 1 and bits > 50
+
+
+def test_the_result_comes_through_the_directory(odd_docs, monkeypatch):
+    right = Counter((r[0], r["group_size"]) for r in exact_dedup(odd_docs, bucket_bytes=16).collect())
+    made = op8.directory
+
+    def wrong(addresses, bucket_bytes):
+        slots, bits = made(addresses, bucket_bytes)
+        return slots.orderBy("slot").limit(slots.count() // 2), bits  # half of the slots are lost
+
+    monkeypatch.setattr(op8, "directory", wrong)
+    assert Counter((r[0], r["group_size"]) for r in exact_dedup(odd_docs, bucket_bytes=16).collect()) != right
+
+
+@pytest.mark.parametrize("limit", [0, 32 << 20])
+def test_texts_move_only_for_repeated_addresses(spark, monkeypatch, limit):
+    monkeypatch.setattr(op8, "BROADCAST_BYTES", limit)
+    docs = spark.createDataFrame([(i, f"text {i if i % 10 else 0}") for i in range(200)], "doc_id long, text string")
+    out = {r["doc_id"]: (r["keep_id"], r["group_size"], r["kept"]) for r in exact_dedup(docs).collect()}
+    assert out == {i: (i, 1, True) if i % 10 else (0, 20, i == 0) for i in range(200)}

@@ -1,22 +1,24 @@
-"""Exact dedup by grouping on address and bytes (DataFrame functions only).
-
-A plain grouping and a join replaced the extendible hash: the directory below
-only orders the written index, the lookup does not use it.
+"""Exact dedup with an extendible-hash index on shared files (DataFrame functions only).
 
 1. Every row gets a row id, the 64-bit address and the SHA-256 of its
    normalised text; rows are written once to the shared folder.
-2. Directory: the load of a bucket is the bytes of the distinct addresses under
-   it (copies count once). The directory starts with as many bits as the total
-   load asks for and doubles while a bucket is overfull; each slot points to the
-   bucket of the smallest local depth that fits.
-3. Chains: texts of one address are compared by their bytes (the grouping key
-   holds the whole text). Copies are combined before the exchange, so a group of
-   copies of any size costs one row per task.
-4. Owners of contiguous bucket ranges write the index pages (address, digest,
-   row that stays, group size), sorted by bucket and address.
-5. Rows look their entry up by address and digest; only digests move.
-
-No step holds a bucket or a group in memory, and nothing but two scalars goes
+2. Directory: the load of a bucket is the bytes of the distinct texts under it
+   (copies count once). The directory starts with as many address bits as the
+   total load asks for and doubles as long as a bucket is overfull and holds
+   more than one address; each slot points to the bucket of the smallest local
+   depth that fits. So a bucket fits, or is one address.
+3. Owners: the directory routes the texts of every address that occurs more than
+   once to its bucket. There texts of one address form a chain and are compared
+   by their bytes (the grouping key holds the whole text); copies are combined
+   before the exchange, so a group of any size costs one row a task. A text whose
+   address occurs once is not moved at all when the repeated addresses are few
+   enough to be sent to the tasks (checked), and once otherwise.
+4. The index pages (bucket, address, digest, row that stays, group size) are
+   written by owners of contiguous bucket ranges, sorted by bucket and address.
+5. Rows find their bucket through the directory and look up their address and
+   digest in it; only digests move. A row without an entry is alone.
+
+No step holds a bucket or a group in memory, and nothing but a few scalars goes
 to the driver.
 """
 
@@ -38,43 +40,48 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), RUNS, " ")
 
 
-def directory(entries: DataFrame, bucket_bytes: int, doublings: int) -> tuple[DataFrame, int]:
-    """(slot, bucket, depth) for ``2**g`` slots of the top ``g`` address bits, and ``g``.
+#: Repeated addresses of up to this many bytes in all are broadcast.
+BROADCAST_BYTES = 32 << 20
+
+
+def directory(addresses: DataFrame, bucket_bytes: int) -> tuple[DataFrame, int]:
+    """(slot, bucket, depth) for the occupied ones of ``2**g`` slots of the top ``g`` address bits, and ``g``.
 
-    ``entries``: distinct (address, bytes). A bucket is named by its first slot.
-    Starting at the depth the total load asks for, each further depth is one
-    doubling; a bucket stops splitting when it fits, holds one address, or the
-    last doubling is reached (then its pages simply overflow).
+    ``addresses``: distinct (address, bytes). A bucket is named by its first
+    slot and its depth. Starting at the depth the total load asks for, each
+    doubling adds a bit until every bucket fits or holds one address (64 bits
+    tell all addresses apart, so this ends); a bucket keeps the smallest depth.
     """
-    total = entries.agg(F.sum("bytes")).first()[0] or 0
+    total = addresses.agg(F.sum("bytes")).first()[0] or 0
     first = max(0, math.ceil(math.log2(max(1.0, total / bucket_bytes))))
-    g = min(40, first + doublings)
-    slots = written(
-        entries.groupBy(slot(F.col("address"), g).alias("slot")).agg(
-            F.sum("bytes").alias("bytes"), F.count("*").alias("keys")
-        ),
-        "op8-slots",
-    )
+    g = first
+    fits = (F.col("load") <= bucket_bytes) | (F.col("keys") == 1)
+    while True:
+        slots = addresses.groupBy(slot(F.col("address"), g).alias("slot")).agg(
+            F.sum("bytes").alias("load"), F.count("*").alias("keys")
+        )
+        if slots.where(~fits).isEmpty():
+            break
+        g += 1
+    slots = written(slots, "op8-slots")
     at_depth = slots.withColumn("depth", F.explode(F.sequence(F.lit(first), F.lit(g)))).withColumn(
-        "bucket", F.expr(f"shiftleft(shiftright(slot, {g} - depth), {g} - depth)")
+        "bucket", F.expr(f"shiftleft(shiftrightunsigned(slot, {g} - depth), {g} - depth)")
     )
-    fits = (
-        at_depth.groupBy("depth", "bucket")
-        .agg(F.sum("bytes").alias("load"), F.sum("keys").alias("keys"))
-        .where((F.col("load") <= bucket_bytes) | (F.col("keys") == 1) | (F.col("depth") == g))
-        .select("depth", "bucket")
+    roomy = (
+        at_depth.groupBy("depth", "bucket").agg(F.sum("load").alias("load"), F.sum("keys").alias("keys")).where(fits)
     )
     chosen = (
-        at_depth.join(fits, ["depth", "bucket"], "left_semi")
+        at_depth.join(roomy.select("depth", "bucket"), ["depth", "bucket"], "left_semi")
         .groupBy("slot")
         .agg(F.min("depth").alias("depth"))
-        .withColumn("bucket", F.expr(f"shiftleft(shiftright(slot, {g} - depth), {g} - depth)"))
+        .withColumn("bucket", F.expr(f"shiftleft(shiftrightunsigned(slot, {g} - depth), {g} - depth)"))
     )
     return written(chosen, "op8-directory"), g
 
 
 def slot(address: Column, bits: int) -> Column:
-    return F.shiftrightunsigned(address, 64 - bits) if bits else F.lit(0).cast("long")
+    """The top ``bits`` bits of an address."""
+    return F.shiftrightunsigned(address, 64 - bits) if bits else address * 0
 
 
 def exact_dedup(
@@ -82,7 +89,6 @@ def exact_dedup(
     id_col: str = "doc_id",
     text_col: str = "text",
     bucket_bytes: int = 64 << 20,
-    doublings: int = 4,
 ) -> DataFrame:
     """All rows of ``docs`` plus keep_id, group_size, kept, text_sha256.
 
@@ -103,12 +109,23 @@ def exact_dedup(
         ),
         "op8-rows",
     )
-    slots, bits = directory(
-        rows.groupBy("address").agg(F.max("n_bytes").alias("bytes")), bucket_bytes, doublings
+    texts = written(
+        rows.groupBy("address", "digest").agg(F.count("*").alias("n"), F.max("n_bytes").alias("bytes")), "op8-texts"
+    )
+    addresses = texts.groupBy("address").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"))
+    slots, bits = directory(addresses, bucket_bytes)
+
+    def routed(df: DataFrame) -> DataFrame:
+        """With the bucket that the directory gives for the address."""
+        return df.withColumn("slot", slot(F.col("address"), bits)).join(slots.select("slot", "bucket"), "slot").drop("slot")
+
+    repeated = written(routed(addresses.where("n > 1").select("address")), "op8-repeated")
+    few = repeated.count() * 16 <= BROADCAST_BYTES
+    chained = rows.select("address", "digest", norm.alias("norm"), src["id"].alias("id"), "rid").join(
+        F.broadcast(repeated) if few else repeated, "address"
     )
     chains = (
-        rows.select("address", "digest", norm.alias("norm"), src["id"].alias("id"), "rid")
-        .groupBy("address", "digest", "norm")
+        chained.groupBy("bucket", "address", "digest", "norm")
         .agg(
             F.min("id").alias("keep_id"),
             F.coalesce(F.min_by("rid", "id"), F.min("rid")).alias("keep_rid"),
@@ -117,20 +134,16 @@ def exact_dedup(
         .drop("norm")
     )
     index = written(
-        chains.withColumn("slot", slot(F.col("address"), bits))
-        .join(slots.select("slot", "bucket"), "slot", "left")
-        .drop("slot")
-        .repartitionByRange("bucket", "address")
-        .sortWithinPartitions("bucket", "address"),
-        "op8-index",
+        chains.repartitionByRange("bucket", "address").sortWithinPartitions("bucket", "address"), "op8-index"
     )
-    found = rows.join(index.drop("bucket"), ["address", "digest"])
+    found = routed(rows).join(index, ["bucket", "address", "digest"], "left")
+    alone = F.col("group_size").isNull()
     return src.restore(
         found,
         {
-            "keep_id": "keep_id",
-            "group_size": "group_size",
-            "kept": F.col("rid") == F.col("keep_rid"),
+            "keep_id": F.when(alone, src["id"]).otherwise(F.col("keep_id")),
+            "group_size": F.coalesce("group_size", F.lit(1).cast("long")),
+            "kept": alone | (F.col("rid") == F.col("keep_rid")),
             "text_sha256": F.lower(F.hex("digest")),
         },
     )

@@ -110,11 +110,12 @@ def map_texts(
     keep: list[str],
     fields: list[T.StructField],
     make: Callable[[], Callable[[pa.Array], list]],
+    limit: int = PIECE_BYTES,
 ) -> DataFrame:
     """Arrow stage over a text column: ``keep`` columns unchanged, plus ``fields`` computed per text.
 
     ``make`` runs once per task and returns the function from an Arrow string
-    array (about 4 MB of text) to one list or Arrow array per field. Texts do
+    array (about ``limit`` bytes of text) to one list or Arrow array per field. Texts do
     not come back to the JVM unless ``keep`` names them.
     """
     cols = list(dict.fromkeys([*keep, text]))
@@ -128,7 +129,7 @@ def map_texts(
 
         call, arrow = make(), to_arrow_schema(schema)
         for batch in batches:
-            for piece in pieces(batch, at):
+            for piece in pieces(batch, at, limit):
                 made = call(piece.column(at))
                 arrays = [piece.column(i).cast(arrow.field(j).type) for j, i in enumerate(keep_at)]
                 for f, v in zip(list(arrow)[len(keep_at):], made):

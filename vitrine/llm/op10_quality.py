@@ -23,6 +23,9 @@ from pyspark.sql import types as T
 
 from vitrine.llm.common import Input, bounded_sample, crc_mod, documents, map_texts
 
+#: Text scored at once: the arrays of a piece take about a hundred times its bytes.
+PIECE_BYTES = 1 << 20
+
 LETTER, UPPER, DIGIT, SPACE, POINT, SYMBOL = 1, 2, 4, 8, 16, 32
 POINTS = ".,;:'\"!?()-’‘“”¿¡"
 TABLE_END = 0x10000  # characters beyond count as letters
@@ -304,7 +307,7 @@ def quality(
 
         return score
 
-    scored = map_texts(src.df, src.name("text"), src.inner, [T.StructField("score", T.DoubleType())], make)
+    scored = map_texts(src.df, src.name("text"), src.inner, [T.StructField("score", T.DoubleType())], make, PIECE_BYTES)
     return src.restore(scored, {"score": "score", "predicted": (F.col("score") >= threshold).cast("int")})
 
 

@@ -30,7 +30,8 @@ from pyspark.sql import types as T
 from vitrine.llm.common import Input, documents, map_texts
 
 LATIN_END = 0x250
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
+CACHED_PAIRS = 1_000_000  # pair verdicts that a worker keeps
 CACHED_LENGTH = 64
 SHORT = 32
 
@@ -154,6 +155,9 @@ class Bpe:
 
     def verdicts(self, codes: np.ndarray) -> np.ndarray:
         new = np.setdiff1d(codes, self.codes)
+        if len(self.codes) + len(new) > CACHED_PAIRS:  # starts anew, so that a long-lived worker stays small
+            self.codes, self.good = np.empty(0, np.int64), np.empty(0, bool)
+            new = np.unique(codes)
         if len(new):
             good = np.fromiter(map(self._alone, new.tolist()), bool, len(new))
             at = np.searchsorted(self.codes, new)

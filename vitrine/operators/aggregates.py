@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.functions import columns as C
@@ -21,6 +21,11 @@ AGG_DAILY_COLUMNS = [
     "avg_review_score",
     "late_delivery_count",
 ]
+DAILY_GROUP = AGG_DAILY_COLUMNS[:5]
+DAILY_MEASURES = [
+    "order_count", "item_count", "price_total", "price_n", "freight_total", "freight_n", "score_sum", "score_n",
+    "late_delivery_count",
+]
 
 
 def items_by_order_category(fact_items: DataFrame, dim_product: DataFrame, product_versions: str = "current") -> DataFrame:
@@ -42,7 +47,9 @@ def items_by_order_category(fact_items: DataFrame, dim_product: DataFrame, produ
         .agg(
             F.count(F.lit(1)).alias("n_items"),
             F.sum("price").alias("price_sum"),
+            F.count("price").alias("price_n"),
             F.sum("freight_value").alias("freight_sum"),
+            F.count("freight_value").alias("freight_n"),
         )
     )
 
@@ -71,6 +78,17 @@ def agg_daily_sales(
     Item-grain semantics of the source are kept: the review average and the
     late count weight each order by its number of items in the group.
     """
+    return finish_daily(daily_state(fact_orders, dim_customer, fact_items, dim_product, product_versions))
+
+
+def daily_state(
+    fact_orders: DataFrame,
+    dim_customer: DataFrame,
+    fact_items: DataFrame,
+    dim_product: DataFrame,
+    product_versions: str = "current",
+) -> DataFrame:
+    """The daily aggregate as sums and counts only, so that states of different orders add up (``DAILY_MEASURES``)."""
     per_cat = items_by_order_category(fact_items, dim_product, product_versions)
     fo = fact_orders.filter(F.col("order_date_key").isNotNull()).select(
         "order_id", "customer_key", "order_date_key", "payment_type_primary", "order_status", "review_score",
@@ -88,24 +106,35 @@ def agg_daily_sales(
     ).agg(
         F.count(F.lit(1)).alias("order_count"),
         F.sum("n_items").alias("item_count"),
-        F.sum("price_sum").alias("price_total"),
-        F.sum("freight_sum").alias("freight_total"),
-        F.sum(F.col("review_score") * F.col("n_items")).alias("score_sum"),
+        _total("price_sum").alias("price_total"),
+        F.sum("price_n").alias("price_n"),
+        _total("freight_sum").alias("freight_total"),
+        F.sum("freight_n").alias("freight_n"),
+        F.coalesce(F.sum(F.col("review_score") * F.col("n_items")), F.lit(0)).alias("score_sum"),
         F.sum(scored_items).alias("score_n"),
         F.sum(F.when(F.col("is_late_delivery") == "Y", F.col("n_items")).otherwise(F.lit(0))).alias(
             "late_delivery_count"
         ),
     )
-    return g.select(
-        "date_key",
-        "state",
-        "category_en",
-        "payment_type",
-        "order_status",
+    return g
+
+
+def _total(amount: str) -> Column:
+    return F.coalesce(F.sum(amount), F.lit(0)).cast("decimal(38,2)")
+
+
+def finish_daily(state: DataFrame) -> DataFrame:
+    """The published columns of a state; a sum without any amount is NULL, an average without any score too."""
+
+    def money(total: str, n: str) -> Column:
+        return F.when(F.col(n) > 0, F.round(total, 2)).cast(C.AGG_MONEY_TYPE)
+
+    return state.select(
+        *DAILY_GROUP,
         F.col("order_count").cast("long").alias("order_count"),
         F.col("item_count").cast("long").alias("item_count"),
-        F.round("price_total", 2).cast(C.AGG_MONEY_TYPE).alias("total_revenue"),
-        F.round("freight_total", 2).cast(C.AGG_MONEY_TYPE).alias("total_freight"),
+        money("price_total", "price_n").alias("total_revenue"),
+        money("freight_total", "freight_n").alias("total_freight"),
         C.round_ratio("score_sum", "score_n", 2).cast(C.AVG_SCORE_TYPE).alias("avg_review_score"),
         F.col("late_delivery_count").cast("long").alias("late_delivery_count"),
     )

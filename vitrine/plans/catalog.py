@@ -527,6 +527,137 @@ def agg_daily_sales_incremental(w: FixtureLoad) -> DataFrame:
     return A.refresh_days(previous, days, orders, customers, items, products)
 
 
+@query
+def agg_daily_sales_delta(w: FixtureLoad) -> DataFrame:
+    """A refresh by signed differences: new orders, corrected items, moved customers, re-filed products."""
+    from vitrine.operators import daily_delta as DD
+
+    facts, sold = w._table(w.fact_orders, "delta-orders"), w._table(w.fact_items, "delta-items")
+    new_order = F.col("order_date_key") >= F.lit(int(EARLIER_ORDERS_BEFORE.replace("-", "")))
+    corrected = (F.col("order_item_id") == 1) & (F.col("freight_value") < 3)
+    moved, refiled = F.col("state") == RETIRED_STATE, (F.col("weight_g") % 700 == 0) & (F.col("product_photos_qty") == 0)
+
+    def stamped(rows: DataFrame, new: Column) -> DataFrame:
+        return rows.withColumn("etl_batch_id", F.when(new, 2).otherwise(1).cast("long"))
+
+    after = DD.Star(
+        stamped(facts, new_order), w.dim_customer, stamped(sold, new_order | F.coalesce(corrected, F.lit(False))), w.dim_product
+    )
+    price = F.when(corrected, F.col("price") + 1).otherwise(F.col("price")).cast(C.PRICE_TYPE)
+    before = DD.Star(
+        facts.where(~new_order),
+        w.dim_customer.withColumn("state", F.when(moved, "SP").otherwise(F.col("state"))),
+        sold.where(~new_order).withColumn("price", price),
+        w.dim_product.withColumn("category_name_en", F.when(refiled, "toys").otherwise(F.col("category_name_en"))),
+    )
+    state = w._table(before.state(), "daily-state")
+    changed = w._table(DD.changed_orders(before, after, since_batch=2), "changed-orders")
+    return A.finish_daily(DD.apply_delta(state, DD.signed_delta(before, after, changed)))
+
+
+# -------------------------------------------------------------- late items
+
+
+def _late_batches(w: FixtureLoad) -> list[dict[str, DataFrame]]:
+    """Two batches. In the first, later orders, products of some weights and the sellers of one region are missing;
+    the second brings them, and sends every first item of an order again at another price."""
+    from vitrine.operators import late_items as LI
+
+    early = F.col("order_date_key") < F.lit(int(EARLIER_ORDERS_BEFORE.replace("-", "")))
+    staged, orders = w.stg.order_items, w._table(w.fact_orders, "late-orders")
+    again = staged.where("order_item_id = 1").withColumn("price", F.lit(RESENT_PRICE))
+    none = staged.limit(0)
+    scenes = [
+        (staged, orders.where(early), w.dim_product.where("weight_g % 700 <> 0"),
+         w.dim_seller.where(F.col("region") != EARLIER_SELLER_REGION)),
+        (again, orders, w.dim_product, w.dim_seller),
+    ]
+    waiting, loaded, batches = none, none.select(*LI.ITEM_KEY), []
+    for n, (items, known, products, sellers) in enumerate(scenes, start=1):
+        items = items.withColumn("etl_batch_id", F.lit(n).cast("long"))
+        tried = w._table(LI.try_items(waiting, items, loaded, known, products, sellers, n), f"tried-items-{n}")
+        batches.append({"waiting": waiting, "staged": items, "tried": tried})
+        waiting = LI.still_waiting(tried)
+        loaded = loaded.unionByName(tried.where(F.col("outcome") == LI.LOADS).select(*LI.ITEM_KEY))
+    return batches
+
+
+RESENT_PRICE = "10.00"
+LATE_ITEM_OUT = [
+    "order_id", "order_item_id", "order_date_key", "product_id", "seller_id", "price", "freight_value", "total_item_value",
+    "etl_batch_id",
+]
+
+
+@query
+def fact_order_items_late(w: FixtureLoad) -> DataFrame:
+    """Items loaded by two batches, each once, by the batch that resolves it."""
+    from vitrine.operators import late_items as LI
+
+    first, second = (b["tried"].where(F.col("outcome") == LI.LOADS).select(*LATE_ITEM_OUT) for b in _late_batches(w))
+    return first.unionByName(second)
+
+
+@query
+def late_items_waiting(w: FixtureLoad) -> DataFrame:
+    """Items that wait after each of two batches, by reason, with how many batches' rows they hold."""
+    from functools import reduce
+
+    from vitrine.operators import late_items as LI
+
+    parts = [
+        LI.still_waiting(b["tried"]).groupBy("reason").agg(F.count(F.lit(1)).alias("items"))
+        .select(F.lit(n).cast("long").alias("batch_id"), "reason", "items")
+        for n, b in enumerate(_late_batches(w), start=1)
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def late_items_balance(w: FixtureLoad) -> DataFrame:
+    """Waiting and staged items of two batches are loaded, wait on, or are rejected, repeated or superseded."""
+    from functools import reduce
+
+    from vitrine.operators import late_items as LI
+
+    parts = [LI.balance(b["tried"], b["waiting"], b["staged"], n) for n, b in enumerate(_late_batches(w), start=1)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+# ----------------------------------------------------------------- run log
+
+
+def _run_log(w: FixtureLoad) -> tuple[DataFrame, DataFrame]:
+    """Current states of the batches and of the steps of the derived run log."""
+    from vitrine.plans.runlog import latest_events
+    from vitrine.sources import fixture_runs as FR
+
+    months = w._table(FR.monthly_loads(w.stg), "monthly-loads")
+    return (
+        latest_events(FR.batch_events(months), "batch_id"), latest_events(FR.step_events(months), "step_log_id")
+    )
+
+
+@query
+def run_history(w: FixtureLoad) -> DataFrame:
+    """Every run with its totals and minutes; unfinished ones have none."""
+    return R.run_history(_run_log(w)[0])
+
+
+@query
+def run_health_check(w: FixtureLoad) -> DataFrame:
+    """The latest five runs."""
+    return R.health_check(_run_log(w)[0])
+
+
+@query
+def run_step_detail(w: FixtureLoad) -> DataFrame:
+    """The steps of the first batch that was run again, of both attempts."""
+    batches, steps = _run_log(w)
+    first = batches.where("attempt = 2").agg(F.min("batch_id")).first()[0]
+    return R.step_detail(steps, first)
+
+
 # ------------------------------------------------------- constraints, keys
 
 

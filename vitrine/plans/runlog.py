@@ -14,7 +14,7 @@ import uuid
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from vitrine.functions import lookups as L
@@ -41,6 +41,19 @@ def latest_events(log: DataFrame, key: str) -> DataFrame:
     return picked.select("_e.*")
 
 
+def attempt_totals(steps: DataFrame) -> DataFrame:
+    """Records read, written and rejected by the steps of each (batch, attempt)."""
+
+    def total(c: str) -> Column:
+        return F.coalesce(F.sum(c), F.lit(0)).cast("long")
+
+    return steps.groupBy("batch_id", "attempt").agg(
+        total("records_in").alias("total_records"),
+        total("records_out").alias("success_records"),
+        total("records_rejected").alias("rejected_records"),
+    )
+
+
 @dataclass
 class StepCounts:
     records_in: int = 0
@@ -107,20 +120,14 @@ class RunLog:
         cur = self.batch(batch_id)
         if cur is None:
             raise KeyError(f"batch {batch_id} was never started")
-        totals = (
-            self.steps()
-            .filter((F.col("batch_id") == batch_id) & (F.col("attempt") == cur["attempt"]))
-            .agg(
-                F.coalesce(F.sum("records_in"), F.lit(0)).alias("i"),
-                F.coalesce(F.sum("records_out"), F.lit(0)).alias("o"),
-                F.coalesce(F.sum("records_rejected"), F.lit(0)).alias("r"),
-            )
-            .first()
-        )
+        steps = self.steps().filter((F.col("batch_id") == batch_id) & (F.col("attempt") == cur["attempt"]))
+        totals = attempt_totals(steps).first()
+        totals = totals.asDict() if totals else dict(total_records=0, success_records=0, rejected_records=0)
         row = cur.asDict()
         row.update(
-            end_dt=_now(), status=status, total_records=int(totals["i"]), success_records=int(totals["o"]),
-            rejected_records=int(totals["r"]), error_message=(err or None) and err[:4000], event_ts=_now(),
+            end_dt=_now(), status=status, total_records=totals["total_records"],
+            success_records=totals["success_records"], rejected_records=totals["rejected_records"],
+            error_message=(err or None) and err[:4000], event_ts=_now(),
         )
         self._append("etl_batch_log", schemas.BATCH_LOG, row)
         return Row(**row)

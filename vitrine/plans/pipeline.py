@@ -21,6 +21,7 @@ from vitrine.operators import aggregates as A
 from vitrine.operators import constraints as K
 from vitrine.operators import dimensions as D
 from vitrine.operators import facts as FT
+from vitrine.operators import late_items as LI
 from vitrine.operators import quality as Q
 from vitrine.operators.keys import keys_by_file
 from vitrine.plans import reports as R
@@ -42,6 +43,7 @@ class RunOptions:
     long_rows: str = "reject"  # rows with more fields than columns; or "load" without the further fields
     constraints: str = "reject"  # rows that break a key go to the reject table; "fail" also fails the step; "off"
     enforce_calendar: bool = False  # an order's purchase day must be in the calendar
+    late_items: str = "reject"  # items without order, product or seller are rejected; "park": they wait for later batches
     error_limit: int | None = None  # rejected rows of a feed that stop a run; none by default
     started: dt.datetime | None = None  # set once per run, so a run over midnight has one date
 
@@ -215,18 +217,26 @@ class Pipeline:
 
     def load_fact_order_items(self, stg: Staging, batch_id: int, attempt: int) -> None:
         with self.log.step(batch_id, L.STEP_FACT_ITEMS, attempt) as c:
+            if self.opts.late_items not in ("reject", "park"):
+                raise ValueError(f"late_items must be 'reject' or 'park', not {self.opts.late_items!r}")
+            park = self.opts.late_items == "park"
             loaded = self.wh.read("fact_order_items").select("order_id", "order_item_id")
-            rows = FT.resolved_items(
-                stg, self.wh.current("dim_customer"), self.wh.current("dim_product"), self.wh.current("dim_seller"),
-                batch_id, loaded,
-            )
+            waiting = self.wh.current("stg_items_waiting")
+            products, sellers = self.wh.current("dim_product"), self.wh.current("dim_seller")
+            if park:
+                staged = Q.in_batch(stg.order_items, batch_id)
+                rows = LI.try_items(waiting, staged, loaded, self.wh.read("fact_orders"), products, sellers, batch_id)
+                left_out, resolves = F.col("outcome") == LI.REJECTED, F.col("outcome") == LI.LOADS
+            else:
+                rows = FT.resolved_items(stg, self.wh.current("dim_customer"), products, sellers, batch_id, loaded)
+                left_out, resolves = F.col("reason").isNotNull(), F.col("reason").isNull()
             # resolved once: written to the shared folder, then split into facts and rejects
             rows, scratch = self._written(rows, f"items-{batch_id}-{attempt}")
             item = Q.item_key()
             c.records_rejected = self._leave_out(
-                rows.filter(F.col("reason").isNotNull()), "STG_ORDER_ITEMS", item, "product_id", batch_id, attempt
+                rows.filter(left_out), "STG_ORDER_ITEMS", item, "product_id", batch_id, attempt
             )
-            loads = rows.filter(F.col("reason").isNull()).select(*FT.FACT_ITEM_COLUMNS)
+            loads = rows.filter(resolves).select(*FT.FACT_ITEM_COLUMNS)
             orders = self.wh.read("fact_orders")
             rules: list[K.Rule] = [
                 K.Parent("FACT_ITEM_ORDER_FK", ("order_id",), orders, ("order_id",)),
@@ -236,8 +246,11 @@ class Pipeline:
                 "fact_order_items", loads, rules, "item_fact_key", "STG_ORDER_ITEMS", item, batch_id, attempt
             )
             c.records_rejected += bad
-            self.wh.fs.delete(scratch)
             c.records_in = stg.order_items.count()
+            if park:  # after the fact: a run that fails in between finds its loaded items again as repeated
+                c.records_in += waiting.count()
+                self.wh.publish("stg_items_waiting", LI.still_waiting(rows))
+            self.wh.fs.delete(scratch)
         self.log.set_watermarks(["ORDER_ITEMS"], batch_id)
 
     def load_fact_reviews(self, stg: Staging, batch_id: int, attempt: int) -> None:

@@ -50,3 +50,7 @@ WATERMARK = (
     "source_name string, entity_name string, last_load_dt timestamp, last_batch_id bigint, "
     "etl_update_dt timestamp"
 )
+ITEMS_WAITING = (
+    "order_id string, order_item_id bigint, product_id string, seller_id string, price string, "
+    "freight_value string, etl_batch_id bigint, reason string"
+)

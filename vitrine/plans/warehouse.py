@@ -95,6 +95,7 @@ class Warehouse:
         "dim_seller": schemas.DIM_SELLER,
         "dim_product": schemas.DIM_PRODUCT,
         "etl_watermark": schemas.WATERMARK,
+        "stg_items_waiting": schemas.ITEMS_WAITING,
         "agg_daily_sales": None,
         "dim_date": None,
     }

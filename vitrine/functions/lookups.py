@@ -111,7 +111,7 @@ REJECT_CONSTRAINT = "Constraint "  # followed by its name
 REJECT_SELLER_ADDRESSES = "Seller with more than one address"
 
 # --- FIXED VALUES: watermark seeds and defaults ---
-WATERMARK_SOURCE = "OLIST_CSV"
+WATERMARK_SOURCE = "RETAIL_CSV"
 WATERMARK_ENTITIES = [
     "ORDERS",
     "ORDER_ITEMS",
@@ -130,8 +130,8 @@ CALENDAR_START = "2015-01-01"
 CALENDAR_END = "2030-12-31"
 
 # --- FIXED VALUES: pipeline and step names used in the run log ---
-PIPELINE_NAME = "OLIST_ECOMMERCE_PIPELINE"
-BATCH_NAME_PREFIX = "OLIST_ETL_"
+PIPELINE_NAME = "RETAIL_PIPELINE"
+BATCH_NAME_PREFIX = "RETAIL_ETL_"
 HOURLY_PIPELINE_NAME = "HOURLY_AGG"
 HOURLY_BATCH_PREFIX = "HOURLY_AGG_"  # followed by the start time as HHMMSS
 STEP_TAG_STAGING = "TAG_STAGING_BATCH"

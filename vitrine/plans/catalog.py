@@ -447,6 +447,39 @@ def fact_orders_incremental(w: FixtureLoad) -> DataFrame:
     return FT.fact_orders(w.stg, w.dim_customer, BATCH, loaded=loaded).select(*FACT_ORDER_OUT)
 
 
+def _guarded(w: FixtureLoad, earlier: DataFrame, rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Earlier keys as a table of one partition per order month, cut by key summaries for the guard of ``rows``."""
+    from vitrine.operators import key_summary as KS
+    from vitrine.session import scratch_path
+
+    day = C.parse_day("order_purchase_timestamp")
+    months = w.stg.orders.select("order_id", (F.year(day) * 100 + F.month(day)).cast("long").alias("etl_batch_id"))
+    path = scratch_path(w.spark, f"history-{name}")
+    earlier.join(months, "order_id").select(*keys, "etl_batch_id").write.partitionBy("etl_batch_id").parquet(path)
+    ddl = ", ".join(f"{k} {earlier.schema[k].dataType.simpleString()}" for k in keys)
+    history = w.spark.read.schema(f"{ddl}, etl_batch_id bigint").parquet(path)
+    summary = w._table(KS.summarise(history, keys), f"keys-{name}")
+    return KS.possible_rows(history, summary, rows, keys).select(*keys)
+
+
+@query
+def fact_orders_guarded(w: FixtureLoad) -> DataFrame:
+    """The incremental load of orders, its guard cut to the earlier months that can hold one of the batch's keys."""
+    loaded = _guarded(w, _earlier_orders(w), w.stg.orders, ["order_id"], "orders")
+    return FT.fact_orders(w.stg, w.dim_customer, BATCH, loaded=loaded).select(*FACT_ORDER_OUT)
+
+
+@query
+def fact_order_items_guarded(w: FixtureLoad) -> DataFrame:
+    """The incremental load of items with the guard of ``fact_orders_guarded`` on both parts of the key."""
+    keys = ["order_id", "order_item_id"]
+    earlier = w.stg.order_items.join(_earlier_orders(w), "order_id", "left_semi").select(*keys)
+    loaded = _guarded(w, earlier, w.stg.order_items, keys, "items")
+    return FT.fact_order_items(
+        w.stg, w.dim_customer, w.dim_product, w.dim_seller, BATCH, loaded=loaded
+    ).select(*FACT_ITEM_OUT)
+
+
 @query
 def late_flag_counts(w: FixtureLoad) -> DataFrame:
     return w.fact_orders.groupBy("order_status", "is_late_delivery").agg(

@@ -21,6 +21,7 @@ from vitrine.operators import aggregates as A
 from vitrine.operators import constraints as K
 from vitrine.operators import dimensions as D
 from vitrine.operators import facts as FT
+from vitrine.operators import key_summary as KS
 from vitrine.operators import late_items as LI
 from vitrine.operators import quality as Q
 from vitrine.operators.keys import keys_by_file
@@ -44,6 +45,7 @@ class RunOptions:
     constraints: str = "reject"  # rows that break a key go to the reject table; "fail" also fails the step; "off"
     enforce_calendar: bool = False  # an order's purchase day must be in the calendar
     late_items: str = "reject"  # items without order, product or seller are rejected; "park": they wait for later batches
+    key_summaries: bool = False  # the facts' re-run guards open only the batches whose key summary allows a key
     error_limit: int | None = None  # rejected rows of a feed that stop a run; none by default
     started: dt.datetime | None = None  # set once per run, so a run over midnight has one date
 
@@ -158,6 +160,30 @@ class Pipeline:
             c.records_out = int(obs.get["inserted"])
         self.log.set_watermarks(["PRODUCTS"], batch_id)
 
+    FACT_KEYS = {
+        "fact_orders": ["order_id"], "fact_order_items": ["order_id", "order_item_id"], "fact_reviews": ["review_id"],
+    }
+
+    def _keeps_summaries(self, table: str) -> bool:
+        """Once a fact has summaries every later load keeps them up, whatever its options."""
+        return self.opts.key_summaries or self.wh.exists(f"{table}_keys")
+
+    def _loaded_keys(self, table: str, rows: DataFrame) -> DataFrame:
+        """Keys of ``table`` for the guard of ``rows``: all, or those of the batches that can hold a key of ``rows``.
+
+        Batches loaded before there were summaries get theirs first.
+        """
+        keys, loaded = self.FACT_KEYS[table], self.wh.read(table)
+        if not self._keeps_summaries(table):
+            return loaded.select(*keys)
+        held = self.wh.batches(table)
+        if missing := sorted(set(held) - set(self.wh.batches(f"{table}_keys"))):
+            self.wh.append(f"{table}_keys", KS.summarise(loaded.where(F.col("etl_batch_id").isin(missing)), keys))
+        if not self.opts.key_summaries:
+            return loaded.select(*keys)
+        # a batch whose rows all lack a key has no summary, and nothing that a key could equal
+        return KS.possible_rows(loaded, self.wh.read(f"{table}_keys"), rows.select(*keys), keys).select(*keys)
+
     def _publish_fact(
         self, table: str, rows: DataFrame, rules: list, key_name: str, source: str, key: Column, batch_id: int, attempt: int
     ) -> tuple[int, int]:
@@ -183,6 +209,8 @@ class Pipeline:
             keyed = keys_by_file(self.spark, f"{split}/ok=true", rows.schema, key_name, start)
         else:
             keyed = rows.limit(0).withColumn(key_name, F.lit(None).cast("long"))
+        if self._keeps_summaries(table):  # before the rows: a run that fails in between leaves a summary too wide
+            self.wh.append(f"{table}_keys", KS.summarise(keyed, self.FACT_KEYS[table]))
         keyed = keyed.withColumn("etl_insert_dt", F.lit(self.opts.load_ts()).cast("timestamp"))
         names = empty_table(self.spark, self.wh.APPEND_SCHEMAS[table]).columns
         loaded = self.wh.append(table, keyed.select(*names))
@@ -196,7 +224,7 @@ class Pipeline:
 
     def load_fact_orders(self, stg: Staging, batch_id: int, attempt: int) -> None:
         with self.log.step(batch_id, L.STEP_FACT_ORDERS, attempt) as c:
-            loaded = self.wh.read("fact_orders").select("order_id")
+            loaded = self._loaded_keys("fact_orders", stg.orders)
             dim = self.wh.current("dim_customer")
             rows = FT.fact_orders(stg, dim, batch_id, loaded, self.opts.customer_lookup)
             unresolved = FT.fact_orders_unresolved(stg, dim, batch_id, loaded, self.opts.customer_lookup)
@@ -220,8 +248,10 @@ class Pipeline:
             if self.opts.late_items not in ("reject", "park"):
                 raise ValueError(f"late_items must be 'reject' or 'park', not {self.opts.late_items!r}")
             park = self.opts.late_items == "park"
-            loaded = self.wh.read("fact_order_items").select("order_id", "order_item_id")
             waiting = self.wh.current("stg_items_waiting")
+            tried = stg.order_items.select("order_id", "order_item_id")
+            tried = tried.unionAll(waiting.select("order_id", "order_item_id")) if park else tried
+            loaded = self._loaded_keys("fact_order_items", tried)
             products, sellers = self.wh.current("dim_product"), self.wh.current("dim_seller")
             if park:
                 staged = Q.in_batch(stg.order_items, batch_id)
@@ -255,7 +285,7 @@ class Pipeline:
 
     def load_fact_reviews(self, stg: Staging, batch_id: int, attempt: int) -> None:
         with self.log.step(batch_id, L.STEP_FACT_REVIEWS, attempt) as c:
-            loaded = self.wh.read("fact_reviews").select("review_id")
+            loaded = self._loaded_keys("fact_reviews", stg.order_reviews)
             rows = FT.fact_reviews(stg, batch_id, loaded, self.opts.one_review_per_id)
             c.records_rejected = self._leave_out(
                 FT.fact_reviews_unresolved(stg, batch_id, loaded), "STG_ORDER_REVIEWS", F.col("review_id"), "order_id",

@@ -25,6 +25,7 @@ import re
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from vitrine.operators.key_summary import SUMMARY
 from vitrine.plans import schemas
 
 _VERSION = re.compile(r"^v=(\d+)$")
@@ -86,6 +87,9 @@ class Warehouse:
         "fact_orders": schemas.FACT_ORDERS,
         "fact_order_items": schemas.FACT_ORDER_ITEMS,
         "fact_reviews": schemas.FACT_REVIEWS,
+        "fact_orders_keys": SUMMARY,
+        "fact_order_items_keys": SUMMARY,
+        "fact_reviews_keys": SUMMARY,
         "stg_rejected_records": schemas.REJECTS,
         "etl_batch_log": schemas.BATCH_LOG,
         "etl_step_log": schemas.STEP_LOG,
@@ -127,6 +131,12 @@ class Warehouse:
             reader = reader.schema(ddl)
         return reader.parquet(self.path(table))
 
+    def batches(self, table: str) -> list[int]:
+        """The batches an append table holds rows of, from its partition folders."""
+        prefix = "etl_batch_id="
+        names = [n for n in self.fs.list_names(self.path(table)) if n.startswith(prefix)]
+        return sorted(int(n.removeprefix(prefix)) for n in names if n.removeprefix(prefix).lstrip("-").isdigit())
+
     def append(self, table: str, df: DataFrame, partition_by: str | None = "etl_batch_id") -> int:
         """Append rows; returns the number of rows written (counted during the write)."""
         obs = Observation(f"append_{table}")

@@ -37,6 +37,22 @@ def test_many_small_trees_and_blocks(spark, copies):
     assert sorted(map(tuple, got.collect())) == plain(rows, 20)
 
 
+def test_pages_go_only_where_queries_go(spark):
+    """Copies of a tree follow its own visitors: none without, and no more for other trees' queries."""
+    pages = spark.createDataFrame([(t, p) for t in range(4) for p in range(3)], "tree long, page int")
+
+    def copies(visitors):
+        rows = [(t, i, b"", 0.0, i) for t, n in visitors.items() for i in range(n)]
+        routed = spark.createDataFrame(rows, "tree long, id long, x binary, bound double, rid long")
+        paged, dealt = op6_mtree.visits(pages, routed, 10)
+        assert dealt.count() == len(rows) and dealt.join(paged, ["tree", "block"], "left_anti").count() == 0
+        return {r["tree"]: r["count"] for r in paged.groupBy("tree").count().collect()}
+
+    assert copies({0: 1, 1: 25}) == {0: 3, 1: 9}
+    assert copies({0: 1, 1: 250}) == {0: 3, 1: 75}
+    assert copies({}) == {}
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.5]), (1, [1.0, 0.5]), (2, [1.0, 0.5]), (3, None), (4, [None, 1.0]), (5, [nan, 1.0]), (6, [inf, 0.0]),

@@ -15,7 +15,9 @@ the page's routing vector (the parent distance). Pages are rows of a table.
 
 Search: a query first searches its own tree, which bounds its k-th distance; it
 then visits only pivots whose covering radius comes within that bound, in blocks
-of ``block`` queries per tree, so no task holds more than one tree and one block.
+of about ``block`` queries per tree, so no task holds more than one tree and one block.
+A tree has as many blocks as its own visitors fill, and its pages are copied to these
+only: a tree that nobody visits is not read again, and copies grow with the visits.
 Inside a tree pages wait in a queue by lower bound; entries whose parent distance
 alone rules them out (triangle inequality) are skipped without computing a
 distance. Bounds allow for rounding, and scores are exact, so results are too.
@@ -335,7 +337,6 @@ def top_k(
                 names=["home", "id", "x", "bound", "pivots", "rid"],
             )
 
-    blocks = -(-asked // block)
     routed = (
         asking.join(kth, "id", "left")
         .select(F.col("tree").alias("home"), "id", "x", "kth", "rid")
@@ -344,15 +345,27 @@ def top_k(
         .where(of(trees) > 0)
         .select("home", "id", "x", "bound", "rid", F.explode(F.sequence(of(first), of(first) + of(trees) - 1)).alias("tree"))
         .where("tree <> home")
-        .select("tree", F.pmod(F.xxhash64("rid"), F.lit(blocks)).alias("block"), "id", "x", "bound")
     )
-    paged = pages.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-    others = paged.groupBy("tree", "block").cogroup(routed.groupBy("tree", "block")).applyInArrow(search, FOUND)
+    routed = written(routed.select("tree", "id", "x", "bound", "rid"), "op6-routed")
+    paged, dealt_queries = visits(pages, routed, block)
+    others = paged.groupBy("tree", "block").cogroup(dealt_queries.groupBy("tree", "block")).applyInArrow(search, FOUND)
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     ranked = home.union(others).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
+def visits(pages: DataFrame, routed: DataFrame, block: int) -> tuple[DataFrame, DataFrame]:
+    """(pages, queries), both with a block: a tree's queries dealt over blocks of about ``block``, its pages to each.
+
+    The copies of a tree are as many as its visitors fill blocks (none without a visitor). Queries are dealt by the hash
+    of their row, so that the few rows of a block differ from ``block`` by chance only.
+    """
+    blocks = routed.groupBy("tree").agg(F.ceil(F.count("*") / block).cast("long").alias("blocks"))
+    dealt = routed.join(blocks, "tree").withColumn("block", F.pmod(F.xxhash64("rid"), "blocks"))
+    copied = pages.join(blocks, "tree").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    return copied.drop("blocks"), dealt.select("tree", "block", "id", "x", "bound")
+
+
 def page_schema():
     import pyarrow as pa
 

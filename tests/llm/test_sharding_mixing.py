@@ -1,3 +1,4 @@
+import hashlib
 import re
 import zlib
 from collections import defaultdict
@@ -113,6 +114,43 @@ def test_excess_of_capped_sources_is_shared_again(spark):
     assert rows == mix_sources(docs).collect() or sorted(rows) == sorted(mix_sources(docs).collect())
 
 
+def plain_taken(rows, seed="mix-1"):
+    """(id, size, taken) in order; rows equal in source, id and size are alike."""
+    sizes, out = defaultdict(int), []
+    for _, s, n in rows:
+        sizes[s] += n
+    targets = plain_targets(sizes)
+    for s, total in sizes.items():
+        whole = int(targets[s] // total) if total else 0
+        rest = int(targets[s] - whole * total + 0.5)
+        mine = [(hashlib.md5(f"{seed}:{'null' if i is None else i}".encode()).hexdigest(), i is not None, i or 0, n) for i, t, n in rows if t == s]
+        for _, named, i, n in sorted(mine):
+            out.append((i if named else None, s, n, whole * n + min(n, rest)))
+            rest -= min(n, rest)
+    return sorted(map(repr, out))
+
+
+@pytest.mark.parametrize("block", [4, 4096])
+def test_a_repeated_id_with_a_third_of_all_rows(spark, block):
+    """Equal rows of one id, and null ids of several sizes: words run out inside the group, to the word."""
+    rows = [(7, "a", 5)] * 300 + [(None, "b", 1 + i % 3) for i in range(300)] + [(100 + i, "abc"[i % 3], i % 9) for i in range(300)]
+    docs = spark.createDataFrame([(i, " ".join("w" * n), s) for i, s, n in rows], "doc_id long, text string, source string")
+    got = mix_sources(docs.repartition(5, "doc_id", "source"), rows_per_range=block).collect()
+    assert sorted(repr((r["doc_id"], r["source"], r["size"], r["taken"])) for r in got) == plain_taken(rows)
+    assert 0 < sum(0 < r["taken"] % r["size"] for r in got if r["size"]) <= 3  # one part a source at most
+
+
+def test_steps_never_rank_a_hot_id_in_one_task(spark):
+    """The place found is right though no step holds more than a block of the rows of one id."""
+    rows = [(1, "x", 2)] * 1000
+    docs = spark.createDataFrame([(i, "w w", s) for i, s, _ in rows] + [(2, "w", "y")], "doc_id long, text string, source string")
+    got = mix_sources(docs.repartition(7), rows_per_range=16, keep=["doc_id"])
+    assert got.columns == ["doc_id", "size", "source_size", "target", "taken"]
+    taken = sorted(r["taken"] for r in got.where("doc_id = 1").collect())
+    target = got.where("doc_id = 1").first()["target"]
+    assert sum(taken) == int(target + 0.5) and len({t for t in taken}) <= 3
+
+
 def test_word_count(spark):
     df = spark.createDataFrame([(None,), ("",), (" a\tb\x0bc  ",), ("é x",)], "t string")
     assert [r[0] for r in df.select(word_count(F.col("t"))).collect()] == [0, 0, 3, 1]

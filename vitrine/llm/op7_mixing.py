@@ -8,10 +8,14 @@ further source is above its stop. Two sums a round reach the driver.
 
 A source whose target is r times its size gives every document floor(r) whole
 repetitions; the fractional repetition goes to documents in a seeded order (MD5
-of seed and id) until its words are used up, the last one in part, so the words
-taken meet the target to the word. The order is cut by MD5 prefix: words per
-(source, prefix) are summed before any exchange, and rows are ranked only inside
-a prefix, so a source of any size is spread over thousands of ranges.
+of seed and id, then id, size and written row) until its words are used up, the
+last one in part, so the words taken meet the target to the word. Only the place
+where the words run out is searched, in four steps that each narrow it down:
+sums per MD5 prefix, per (MD5, id, size), per block of written rows, and the
+rows of one block. Every sum is combined before its exchange and no step ranks
+more than one prefix, group or block of a source, so neither a hot source nor a
+hot repeated id (or null ids) is one task. Rows then compare themselves with the
+place found in their source; texts are never shuffled.
 """
 
 from __future__ import annotations
@@ -25,6 +29,7 @@ from pyspark.sql import functions as F
 from vitrine.llm.common import WORD, Input, documents, written
 
 ROWS_PER_RANGE = 4096
+ORDER = ("u", "id", "size")  # of a source's documents; rows equal in these follow as they were written
 
 
 def word_count(text: Column) -> Column:
@@ -61,6 +66,35 @@ def water_level(sources: DataFrame, total: int) -> float:
         filled, level = n, float(total - held) / float(free)
 
 
+def stops(rows: DataFrame, plan: DataFrame, rows_per_range: int) -> DataFrame:
+    """Per source the row (u, id, size, rid) that takes the last ``part`` of its ``rest`` words.
+
+    A source all of whose words are taken has none, like a source without words.
+    ``rows`` is a written table, read once a step in the columns of that step.
+    """
+    most = rows.groupBy("src").count().agg(F.max("count")).first()[0] or 0
+    digits = max(3, math.ceil(math.log(max(1, most / rows_per_range), 16)))
+    rows = rows.withColumn("cut", F.substring("u", 1, digits))
+    rows = rows.withColumn("block", F.col("rid") - F.pmod("rid", F.lit(rows_per_range)))
+    at = plan.select("src", "rest", F.lit(0).cast("long").alias("start"))
+    known: list[str] = []
+    for k, keys in enumerate((["cut"], list(ORDER), ["block"], ["rid"])):
+        same = F.col("r.src").eqNullSafe(F.col("f.src"))
+        for c in known:
+            same = same & F.col(f"r.{c}").eqNullSafe(F.col(f"f.{c}"))
+        carried = ["src", *known, "rest", "start"]
+        parts = rows.alias("r").join(at.alias("f"), same).select(
+            *[f"f.{c}" for c in carried], *[f"r.{c}" for c in keys], F.col("r.size").alias("words")
+        )
+        parts = parts.groupBy(*carried, *keys).agg(F.sum("words").alias("words"))
+        before = Window.partitionBy("src").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+        parts = parts.withColumn("start", F.col("start") + F.coalesce(F.sum("words").over(before), F.lit(0)))
+        here = (F.col("start") <= F.col("rest")) & (F.col("rest") < F.col("start") + F.col("words"))
+        at = written(parts.where(here).drop("words"), f"op7-stop{k}")  # at most one row a source
+        known += keys
+    return at.select("src", *ORDER, "rid", (F.col("rest") - F.col("start")).alias("part"))
+
+
 def mix_sources(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -69,28 +103,37 @@ def mix_sources(
     weights: Sequence[int] = (1, 2, 3),
     max_epochs: int = 3,
     seed: str = "mix-1",
+    keep: list[str] | None = None,
+    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
-    """All rows of ``docs`` plus size, source_size, target, taken.
+    """``keep`` columns of all rows of ``docs`` (default: all) plus size, source_size, target, taken.
 
     size counts words (null text: 0). Sources in code-point order, null last as
     a source of its own, take ``weights`` in turn; their targets share the sum
     of all sizes. taken is between floor and ceiling of target / source_size
     repetitions of the document; the source's taken words add up to its target,
-    rounded. Order ties (equal ids) fall by size; rows equal in all of these
-    are interchangeable. A source without words has target 0. An empty table
+    rounded. Order ties (equal ids) fall by size, then by the row as written once
+    to the shared folder. A source without words has target 0. An empty table
     gives an empty result.
     """
-    src = Input(docs, id=id_col, text=text_col, source=source_col)
-    base = src.df.select(
-        "*",
-        word_count(src["text"]).alias("size"),
-        src["source"].alias("src"),
-        F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(src["id"].cast("string"), F.lit("null"))).cast("binary")).alias("u"),
+    keep = docs.columns if keep is None else keep
+    src = Input(docs, id=id_col, text=text_col, source=source_col, **{f"k{i}": c for i, c in enumerate(keep)})
+    kept = list(dict.fromkeys(src.name(f"k{i}") for i in range(len(keep))))
+    rows = written(
+        src.df.select(
+            *kept,
+            word_count(src["text"]).alias("size"),
+            src["source"].alias("src"),
+            src["id"].alias("id"),
+            F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(src["id"].cast("string"), F.lit("null"))).cast("binary")).alias("u"),
+            F.monotonically_increasing_id().alias("rid"),
+        ),
+        "op7-rows",
     )
     sized = written(
-        base.groupBy("src").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows")), "op7-sizes"
+        rows.groupBy("src").agg(F.sum("size").alias("source_size")), "op7-sizes"
     )
-    total, most = sized.agg(F.sum("source_size"), F.max("rows")).first()
+    total = sized.agg(F.sum("source_size")).first()[0]
     turn = F.array(*[F.lit(int(w)) for w in weights])
     sources = written(
         ranked(sized, "src").select(
@@ -111,32 +154,27 @@ def mix_sources(
         .withColumn("rest", F.floor(F.col("target") - F.col("whole") * F.col("source_size") + 0.5).cast("long"))
         .select("src", "source_size", "target", "whole", "rest")
     )
-    digits = max(3, math.ceil(math.log(max(1, (most or 0) / ROWS_PER_RANGE), 16)))
-    cut = F.substring("u", 1, digits).alias("cut")
-    words = base.groupBy("src", cut).agg(F.sum("size").alias("words"))
-    before = Window.partitionBy("src").orderBy("cut").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = words.withColumn("start", F.coalesce(F.sum("words").over(before), F.lit(0)).cast("long")).drop("words")
-    ranges = ranges.alias("r").join(plan.alias("p"), F.col("r.src").eqNullSafe(F.col("p.src"))).drop(F.col("p.src"))
-    ranges = ranges.withColumnsRenamed({"src": "r_src", "cut": "r_cut"})
-    inside = Window.partitionBy("src", "cut").orderBy("u", src.name("id"), "size")
-    inside = inside.rowsBetween(Window.unboundedPreceding, -1)
-    rows = base.withColumn("cut", cut).withColumn("used", F.coalesce(F.sum("size").over(inside), F.lit(0)).cast("long"))
-    joined = rows.join(ranges, F.col("src").eqNullSafe(F.col("r_src")) & (F.col("cut") == F.col("r_cut")))
-    left = F.col("rest") - F.col("start") - F.col("used")
-    part = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), left))
-    return src.restore(
-        joined,
-        {
-            "size": "size",
-            "source_size": "source_size",
-            "target": "target",
-            "taken": F.col("whole") * F.col("size") + part,
-        },
+    plan = written(plan, "op7-plan")
+    stop = stops(rows, plan, rows_per_range).withColumnRenamed("src", "s_src")
+    stop = stop.select("s_src", F.struct(*ORDER, "rid").alias("stop"), "part")
+    limits = plan.join(stop, F.col("src").eqNullSafe(F.col("s_src")), "left").withColumnRenamed("src", "p_src").drop("s_src")
+    joined = rows.join(limits, F.col("src").eqNullSafe(F.col("p_src")))
+    own, zero = F.struct(*ORDER, "rid"), F.lit(0).cast("long")
+    part = (
+        F.when(F.col("stop").isNull(), F.when(F.col("rest") >= F.col("source_size"), F.col("size")).otherwise(zero))
+        .when(own < F.col("stop"), F.col("size"))
+        .when(F.col("rid") == F.col("stop.rid"), F.col("part"))
+        .otherwise(zero)
+    )
+    results = {"size": "size", "source_size": "source_size", "target": "target", "taken": F.col("whole") * F.col("size") + part}
+    return joined.select(
+        *[src[f"k{i}"].alias(c) for i, c in enumerate(keep) if c.lower() not in results],
+        *[(F.col(c) if isinstance(c, str) else c).alias(r) for r, c in results.items()],
     )
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_sources(documents(spark, sf_dir, "doc_id", "text", "source")).select(
+    return mix_sources(documents(spark, sf_dir, "doc_id", "text", "source"), keep=["doc_id"]).select(
         "doc_id", "size", "source_size", "target", "taken"
     )
 

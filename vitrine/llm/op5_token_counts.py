@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from vitrine.llm.common import Input, documents, map_texts
 
 SEGMENT = 32_768  # characters of a long text per segment
-BATCH = 262_144  # characters per call of the library
+BATCH = 262_144  # bytes of UTF-8 per call of the library
 #: Python's \s holds every Unicode white space (and a few controls more), so both neighbours are sure not to be one.
 SAFE = re.compile(r"(?<=\S) (?=\S)")
 
@@ -66,7 +66,7 @@ def counter(path: str):
             for s in segments(text) if text else ():
                 call.append(s)
                 owner.append(i)
-                size += len(s)
+                size += len(s.encode())
                 if size >= BATCH:
                     flush()
                     size = 0

@@ -185,3 +185,33 @@ def test_pipeline_parks_items_until_their_order_comes(spark, tmp_root):
 
     p.rerun_batch(one)
     assert sorted(map(str, p.wh.read("fact_order_items").select(*keys).collect())) == want
+
+
+def exchanges(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_an_order_deals_the_tried_items_once(spark):
+    """Grouping, the keys seen before and the order join share one exchange of the items."""
+    sent = spark.range(40).select(
+        F.concat(F.lit("o"), F.col("id") % 7).alias("order_id"), F.col("id").alias("order_item_id"), F.lit("p").alias("product_id"),
+        F.lit("s").alias("seller_id"), F.lit("1.00").alias("price"), F.lit("2.00").alias("freight_value"),
+        F.lit(1).cast("long").alias("etl_batch_id"),
+    )
+    rows = LI.latest_sent(sent, sent.unionAll(sent), sent.where("order_item_id < 5"))
+    assert "Exchange hashpartitioning(order_id" in exchanges(rows) and "order_item_id#" not in "".join(
+        x.split(",")[1] for x in exchanges(rows).split("hashpartitioning(order_id")[1:2]
+    )
+    got = rows.agg(F.count("*"), F.sum("n_sent"), F.count_if("seen")).first()
+    assert tuple(got) == (40, 120, 5)
+
+
+def test_items_with_a_null_key_stay_apart_and_seen_ones_are_named(spark):
+    ddl = "order_id string, order_item_id long, product_id string, seller_id string, price string, freight_value string, etl_batch_id long"
+    rows = [(None, 1, "p", "s", "1", "1", 1), (None, 1, "p", "s", "1", "1", 1), ("o", None, "p", "s", "1", "1", 1), ("o", 1, "p", "s", "1", "1", 1)]
+    sent = spark.createDataFrame(rows, ddl)
+    loaded = spark.createDataFrame([("o", 1), ("o", 1), ("o", 2), (None, 1)], "order_id string, order_item_id int")
+    got = LI.latest_sent(sent.limit(0), sent, loaded).collect()
+    assert sorted((str(r.order_id), str(r.order_item_id), r.n_sent, r.seen) for r in got) == [
+        ("None", "1", 1, False), ("None", "1", 1, False), ("o", "1", 1, True), ("o", "None", 1, False),
+    ]

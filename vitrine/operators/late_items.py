@@ -20,22 +20,32 @@ WAITING_COLUMNS = ["order_id", "order_item_id", "product_id", "seller_id", "pric
 LOADS, WAITS, REJECTED, REPEATED = "loads", "waits", "rejected", "repeated"
 
 
-def latest_sent(waiting: DataFrame, staged: DataFrame) -> DataFrame:
+def latest_sent(waiting: DataFrame, staged: DataFrame, loaded: DataFrame) -> DataFrame:
     """One row per item key of those waiting and those staged: the one of the latest batch, then the greatest.
 
-    ``n_sent`` counts the rows of the key, so that further ones can be balanced.
-    Rows with a NULL in their key stay as they are, one by one.
+    ``n_sent`` counts the rows of the key, so that further ones can be balanced;
+    ``seen`` says whether ``loaded`` holds it, of which only keys sent again are
+    read on. Rows with a NULL in their key stay as they are, one by one. All are
+    dealt by their order once, which also serves joins on the order.
     """
-    rows = waiting.select(*WAITING_COLUMNS).unionByName(staged.select(*WAITING_COLUMNS))
+    rows = _sent(waiting, staged, WAITING_COLUMNS)
     known = F.col("order_id").isNotNull() & F.col("order_item_id").isNotNull()
-    rest = [c for c in WAITING_COLUMNS if c not in ITEM_KEY]
-    last = (
-        rows.where(known)
-        .groupBy(*ITEM_KEY)
-        .agg(F.max(F.struct("etl_batch_id", *[c for c in rest if c != "etl_batch_id"])).alias("r"), F.count(F.lit(1)).alias("n_sent"))
-        .select(*ITEM_KEY, *[F.col(f"r.{c}").alias(c) for c in rest], "n_sent")
+    rest = ["etl_batch_id", *[c for c in WAITING_COLUMNS if c not in ITEM_KEY and c != "etl_batch_id"]]
+    alone = F.when(~known, F.monotonically_increasing_id())
+    sent = rows.select(*ITEM_KEY, alone.alias("alone"), F.struct(*rest).alias("r"))
+    again = loaded.select(*ITEM_KEY).join(_sent(waiting, staged, ITEM_KEY), ITEM_KEY, "left_semi")
+    again = again.select(*[F.col(k).cast(sent.schema[k].dataType) for k in ITEM_KEY])
+    return (
+        sent.unionByName(again, allowMissingColumns=True)
+        .repartition("order_id")
+        .groupBy(*ITEM_KEY, "alone")
+        .agg(F.max("r").alias("r"), F.count("r").alias("n_sent"), F.max(F.col("r").isNull()).alias("seen"))
+        .select(*ITEM_KEY, *[F.col(f"r.{c}").alias(c) for c in rest], "n_sent", "seen")
     )
-    return last.unionByName(rows.where(~known).withColumn("n_sent", F.lit(1).cast("long")))
+
+
+def _sent(waiting: DataFrame, staged: DataFrame, columns: list[str]) -> DataFrame:
+    return waiting.select(*columns).unionByName(staged.select(*columns))
 
 
 def try_items(
@@ -55,14 +65,12 @@ def try_items(
     The result holds the columns of a waiting row as well (amounts as text:
     ``price_text``, ``freight_text``).
     """
-    rows = latest_sent(waiting, staged).withColumnsRenamed({"price": "price_text", "freight_value": "freight_text"})
-    seen = loaded.select(*ITEM_KEY).join(rows.select(*ITEM_KEY), ITEM_KEY, "left_semi").distinct()
+    rows = latest_sent(waiting, staged, loaded).withColumnsRenamed({"price": "price_text", "freight_value": "freight_text"})
     orders = fact_orders.select("order_id", "order_date_key", "customer_key")
-    orders = orders.join(rows.select("order_id"), "order_id", "left_semi")
+    orders = orders.join(_sent(waiting, staged, ["order_id"]), "order_id", "left_semi")
     current = dim_product.where(F.col("is_current") == "Y").select("product_id", "product_key")
     j = (
-        rows.join(seen.withColumn("_seen", F.lit(True)), ITEM_KEY, "left")
-        .join(orders, "order_id", "left")
+        rows.join(orders, "order_id", "left")
         .join(current, "product_id", "left")
         .join(dim_seller.select("seller_id", "seller_key"), "seller_id", "left")
     )
@@ -76,7 +84,7 @@ def try_items(
         .when(F.col("product_key").isNull(), L.REJECT_NO_PRODUCT)
         .when(F.col("seller_key").isNull(), L.REJECT_NO_SELLER)
     )
-    repeated = F.coalesce(F.col("_seen"), F.lit(False))
+    repeated = F.col("seen")
     outcome = (
         F.when(repeated, REPEATED).when(never.isNotNull(), REJECTED).when(not_yet.isNotNull(), WAITS).otherwise(LOADS)
     )

@@ -65,7 +65,7 @@ class FixtureLoad:
         from vitrine.session import scratch_path
 
         path = scratch_path(self.spark, name)
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     @cached_property
@@ -597,7 +597,8 @@ def _late_batches(w: FixtureLoad) -> list[dict[str, DataFrame]]:
     from vitrine.operators import late_items as LI
 
     early = F.col("order_date_key") < F.lit(int(EARLIER_ORDERS_BEFORE.replace("-", "")))
-    staged, orders = w.stg.order_items, w._table(w.fact_orders, "late-orders")
+    # Written once: each batch reads the staged items more than once.
+    staged, orders = w._table(w.stg.order_items.select(*LI.WAITING_COLUMNS), "late-staged"), w._table(w.fact_orders, "late-orders")
     again = staged.where("order_item_id = 1").withColumn("price", F.lit(RESENT_PRICE))
     none = staged.limit(0)
     scenes = [

@@ -108,14 +108,15 @@ def stg_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stg_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read_table(spark, sf_dir, "lineitem")
     # (l_orderkey, l_linenumber) is not unique in the test data, so the item
-    # number is re-derived; one order holds a handful of lines.
-    w = Window.partitionBy("l_orderkey").orderBy(
+    # number is re-derived; one order holds a handful of lines. The window deals
+    # the rows by the order id as text, so that later joins on it move them no more.
+    li = read_table(spark, sf_dir, "lineitem").withColumn("order_id", F.col("l_orderkey").cast("string"))
+    w = Window.partitionBy("order_id").orderBy(
         "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity", "l_discount", "l_tax"
     )
     price = F.col("l_extendedprice").cast("decimal(12,2)")
-    key, line = F.col("l_orderkey"), F.col("l_linenumber")
+    key, line = F.col("order_id").cast("long"), F.col("l_linenumber")
     text = (
         F.when((key % 613 == 0) & (line == 1), "n/a")
         .when((key % 1009 == 0) & (line == 2), "12345678901.00")
@@ -124,7 +125,7 @@ def stg_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(price.cast("string"))
     )
     df = li.select(
-        F.col("l_orderkey").cast("string").alias("order_id"),
+        "order_id",
         F.row_number().over(w).cast("long").alias("order_item_id"),
         F.col("l_partkey").cast("string").alias("product_id"),
         F.col("l_suppkey").cast("string").alias("seller_id"),

@@ -72,3 +72,18 @@ def test_pipeline_loads_the_same_with_summaries(spark, tmp_root):
     assert [p.wh.read(t).count() for t in tables] == counts
     for t, keys in Pipeline.FACT_KEYS.items():
         assert KS.batches_with(p.wh.read(t), p.wh.read(f"{t}_keys"), keys) == [b]
+
+
+def test_all_keys_meet_only_the_batches_not_named_yet(spark, tmp_root, monkeypatch):
+    loaded = history(spark, f"{tmp_root}/h")
+    summary = KS.summarise(loaded, KEYS).cache()
+    asked, found = [], KS._found
+
+    def spied(rows, left, keys):
+        asked.append({r[0] for r in left.select("etl_batch_id").distinct().collect()})
+        return found(rows, left, keys)
+
+    monkeypatch.setattr(KS, "_found", spied)
+    monkeypatch.setattr(KS, "EARLY_PART", 4)
+    assert KS.batches_with(loaded, summary, KEYS) == list(range(10))
+    assert asked == [set(range(10)), set()]

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 SEGMENT_BITS = 1 << 15
 HASHES = 8
+EARLY_PART = 1024  # one in so many keys is probed before the others
 LEAST_SEGMENTS = 16  # so that probes of many small batches are spread over tasks
 SUMMARY = "segments bigint, segment bigint, low string, high string, bits binary, etl_batch_id bigint"
 
@@ -57,7 +58,16 @@ def summarise(rows: DataFrame, keys: list[str], bits_per_key: int = 32) -> DataF
 
 
 def batches_with(rows: DataFrame, summary: DataFrame, keys: list[str]) -> list[int]:
-    """The summarised batches that can hold a key of ``rows``; at most as many numbers as there are batches."""
+    """The summarised batches that can hold a key of ``rows``; at most as many numbers as there are batches.
+
+    One key is enough to name a batch, so a small part of the keys goes first,
+    and all keys then meet the summaries of the batches that it did not name.
+    """
+    early = _found(rows.where(F.pmod(F.xxhash64(*keys), F.lit(EARLY_PART)) == 0), summary, keys)
+    return sorted(early + _found(rows, summary.where(~F.col("etl_batch_id").isin(early)) if early else summary, keys))
+
+
+def _found(rows: DataFrame, summary: DataFrame, keys: list[str]) -> list[int]:
     sizes = [r[0] for r in summary.select("segments").distinct().collect()]  # powers of two
     if not sizes:
         return []
@@ -67,7 +77,7 @@ def batches_with(rows: DataFrame, summary: DataFrame, keys: list[str]) -> list[i
     for i in range(HASHES):
         held = held & _is_set(F.col("bits"), F.get("positions", F.lit(i)))
     found = probes.join(summary, ["segments", "segment"]).where(held)
-    return sorted(r[0] for r in found.select("etl_batch_id").distinct().collect())
+    return [r[0] for r in found.select("etl_batch_id").distinct().collect()]
 
 
 def possible_rows(

@@ -472,11 +472,14 @@ def fact_orders_guarded(w: FixtureLoad) -> DataFrame:
 @query
 def fact_order_items_guarded(w: FixtureLoad) -> DataFrame:
     """The incremental load of items with the guard of ``fact_orders_guarded`` on both parts of the key."""
+    from dataclasses import replace
+
     keys = ["order_id", "order_item_id"]
-    earlier = w.stg.order_items.join(_earlier_orders(w), "order_id", "left_semi").select(*keys)
-    loaded = _guarded(w, earlier, w.stg.order_items, keys, "items")
+    stg = replace(w.stg, order_items=w._table(w.stg.order_items, "staged-items"))  # written once, read by every step
+    earlier = stg.order_items.join(_earlier_orders(w), "order_id", "left_semi").select(*keys)
+    loaded = _guarded(w, earlier, stg.order_items, keys, "items")
     return FT.fact_order_items(
-        w.stg, w.dim_customer, w.dim_product, w.dim_seller, BATCH, loaded=loaded
+        stg, w.dim_customer, w.dim_product, w.dim_seller, BATCH, loaded=loaded
     ).select(*FACT_ITEM_OUT)
 
 

@@ -154,3 +154,16 @@ def test_a_timeline_does_not_depend_on_the_order_of_the_batches(spark):
         assert {(r[0], r[1], str(r[2]), str(r[3]), r[4]) for r in got} == want and len(got) == len(want)
     history = timeline.withColumn("product_key", F.lit(0))
     assert Q.scd2_interval_errors(history).count() == 0
+
+
+def test_few_repeated_keys_are_broadcast_to_many_rows(spark):
+    rows = spark.range(200_000).select(F.when(F.col("id") < 2, 7).otherwise(F.col("id")).alias("k"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100000")
+    try:
+        gated = K.gate(rows, [K.Unique("U", ("k",))])
+        plan = gated._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert gated.where("violation = 'U'").count() == 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

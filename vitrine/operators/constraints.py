@@ -15,6 +15,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vitrine.session import scratch_path
+
 
 class ConstraintViolation(ValueError):
     pass
@@ -60,14 +62,21 @@ def _marked(rows: DataFrame, keys: DataFrame, columns: Sequence[str], mark: str)
     return rows.join(renamed, same, "left").drop(*renamed.columns[:-1])
 
 
+def _kept(keys: DataFrame) -> DataFrame:
+    """Keys written once, so that the plan knows their size: a few are broadcast, and the rows need no exchange."""
+    path = scratch_path(keys.sparkSession, "repeated-keys")
+    keys.write.parquet(path)
+    return keys.sparkSession.read.schema(keys.schema).parquet(path)
+
+
 def gate(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """``rows`` with the column ``violation``: the name of the first rule of ``rules`` that a row breaks, or NULL.
 
     Every row of a key that occurs twice breaks its ``Unique`` rule. Keys are
     counted with a partial aggregate, so a key of very many rows is one row a
-    task; the (few) repeated keys and the parents' keys, cut down to those that
-    the rows ask for, meet the rows in joins that adaptive execution broadcasts
-    when they are small and splits when a key is hot. ``rows`` is read once for
+    task; the repeated keys, written to scratch, and the parents' keys, cut down
+    to those that the rows ask for, meet the rows in joins that are broadcast
+    when they are small and split when a key is hot. ``rows`` is read once for
     each rule, so it should be a written table.
     """
     out, arms = rows, []
@@ -77,7 +86,7 @@ def gate(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             arms.append(F.when(~_known(rule.columns), F.lit(rule.name)))
         elif isinstance(rule, Unique):
             counted = rows.where(_known(rule.columns)).groupBy(*rule.columns).agg(F.count(F.lit(1)).alias("_n"))
-            out = _marked(out, counted.where("_n > 1").drop("_n"), rule.columns, mark)
+            out = _marked(out, _kept(counted.where("_n > 1").drop("_n")), rule.columns, mark)
             arms.append(F.when(F.col(mark), F.lit(rule.name)))
         else:
             asked = rows.where(_known(rule.columns)).select(

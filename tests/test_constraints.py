@@ -167,3 +167,11 @@ def test_few_repeated_keys_are_broadcast_to_many_rows(spark):
         assert gated.where("violation = 'U'").count() == 3
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_strict_rules_run_once(spark):
+    """The rejects are read by every table that they cut; the rules do not run again for each."""
+    from vitrine.plans import catalog
+
+    strict = catalog.queries()["fact_orders_strict"](spark, SF_SMALL)
+    assert strict._jdf.queryExecution().executedPlan().toString().count("lineitem.parquet") == 1

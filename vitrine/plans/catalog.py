@@ -421,7 +421,8 @@ def fact_orders(w: FixtureLoad) -> DataFrame:
 @query
 def fact_orders_strict(w: FixtureLoad) -> DataFrame:
     """Strict mode: orders and reviews rejected by the data-quality rules are not loaded."""
-    stg = Q.strict_staging(w.stg, Q.validate_staging(w.stg, BATCH))
+    rejects = w._table(Q.validate_staging(w.stg, BATCH), "strict-rejects")  # written once for the tables that it cuts
+    stg = Q.strict_staging(w.stg, rejects)
     return FT.fact_orders(stg, w.dim_customer, BATCH).select(*FACT_ORDER_OUT)
 
 

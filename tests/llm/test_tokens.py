@@ -73,3 +73,17 @@ def test_counts_of_odd_rows(odd_docs, no_docs):
     n = [(len((r[1] or "").encode()), len(lib.encode(r[1] or "", add_special_tokens=False).ids)) for r in ROWS]
     assert got == sorted((b, t, t > 512) for b, t in n)
     assert token_counts(no_docs, BYTES).count() == 0
+
+
+def test_frequent_words_outlive_a_full_cache(monkeypatch):
+    from vitrine.llm import op9_bpe
+
+    monkeypatch.setattr(op9_bpe, "CACHE_WORDS", 40)
+    bpe, lib = Bpe(WORDS), Tokenizer.from_file(WORDS)
+    for k in range(12):
+        text = f"often seen {' '.join('w' + chr(97 + k) + chr(97 + i) for i in range(15))}"
+        got = bpe.lookup([words := bpe.split(text)])
+        ids = b"".join(got[w][0] for w in words)
+        assert np.frombuffer(ids, "<u4").tolist() == lib.encode(text, add_special_tokens=False).ids
+        assert len(bpe.cache) + len(bpe.older) <= 40
+    assert bpe.seen == 2 + 12 * 15  # no word was coded twice

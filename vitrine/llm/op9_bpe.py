@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from vitrine.llm.common import Input, documents, map_texts
 
 LATIN_END = 0x250
-CACHE_WORDS = 150_000
+CACHE_WORDS = 300_000  # of two generations together
 CACHED_PAIRS = 1_000_000  # pair verdicts that a worker keeps
 CACHED_LENGTH = 64
 SHORT = 32
@@ -73,8 +73,13 @@ class Bpe:
         self.names = {i: t for t, i in self.vocab.items()}
         merges = [tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
         self.rank = {m: i for i, m in enumerate(merges)}
-        self.longest = max(len(t.removesuffix(self.end)) for t in self.vocab)
+        self.longest: dict[str, int] = {}  # of the tokens that begin with these two letters (or one)
+        for t in self.vocab:
+            bare = t.removesuffix(self.end)
+            for start in {bare[:1], bare[:2]}:
+                self.longest[start] = max(len(bare), self.longest.get(start, 1))
         self.letters = byte_letters()
+        self.letter_table = dict(enumerate(self.letters))
         self.words = _latin_pattern()
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.names |= {i: t for t, i in self.special.items()}
@@ -83,6 +88,7 @@ class Bpe:
         self.codes = np.empty(0, np.int64)  # checked pairs, sorted
         self.good = np.empty(0, bool)
         self.cache: dict[str, tuple[bytes, str]] = {}
+        self.older: dict[str, tuple[bytes, str]] = {}  # the generation before; what is used again moves up
         self.failed = self.seen = 0
 
     # ------------------------------------------------------------ one word
@@ -92,13 +98,16 @@ class Bpe:
 
     def greedy(self, letters: str) -> list[int]:
         """Longest match from the left; the last token carries the word-end mark."""
-        out, i, n, vocab = [], 0, len(letters), self.vocab
+        out, i, n, vocab, longest = [], 0, len(letters), self.vocab, self.longest
+        marked = letters + self.end
         while i < n:
-            j = min(n, i + self.longest)
-            while True:
-                t = vocab.get(letters[i:j] + self.end if j == n else letters[i:j])
-                if t is not None:
-                    break
+            j = i + longest.get(letters[i : i + 2], 1)
+            t = vocab.get(marked[i:]) if j >= n else None
+            if t is not None:
+                out.append(t)
+                break
+            j = min(j, n - 1)
+            while j > i and (t := vocab.get(letters[i:j])) is None:
                 j -= 1
             out.append(t)
             i = j
@@ -198,19 +207,30 @@ class Bpe:
         return out
 
     def letters_of(self, key: str) -> str:
-        return key[1:] if key[0] == " " else "".join(self.letters[b] for b in key.encode())
+        if key[0] == " ":
+            return key[1:]
+        if key.isascii() and key.isprintable():  # each byte is its own stand-in
+            return key
+        return key.encode().decode("latin-1").translate(self.letter_table)
 
     def lookup(self, texts: list[list[str]]) -> dict[str, tuple[bytes, str]]:
         """(ids as little-endian uint32, token strings) for every key."""
-        new = sorted({w for t in texts for w in t if w not in self.cache})
-        if len(self.cache) + len(new) > CACHE_WORDS:
-            self.cache.clear()
-            new = sorted({w for t in texts for w in t})
+        missing = set().union(*texts).difference(self.cache)
+        if len(self.cache) + len(missing) > CACHE_WORDS // 2:
+            self.older, self.cache = self.cache, {}
+            missing = set().union(*texts)
+        known = missing & self.older.keys()
+        self.cache.update((w, self.older[w]) for w in known)
+        new = sorted(missing - known)
         special = [w for w in new if w[0] == "\n"]
         words = [w for w in new if w[0] != "\n"]
         found = {w: [self.special[w[1:]]] for w in special}
         found |= dict(zip(words, self.encode_words([self.letters_of(w) for w in words])))
-        made = {w: (np.array(g, "<u4").tobytes(), " ".join(map(self.names.__getitem__, g))) for w, g in found.items()}
+        ids = np.fromiter((i for g in found.values() for i in g), "<u4").tobytes()
+        made, at, name = {}, 0, self.names.__getitem__
+        for w, g in found.items():
+            made[w] = ids[at : at + 4 * len(g)], " ".join(map(name, g))
+            at += 4 * len(g)
         long = {w: v for w, v in made.items() if len(w) > CACHED_LENGTH}
         self.cache.update((w, v) for w, v in made.items() if w not in long)
         return {**self.cache, **long} if long else self.cache

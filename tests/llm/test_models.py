@@ -193,3 +193,15 @@ def test_repeated_ids_do_not_push_documents_out_of_the_sample(spark):
     labels = spark.createDataFrame([(i, int(i > 3)) for i in range(8)], "id long, label int")
     rows = qual.sample_features(docs, labels, 8, 200)
     assert sorted(y for _, _, y in rows) == [0] * 4 + [1] * 4
+
+
+def test_the_plan_does_not_grow_with_the_notices(spark):
+    for made in (lic.like_a_notice(F.col("t")), lic.confirmed(F.col("t"), "MIT")):
+        assert str(made).count("array_intersect") == 1
+    lines = [*lic.NOTICES["MIT"], *lic.TITLES["MIT"], "Permission is granted", "MIT", "", "of this software and associated"]
+    df = spark.createDataFrame([(x,) for x in lines], "line string").withColumn("t", lic.words(F.col("line")))
+    for r in df.select("line", lic._shares(lic._held_pairs(F.col("t")), lic.NOTICES["MIT"], 0.6).alias("got")).collect():
+        t = lic._words(r["line"])
+        held = {" ".join(t[i : i + 2]) for i in range(max(1, len(t) - 1))} if t else set()
+        both = [(len(held & set(lic._pairs(n))), len(lic._pairs(n))) for n in lic.NOTICES["MIT"]]
+        assert r["got"] == any(k >= 0.6 * n or (k >= 3 and k >= 0.6 * len(held)) for k, n in both), r

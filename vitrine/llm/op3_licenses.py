@@ -380,11 +380,14 @@ def _held_pairs(t: Column) -> Column:
 
 
 def _shares(held: Column, notices: list[str], share: float) -> Column:
-    out = F.lit(False)
-    for wanted in sorted({tuple(_pairs(n)) for n in notices}):
-        both = F.size(F.array_intersect(held, _strings(wanted)))
-        out = out | (both >= share * len(wanted)) | ((both >= 3) & (both >= share * F.size(held)))
-    return out
+    """Whether the pairs share enough with one of the notices, which are one literal: the plan does not grow with them."""
+    wanted = _constant(sorted({tuple(_pairs(n)) for n in notices}), "array<array<string>>")
+
+    def enough(pairs: Column) -> Column:
+        both = F.size(F.array_intersect(held, pairs))
+        return let(both, lambda n: (n >= share * F.size(pairs)) | ((n >= 3) & (n >= share * F.size(held))))
+
+    return F.exists(wanted, enough)
 
 
 def confirmed(tokens: Column, family: str, share: float = 0.6) -> Column:

@@ -8,7 +8,9 @@ from llm_cases import ROWS, SF_SMALL, plain_components, plain_fingerprint
 
 from vitrine.llm.components import components
 from vitrine.llm.op1_simhash import links, near_dedup, op1_simhash
+from vitrine.llm import op1_simhash as op1
 from vitrine.llm import op8_exact_dedup as op8
+from vitrine.llm.op7_mixing import mix_sources
 from vitrine.llm.op8_exact_dedup import exact_dedup
 
 
@@ -131,3 +133,29 @@ def test_texts_move_only_for_repeated_addresses(spark, monkeypatch, limit):
     docs = spark.createDataFrame([(i, f"text {i if i % 10 else 0}") for i in range(200)], "doc_id long, text string")
     out = {r["doc_id"]: (r["keep_id"], r["group_size"], r["kept"]) for r in exact_dedup(docs).collect()}
     assert out == {i: (i, 1, True) if i % 10 else (0, 20, i == 0) for i in range(200)}
+
+
+def join_kinds(df):
+    return set(re.findall(r"(?:SortMerge|ShuffledHash|BroadcastHash)Join", df._jdf.queryExecution().executedPlan().toString()))
+
+
+def test_texts_stay_where_they_are(spark, odd_docs):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 64 << 10)
+    try:
+        for df in (exact_dedup(odd_docs), near_dedup(odd_docs), mix_sources(odd_docs)):
+            assert join_kinds(df) == {"BroadcastHashJoin"}
+            assert df.count() == odd_docs.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_large_results_are_joined_not_broadcast(spark, odd_docs, monkeypatch):
+    def rows(df):
+        return sorted(map(str, df.collect()))
+
+    for module, run in ((op8, exact_dedup), (op1, near_dedup)):
+        want = rows(run(odd_docs))
+        with monkeypatch.context() as m:
+            m.setattr(module, "BROADCAST_BYTES", -1)
+            assert rows(run(odd_docs)) == want

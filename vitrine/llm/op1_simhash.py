@@ -28,6 +28,11 @@ from vitrine.llm.components import components
 from vitrine.llm.simhash import fingerprinter
 
 
+#: Linked fingerprints of up to this many bytes in all are broadcast to the rows; rows of no other have no entry.
+BROADCAST_BYTES = 32 << 20
+ENTRY_BYTES = 64
+
+
 def segments(count: int) -> list[tuple[int, int]]:
     """(first bit, bits) of each segment of the ring."""
     sizes = [64 // count + (i < 64 % count) for i in range(count)]
@@ -128,19 +133,24 @@ def near_dedup(
     def first_row(row_id: str, doc_id: str) -> Column:
         return F.coalesce(F.min_by(row_id, doc_id), F.min(row_id)).alias("first")
 
-    by_print = rows.groupBy("fp").agg(F.min(src.name("id")).alias("least"), first_row("rid", src.name("id")))
+    by_print = rows.groupBy("fp").agg(
+        F.min(src.name("id")).alias("least"), first_row("rid", src.name("id")), F.count("*").alias("n")
+    )
     prints = written(by_print, "op1-distinct")
     roots = components(links(prints.select("fp"), max_bits, pair_block), "a", "b").withColumnRenamed("node", "fp")
     rooted = prints.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"), first_row("first", "least"))
-    named = rooted.select("fp", "root").join(least, "root").select("fp", "component_id", "first")
-    out = rows.join(named, "fp")
+    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"), first_row("first", "least"), F.sum("n").alias("n"))
+    linked = rooted.select("fp", "root").join(least.where("n > 1"), "root").select("fp", "component_id", "first")
+    linked = written(linked, "op1-linked")
+    few = linked.count() * ENTRY_BYTES <= BROADCAST_BYTES  # then the rows stay where they are
+    out = rows.join(F.broadcast(linked) if few else linked, "fp", "left")
+    alone = F.col("first").isNull()
     results = {"fingerprint", "component_id", "stays"}
     return out.select(
         *[src[r].alias(k) for r, k in roles.items() if k.lower() not in results],
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        "component_id",
-        (F.col("rid") == F.col("first")).alias("stays"),
+        F.when(alone, src["id"]).otherwise(F.col("component_id")).alias("component_id"),
+        (alone | (F.col("rid") == F.col("first"))).alias("stays"),
     )
 
 

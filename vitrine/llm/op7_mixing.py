@@ -158,6 +158,7 @@ def mix_sources(
     stop = stops(rows, plan, rows_per_range).withColumnRenamed("src", "s_src")
     stop = stop.select("s_src", F.struct(*ORDER, "rid").alias("stop"), "part")
     limits = plan.join(stop, F.col("src").eqNullSafe(F.col("s_src")), "left").withColumnRenamed("src", "p_src").drop("s_src")
+    limits = written(limits, "op7-limits")  # one row a source: its measured size lets the rows stay where they are
     joined = rows.join(limits, F.col("src").eqNullSafe(F.col("p_src")))
     own, zero = F.struct(*ORDER, "rid"), F.lit(0).cast("long")
     part = (

@@ -16,7 +16,9 @@
 4. The index pages (bucket, address, digest, row that stays, group size) are
    written by owners of contiguous bucket ranges, sorted by bucket and address.
 5. Rows find their bucket through the directory and look up their address and
-   digest in it; only digests move. A row without an entry is alone.
+   digest in it. A row without an entry is alone. Rows do not move if the index
+   is small enough to be sent to the tasks (checked); else the columns asked for
+   move once.
 
 No step holds a bucket or a group in memory, and nothing but a few scalars goes
 to the driver.
@@ -40,8 +42,9 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), RUNS, " ")
 
 
-#: Repeated addresses of up to this many bytes in all are broadcast.
+#: Repeated addresses, and index pages, of up to this many bytes in all are broadcast.
 BROADCAST_BYTES = 32 << 20
+ENTRY_BYTES = 128  # of an index entry with a short id
 
 
 def directory(addresses: DataFrame, bucket_bytes: int) -> tuple[DataFrame, int]:
@@ -136,7 +139,8 @@ def exact_dedup(
     index = written(
         chains.repartitionByRange("bucket", "address").sortWithinPartitions("bucket", "address"), "op8-index"
     )
-    found = routed(rows).join(index, ["bucket", "address", "digest"], "left")
+    small = index.count() * ENTRY_BYTES <= BROADCAST_BYTES  # then rows, and the texts with them, stay where they are
+    found = routed(rows).join(F.broadcast(index) if small else index, ["bucket", "address", "digest"], "left")
     alone = F.col("group_size").isNull()
     return src.restore(
         found,

@@ -100,3 +100,19 @@ def test_translation_feed_comes_from_the_products(spark):
     translation = spark.createDataFrame([("a", "x"), ("b", "y")], "product_category_name string, english string")
     products = spark.createDataFrame([("b",), ("b",), ("c",), (None,)], "product_category_name string")
     assert [tuple(r) for r in translations_found(translation, products).collect()] == [("b", "y")]
+
+
+@pytest.mark.parametrize("loads", [True, False])
+def test_a_filtered_feed_parses_each_record_once(spark, tmp_path, loads):
+    path = str(tmp_path / "items.csv")
+    header = "order_id,order_item_id,product_id,seller_id,shipping_limit_date,price,freight_value\n"
+    good, endings, long_id, number = "a,1,p,s,d,1,2", "b,1,p,s,d,1,2\r", "c" * 51 + ",1,p,s,d,1,2", "d,x,p,s,d,1,2"
+    open(path, "w", newline="").write(header + "\n".join([good, endings, long_id, number]) + "\n")
+    tagged = I.tag_rows(I.read_feed_text(spark, FEEDS["order_items"], path), FEEDS["order_items"], 1, "2024-06-30 00:00:00")
+    why = F.col("_reject_reason")
+    rows = tagged.where(why.isNull() if loads else why.isNotNull())
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("from_csv(") == 1
+    got = {(r["order_id"][0], r["freight_value"], r["_reject_reason"]) for r in rows.collect()}
+    accepted = {("a", "2", None), ("b", "2", None)}
+    rejected = {("c", "2", "Value too long for ORDER_ID"), ("d", "2", "Invalid number in ORDER_ITEM_ID")}
+    assert got == (accepted if loads else rejected)

@@ -42,6 +42,11 @@ def n_fields(record: Column) -> Column:
     return F.length(plain) - F.length(F.replace(plain, F.lit(","))) + 1
 
 
+def _without_return(record: Column) -> Column:
+    """The record without a carriage return at its end; the pattern is tried only where there is one."""
+    return F.when(F.contains(record, F.lit("\r")), F.regexp_replace(record, "\r$", "")).otherwise(record)
+
+
 def lines(spark: SparkSession, path: str) -> DataFrame:
     """(record, open, etl_source_file): every line but each file's first (the header) and empty ones, untouched.
 
@@ -61,8 +66,8 @@ def lines(spark: SparkSession, path: str) -> DataFrame:
         .option("columnNameOfCorruptRecord", "kept")
         .csv(path)
     )
-    record = F.regexp_replace(F.coalesce("kept", "line"), "\r$", "")
-    return df.select(record.alias("record"), F.lit(False).alias("open"), F.col("_metadata.file_name").alias("etl_source_file"))
+    df = df.select(F.coalesce("kept", "line").alias("record"), F.col("_metadata.file_name").alias("etl_source_file"))
+    return df.select(_without_return(F.col("record")).alias("record"), F.lit(False).alias("open"), "etl_source_file")
 
 
 # ------------------------------------------------------------ quoted records
@@ -218,7 +223,7 @@ def quoted_records(spark: SparkSession, path: str, scratch: str | None = None) -
         .where(F.col("kind") != HEADER)
     )
     single = pieces.where(F.col("kind").isin(WHOLE, OPEN))
-    trimmed = F.regexp_replace("record", "\r$", "").alias("record")
+    trimmed = _without_return(F.col("record")).alias("record")
     return single.select(trimmed, (F.col("kind") == OPEN).alias("open"), "etl_source_file").where("record <> '' OR open").unionByName(
         crossing.select(trimmed, F.lit(False).alias("open"), "etl_source_file")
     )

@@ -92,12 +92,19 @@ def not_yet_loaded(rows: DataFrame, loaded: DataFrame | None, keys: list[str]) -
 
 
 def payment_type_totals(stg: Staging, batch_id: int | None = None) -> DataFrame:
-    """Payments summed per (order, payment type)."""
-    p = in_batch(stg.order_payments, batch_id)
-    return p.groupBy("order_id", "payment_type").agg(
-        F.sum(C.parse_amount(F.when(~C.amount_overflows("payment_value", C.PAYMENT_TOTAL_TYPE), F.col("payment_value")))).alias(
-            "type_total"
-        ),
+    """Payments summed per (order, payment type); an amount too large for the column counts as none.
+
+    Payments are dealt by order before they are summed, so that both this sum
+    and a further one per order need no other exchange, and no task that reads
+    the feed holds the sums of its whole split.
+    """
+    amount = C.parse_amount("payment_value")
+    fits = amount.try_cast(C.PAYMENT_TOTAL_TYPE).isNotNull()
+    p = in_batch(stg.order_payments, batch_id).select(
+        "order_id", "payment_type", "payment_installments", F.when(fits, amount).alias("amount")
+    )
+    return p.repartition("order_id").groupBy("order_id", "payment_type").agg(
+        F.sum("amount").alias("type_total"),
         F.max("payment_installments").alias("type_max_installments"),
     )
 
@@ -107,8 +114,8 @@ def payments_rollup(stg: Staging, batch_id: int | None = None) -> DataFrame:
 
     The primary type is the type with the greatest summed value; ties go to
     the greatest type name, and a type whose sum is NULL ranks first (NULLs
-    sort first in a descending order). Two grouped aggregates, both with
-    map-side partial aggregation; the struct ``max`` does the arg-max.
+    sort first in a descending order). Two grouped aggregates after one
+    exchange; the struct ``max`` does the arg-max.
     """
     per_type = payment_type_totals(stg, batch_id)
     rank = F.struct(
@@ -251,6 +258,13 @@ def resolved_items(
     Outer joins keep the items that do not resolve, for the reject table.
     """
     i = not_yet_loaded(in_batch(stg.order_items, batch_id), loaded, ["order_id", "order_item_id"])
+    # Amounts are parsed before the joins: a filter on the reason, which needs the joins, then reads the parsed ones.
+    price, freight = (C.parse_amount_as(c, C.PRICE_TYPE) for c in ("price", "freight_value"))
+    too_large = C.amount_overflows("price", C.PRICE_TYPE) | C.amount_overflows("freight_value", C.PRICE_TYPE)
+    i = i.select(
+        "order_id", "order_item_id", "product_id", "seller_id", "etl_batch_id",
+        price.alias("price"), freight.alias("freight_value"), too_large.alias("_too_large"),
+    )
     o = (
         in_batch(stg.orders, batch_id)
         .filter(F.col("order_id").isNotNull())
@@ -266,8 +280,6 @@ def resolved_items(
     prod = dim_product.filter(F.col("is_current") == "Y").select("product_id", "product_key")
     sell = dim_seller.select("seller_id", "seller_key")
     j = i.join(oc, "order_id", "left").join(prod, "product_id", "left").join(sell, "seller_id", "left")
-    price, freight = (C.parse_amount_as(c, C.PRICE_TYPE) for c in ("price", "freight_value"))
-    too_large = C.amount_overflows("price", C.PRICE_TYPE) | C.amount_overflows("freight_value", C.PRICE_TYPE)
     reason = (
         F.when(F.col("order_id").isNull() | F.col("order_item_id").isNull(), L.REJECT_NULL_ITEM_KEY)
         .when(F.col("_staged").isNull(), L.REJECT_NO_ORDER)
@@ -275,7 +287,7 @@ def resolved_items(
         .when(F.col("customer_key").isNull(), L.REJECT_NO_CUSTOMER)
         .when(F.col("product_key").isNull(), L.REJECT_NO_PRODUCT)
         .when(F.col("seller_key").isNull(), L.REJECT_NO_SELLER)
-        .when(too_large, L.REJECT_AMOUNT_RANGE)
+        .when(F.col("_too_large"), L.REJECT_AMOUNT_RANGE)
     )
     return j.select(
         "order_id",
@@ -287,9 +299,9 @@ def resolved_items(
         "customer_unique_id",
         "product_id",
         "seller_id",
-        price.alias("price"),
-        freight.alias("freight_value"),
-        (price + freight).cast(C.ITEM_TOTAL_TYPE).alias("total_item_value"),
+        "price",
+        "freight_value",
+        (F.col("price") + F.col("freight_value")).cast(C.ITEM_TOTAL_TYPE).alias("total_item_value"),
         _batch(batch_id).alias("etl_batch_id"),
         reason.alias("reason"),
     )

@@ -121,7 +121,10 @@ def run_checks(stg: Staging, checks: list[Check], batch_id: int | None = None) -
 
     Every row of a table carries an array with one (hit, key, reason) entry
     per rule of that table; only the hits are exploded into reject rows, so
-    adding rules does not add scans.
+    adding rules does not add scans. The rules of a table are worked out in
+    one projection, which parses a text once for all of them; the generator
+    after it keeps the filter on their results from repeating them, and only
+    rows with a hit get entries.
     """
     batch = F.lit(batch_id).cast("long") if batch_id is not None else F.col("etl_batch_id")
     by_feed: dict[str, list[Check]] = {}
@@ -129,16 +132,19 @@ def run_checks(stg: Staging, checks: list[Check], batch_id: int | None = None) -
         by_feed.setdefault(c.feed, []).append(c)
     parts = []
     for feed, rules in by_feed.items():
-        df = in_batch(getattr(stg, feed), batch_id)
+        names = [f"_hit{n}" for n in range(len(rules))]
+        found = F.struct(*[r.cond().alias(n) for n, r in zip(names, rules)])
+        df = in_batch(getattr(stg, feed), batch_id).withColumn("_found", found).select("*", F.inline(F.array("_found")))
+        df = df.where(_any([F.col(n) for n in names]))
         entries = F.array(
             *[
                 F.struct(
-                    r.cond().alias("hit"),
+                    F.col(n).alias("hit"),
                     F.lit(r.table).alias("source_table"),
                     r.key().cast("string").alias("source_key"),
                     F.lit(r.reason).alias("reject_reason"),
                 )
-                for r in rules
+                for n, r in zip(names, rules)
             ]
         )
         hits = df.select(batch.alias("etl_batch_id"), F.explode(F.filter(entries, lambda e: e["hit"])).alias("r"))

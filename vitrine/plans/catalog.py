@@ -817,11 +817,15 @@ def check_not_null(w: FixtureLoad) -> DataFrame:
 # ----------------------------------------------------------- run counters
 
 
-def _counted(df: DataFrame, step: str, **metrics: Column) -> DataFrame:
-    """(step, metric, n) rows of several counts taken in one pass over ``df``."""
-    one = df.agg(*[F.coalesce(F.sum(m.cast("long")), F.lit(0)).alias(k) for k, m in metrics.items()])
-    pairs = [F.struct(F.lit(k).alias("metric"), F.col(k).alias("n")) for k in metrics]
-    return one.select(F.lit(step).alias("step_name"), F.inline(F.array(*pairs)))
+def _counted(df: DataFrame, step: str, also: dict[str, dict[str, Column]] | None = None, **metrics: Column) -> DataFrame:
+    """(step, metric, n) rows of several counts, those of further steps in ``also``, taken in one pass over ``df``."""
+    counts = [(s, k, m) for s, named in {step: metrics, **(also or {})}.items() for k, m in named.items()]
+    one = df.agg(*[F.coalesce(F.sum(m.cast("long")), F.lit(0)).alias(f"n{i}") for i, (_, _, m) in enumerate(counts)])
+    rows = [
+        F.struct(F.lit(s).alias("step_name"), F.lit(k).alias("metric"), F.col(f"n{i}").alias("n"))
+        for i, (s, k, _) in enumerate(counts)
+    ]
+    return one.select(F.inline(F.array(*rows)))
 
 
 def step_count_rows(w: FixtureLoad) -> DataFrame:
@@ -863,9 +867,8 @@ def step_count_rows(w: FixtureLoad) -> DataFrame:
             **{"in": one, "out": F.col("product_id").isNotNull(), "rejected": F.col("product_id").isNull()},
         ),
         *fact(L.STEP_FACT_ORDERS, stg.orders, w.fact_orders, FT.fact_orders_unresolved(stg, w.dim_customer, BATCH)),
-        _counted(items, L.STEP_FACT_ITEMS, **{"in": one, "out": loads, "rejected": ~loads}),
+        _counted(items, L.STEP_FACT_ITEMS, {L.STEP_AGG_DAILY: {"in": loads}}, **{"in": one, "out": loads, "rejected": ~loads}),
         *fact(L.STEP_FACT_REVIEWS, stg.order_reviews, w.fact_reviews, FT.fact_reviews_unresolved(stg, BATCH)),
-        _counted(items, L.STEP_AGG_DAILY, **{"in": loads}),
         _counted(agg, L.STEP_AGG_DAILY, out=one),
     ]
     return reduce(DataFrame.unionByName, parts)

@@ -21,6 +21,11 @@ AGG_DAILY_COLUMNS = [
     "avg_review_score",
     "late_delivery_count",
 ]
+# What the aggregate reads of the facts.
+DAILY_ORDER_COLUMNS = [
+    "order_id", "customer_key", "order_date_key", "payment_type_primary", "order_status", "review_score", "is_late_delivery",
+]
+DAILY_ITEM_COLUMNS = ["order_id", "product_key", "price", "freight_value"]
 DAILY_GROUP = AGG_DAILY_COLUMNS[:5]
 DAILY_MEASURES = [
     "order_count", "item_count", "price_total", "price_n", "freight_total", "freight_n", "score_sum", "score_n",
@@ -41,7 +46,7 @@ def items_by_order_category(fact_items: DataFrame, dim_product: DataFrame, produ
     """
     prod = current_products(dim_product, product_versions).select("product_key", "category_name_en")
     return (
-        fact_items.select("order_id", "product_key", "price", "freight_value")
+        fact_items.select(*DAILY_ITEM_COLUMNS)
         .join(prod, "product_key")
         .groupBy("order_id", "category_name_en")
         .agg(
@@ -90,10 +95,7 @@ def daily_state(
 ) -> DataFrame:
     """The daily aggregate as sums and counts only, so that states of different orders add up (``DAILY_MEASURES``)."""
     per_cat = items_by_order_category(fact_items, dim_product, product_versions)
-    fo = fact_orders.filter(F.col("order_date_key").isNotNull()).select(
-        "order_id", "customer_key", "order_date_key", "payment_type_primary", "order_status", "review_score",
-        "is_late_delivery",
-    )
+    fo = fact_orders.filter(F.col("order_date_key").isNotNull()).select(*DAILY_ORDER_COLUMNS)
     dc = dim_customer.select("customer_key", "state")
     j = fo.join(dc, "customer_key").join(per_cat, "order_id")
     scored_items = F.when(F.col("review_score").isNotNull(), F.col("n_items")).otherwise(F.lit(0))

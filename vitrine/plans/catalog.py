@@ -569,7 +569,8 @@ def agg_daily_sales_delta(w: FixtureLoad) -> DataFrame:
     """A refresh by signed differences: new orders, corrected items, moved customers, re-filed products."""
     from vitrine.operators import daily_delta as DD
 
-    facts, sold = w._table(w.fact_orders, "delta-orders"), w._table(w.fact_items, "delta-items")
+    facts = w._table(w.fact_orders.select(*A.DAILY_ORDER_COLUMNS), "delta-orders")  # as far as the aggregate reads them
+    sold = w._table(w.fact_items.select(*A.DAILY_ITEM_COLUMNS, "order_item_id", "order_date_key"), "delta-items")
     new_order = F.col("order_date_key") >= F.lit(int(EARLIER_ORDERS_BEFORE.replace("-", "")))
     corrected = (F.col("order_item_id") == 1) & (F.col("freight_value") < 3)
     moved, refiled = F.col("state") == RETIRED_STATE, (F.col("weight_g") % 700 == 0) & (F.col("product_photos_qty") == 0)

@@ -63,3 +63,10 @@ def test_step_counts_resolve_the_items_once_besides_the_aggregate(spark):
     """The item counts of two steps come out of one pass (each pass joins the items to their orders)."""
     counts = catalog.step_count_rows(catalog.FixtureLoad(spark, SF_SMALL))
     assert plan(counts, "analyzed").count("Order not in batch") == 2
+
+
+def test_refreshes_read_written_facts(spark):
+    for name in ("agg_daily_sales_incremental", "agg_daily_sales_delta"):
+        refreshed = catalog.queries()[name](spark, SF_SMALL)
+        assert "lineitem" not in "".join(refreshed.inputFiles())
+    assert "order_item_id" not in plan(catalog.queries()["agg_daily_sales_incremental"](spark, SF_SMALL), "analyzed")

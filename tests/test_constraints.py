@@ -2,6 +2,7 @@
 
 import itertools
 import os
+import time
 from dataclasses import replace
 
 import pytest
@@ -175,3 +176,108 @@ def test_strict_rules_run_once(spark):
 
     strict = catalog.queries()["fact_orders_strict"](spark, SF_SMALL)
     assert strict._jdf.queryExecution().executedPlan().toString().count("lineitem.parquet") == 1
+
+
+def _no_broadcast(spark, body):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        return body()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_rows_move_once_for_rules_on_the_same_key(spark):
+    """Parents are looked up for the keys, not for the rows; the rows meet the broken keys in one join."""
+    rows = spark.range(1000).select(F.col("id").cast("string").alias("k"), (F.col("id") % 5).alias("n"))
+    parent = spark.range(900).select(F.col("id").cast("string").alias("k"))
+    rules = [K.Parent("FK", ("k",), parent, ("k",)), K.Unique("UK", ("k", "n"))]
+    gated = _no_broadcast(spark, lambda: K.gate(rows, rules))
+    plan = _no_broadcast(spark, lambda: gated._jdf.queryExecution().executedPlan().toString())
+    assert plan.count("SortMergeJoin") == 1
+    assert {r[0]: r[1] for r in gated.groupBy("violation").count().collect()} == {None: 900, "FK": 100}
+
+
+def test_rules_judged_together_on_nulls_and_in_their_order(spark):
+    rows = spark.createDataFrame(
+        [("a", 1, "x"), ("a", 1, "x"), ("z", 1, "x"), ("z", None, "x"), ("z", None, None), (None, 1, "x"), (None, 1, "x"), ("b", None, "x"),
+         ("b", None, "x"), ("c", 1, None), ("c", 1, None), ("d", 1, "x"), ("d", 2, "x")],
+        "k string, n int, v string",
+    )
+    parent = spark.createDataFrame([("a",), ("b",), ("c",), ("d",), ("d",), (None,)], "id string")
+    fk, uk, nn = K.Parent("FK", ("k",), parent, ("id",)), K.Unique("UK", ("n", "k")), K.Required("NN", ("v",))
+    ones = K.Unique("U1", ("k",))
+
+    def got(*rules):
+        return sorted((r.k or "", r.n or 0, r.v or "", r.violation or "") for r in K.gate(rows, rules).collect())
+
+    rest = [("", 1, "x", ""), ("", 1, "x", ""), ("b", 0, "x", ""), ("b", 0, "x", ""), ("d", 1, "x", ""), ("d", 2, "x", "")]
+    first = [("a", 1, "x", "UK")] * 2
+    zs = [("z", 0, "", "FK"), ("z", 0, "x", "FK"), ("z", 1, "x", "FK")]
+    assert got(fk, nn, uk) == sorted([*rest, *first, *zs, *[("c", 1, "", "NN")] * 2])
+    assert got(uk, fk, nn) == sorted([*rest, *first, *zs, *[("c", 1, "", "UK")] * 2])
+    assert got(nn, uk, fk) == sorted([*rest, *first, ("z", 0, "", "NN"), *zs[1:], *[("c", 1, "", "NN")] * 2])
+    unique = [(k, n, v, "U1" if k else "") for k, n, v, _ in [*rest, *first, *zs]]  # no key but NULL comes once
+    assert got(ones, uk) == sorted([*unique, *[("c", 1, "", "U1")] * 2])
+
+
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
+
+def test_shuffle_files_go_with_the_write(spark, tmp_root):
+    from vitrine.session import shuffles_freed
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was, counted = spark.conf.get(key, None), spark.range(10_000).groupBy((F.col("id") % 7).alias("k")).count()
+    before = _shuffle_files(spark)
+    with shuffles_freed(spark):
+        counted.write.parquet(f"{tmp_root}/counted")
+        assert spark.conf.get(key) == "true"
+    for _ in range(50):  # executors are told, not waited for
+        if not _shuffle_files(spark) - before:
+            break
+        time.sleep(0.1)
+    assert not _shuffle_files(spark) - before
+    assert spark.conf.get(key, None) == was and spark.read.parquet(f"{tmp_root}/counted").count() == 7
+
+
+def _orders_and_items(spark):
+    orders = spark.createDataFrame([(str(i),) for i in range(40)] + [("3",), (None,)], "order_id string")
+    items = spark.createDataFrame([(str(i % 40), i) for i in range(200)] + [(None, 1), ("3", 3)], "order_id string, n int")
+    return replace(FX.staging(spark, SF_SMALL), orders=orders, order_items=items, order_payments=items, order_reviews=items)
+
+
+def test_passes_hold_every_row_once_and_orders_whole(spark):
+    from vitrine.plans.catalog import order_passes
+
+    stg = _orders_and_items(spark)
+    assert order_passes(stg, 1000) == [stg]
+    passes = order_passes(stg, 50)
+    assert len(passes) == 5
+    for name in ("orders", "order_items", "order_payments", "order_reviews"):
+        parts = [getattr(p, name).collect() for p in passes]
+        assert sorted(map(str, itertools.chain(*parts))) == sorted(map(str, getattr(stg, name).collect()))
+    for p in passes:
+        ids = {r[0] for r in p.orders.collect()}
+        assert ids and {r[0] for r in p.order_items.collect()} == ids
+
+
+def test_gate_of_the_facts_in_passes_keeps_one_table(spark, monkeypatch):
+    """The same rows in one pass or several; of the tables before and after the gate only the latter stays."""
+    from vitrine.plans import catalog
+    from vitrine.plans.warehouse import FileSystem
+    from vitrine.session import checkpoint_dir
+
+    def got():
+        return sorted(map(tuple, catalog.queries()["constraint_gate"](spark, SF_SMALL).collect()))
+
+    whole, scratch = got(), f"{checkpoint_dir(spark).rstrip('/')}/vitrine"
+    kinds = {r[0] for r in whole}
+    assert kinds == {"FACT_ORDERS_UK", "FACT_ITEM_ORDER_FK", "FACT_ORDERS", "FACT_ORDER_ITEMS"}
+    monkeypatch.setattr(catalog, "ITEMS_A_PASS", 2000)
+    before = set(FileSystem(spark).list_names(scratch))
+    assert got() == whole
+    new = set(FileSystem(spark).list_names(scratch)) - before
+    assert sum(n.startswith("gated-items") for n in new) > 1 and not [n for n in new if n.startswith("gate-")]

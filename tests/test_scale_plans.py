@@ -70,3 +70,13 @@ def test_refreshes_read_written_facts(spark):
         refreshed = catalog.queries()[name](spark, SF_SMALL)
         assert "lineitem" not in "".join(refreshed.inputFiles())
     assert "order_item_id" not in plan(catalog.queries()["agg_daily_sales_incremental"](spark, SF_SMALL), "analyzed")
+
+
+def test_order_days_are_parsed_below_the_joins(spark):
+    w = catalog.FixtureLoad(spark, SF_SMALL)
+    lines = [line for line in plan(w.fact_orders, "optimizedPlan").splitlines() if "AS days_to_approve" in line]
+    assert lines and not [line for line in lines if "order_approved_at" in line or "order_purchase_timestamp" in line]
+
+
+def test_items_that_miss_a_lookup_leave_at_its_join(spark):
+    assert "LeftOuter" not in plan(catalog.FixtureLoad(spark, SF_SMALL).fact_items, "optimizedPlan")

@@ -180,7 +180,15 @@ def fact_orders(
     ``fact_orders_unresolved``); nor are orders without an id or whose purchase
     date does not parse (both are required).
     """
-    o = _orders_to_load(stg, batch_id, loaded)
+    # Days are parsed before the joins: a day is a quarter of its text in an exchange.
+    texts = {
+        "purchase": "order_purchase_timestamp",
+        "approved": "order_approved_at",
+        "delivered": "order_delivered_customer_date",
+        "estimated": "order_estimated_delivery_date",
+    }
+    days = {f"_{name}": C.parse_day(text) for name, text in texts.items()}
+    o = _orders_to_load(stg, batch_id, loaded).withColumns(days).drop(*texts.values())
     pay = payments_rollup(stg, batch_id)
     rev = reviews_rollup(stg, batch_id).withColumnRenamed("review_score", "r_score").withColumnRenamed(
         "review_id", "r_id"
@@ -189,10 +197,7 @@ def fact_orders(
     cust = customer_lookup_rows(stg, dim_customer, batch_id, customer_lookup)
     j = j.join(cust, "customer_id")
 
-    purchase = C.parse_day("order_purchase_timestamp")
-    approved = C.parse_day("order_approved_at")
-    delivered = C.parse_day("order_delivered_customer_date")
-    estimated = C.parse_day("order_estimated_delivery_date")
+    purchase, approved, delivered, estimated = (F.col(day) for day in days)
     late = delivered.isNotNull() & estimated.isNotNull() & (delivered > estimated)
     out = j.select(
         "order_id",
@@ -317,7 +322,9 @@ def fact_order_items(
 ) -> DataFrame:
     """FACT_ORDER_ITEMS rows of a batch (with product/seller/customer ids): the items that resolve."""
     rows = resolved_items(stg, dim_customer, dim_product, dim_seller, batch_id, loaded)
-    return rows.filter(F.col("reason").isNull()).drop("reason")
+    # The lookups' keys are known where there is no reason; said apart, rows that miss one take no part in the next exchange.
+    resolved = [F.col(key).isNotNull() for key in ("customer_key", "product_key", "seller_key")]
+    return rows.filter(F.col("reason").isNull() & resolved[0] & resolved[1] & resolved[2]).drop("reason")
 
 
 def fact_order_items_unresolved(

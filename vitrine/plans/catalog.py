@@ -15,6 +15,7 @@ work of every query still covers the whole input tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,6 +30,7 @@ from vitrine.operators.keys import assign_keys
 from vitrine.plans import reports as R
 from vitrine.plans import schemas
 from vitrine.sources import fixtures as FX
+from vitrine.sources.feeds import Staging
 
 BATCH = FX.FIXTURE_BATCH_ID
 AS_OF = FX.FIXTURE_AS_OF
@@ -703,24 +705,62 @@ def run_step_detail(w: FixtureLoad) -> DataFrame:
 # ------------------------------------------------------- constraints, keys
 
 
+#: Items whose orders are loaded and gated in one pass: bounds the shuffle files on disk at a time.
+ITEMS_A_PASS = 120_000_000
+
+
+def order_passes(stg: Staging, items_a_pass: int) -> list[Staging]:
+    """``stg`` dealt by order id into passes of about so many items: an order, its items, payments and reviews share one.
+
+    Every row is in exactly one pass (those without an order id, too).
+    """
+    passes = max(1, -(-stg.order_items.count() // items_a_pass))
+    if passes == 1:
+        return [stg]
+
+    def dealt(rows: DataFrame, nth: int) -> DataFrame:
+        return rows.where(F.pmod(F.xxhash64("order_id"), F.lit(passes)) == nth)
+
+    names = ("orders", "order_items", "order_payments", "order_reviews")
+    return [replace(stg, **{name: dealt(getattr(stg, name), nth) for name in names}) for nth in range(passes)]
+
+
+def _gated(w: FixtureLoad, rows: DataFrame, rules: list, name: str) -> DataFrame:
+    """``rows`` written, gated and written again; the table before the gate is then deleted."""
+    from vitrine.operators import constraints as K
+    from vitrine.plans.warehouse import FileSystem
+    from vitrine.session import scratch_path
+
+    path = scratch_path(w.spark, f"gate-{name}")
+    rows.write.option("compression", "zstd").parquet(path)
+    gated = w._table(K.gate(w.spark.read.schema(rows.schema).parquet(path), rules), f"gated-{name}")
+    FileSystem(w.spark).delete(path)
+    return gated
+
+
 @query
 def constraint_gate(w: FixtureLoad) -> DataFrame:
     """Orders in process are staged twice: neither they nor their items reach a fact; both show as rejects."""
-    from dataclasses import replace
+    from functools import reduce
 
     from vitrine.operators import constraints as K
+    from vitrine.session import shuffles_freed
 
     twice = w.stg.orders.filter(F.col("order_status") == "processing")
     stg = replace(w.stg, orders=w.stg.orders.unionByName(twice))
-    orders = w._table(FT.fact_orders(stg, w.dim_customer, BATCH), "gate-orders")
-    orders = w._table(K.gate(orders, [K.Unique("FACT_ORDERS_UK", ("order_id",))]), "gated-orders")
-    accepted = orders.where("violation IS NULL")
-    items = w._table(FT.fact_order_items(stg, w.dim_customer, w.dim_product, w.dim_seller, BATCH), "gate-items")
-    rules = [
-        K.Parent("FACT_ITEM_ORDER_FK", ("order_id",), accepted, ("order_id",)),
-        K.Unique("FACT_ITEMS_UK", ("order_id", "order_item_id")),
-    ]
-    items = w._table(K.gate(items, rules), "gated-items")
+    parts = []
+    with shuffles_freed(w.spark):
+        for part in order_passes(stg, ITEMS_A_PASS):
+            facts = FT.fact_orders(part, w.dim_customer, BATCH)
+            orders = _gated(w, facts, [K.Unique("FACT_ORDERS_UK", ("order_id",))], "orders")
+            accepted = orders.where("violation IS NULL")
+            facts = FT.fact_order_items(part, w.dim_customer, w.dim_product, w.dim_seller, BATCH)
+            rules = [
+                K.Parent("FACT_ITEM_ORDER_FK", ("order_id",), accepted, ("order_id",)),
+                K.Unique("FACT_ITEMS_UK", ("order_id", "order_item_id")),
+            ]
+            parts.append((orders, _gated(w, facts, rules, "items")))
+    orders, items = (reduce(DataFrame.unionByName, tables) for tables in zip(*parts))
 
     def loaded(df: DataFrame, table: str) -> DataFrame:
         n = df.where("violation IS NULL").agg(F.count(F.lit(1)).alias("occurrences"))

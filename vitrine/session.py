@@ -14,6 +14,8 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -72,6 +74,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/vitrine/{name}-{os.getpid()}-{next(_counter)}-{uuid.uuid4().hex[:12]}"
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Inside, the shuffle files of a write or count are deleted as it ends.
+
+    Otherwise they stay on the executors' disks until the driver collects the
+    plan, which a driver with little to do puts off for many jobs. A frame made
+    inside that is run twice does its shuffles again, so a result that is handed
+    out is better made outside.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def _count():
     n = 0
     while True:

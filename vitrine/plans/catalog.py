@@ -705,8 +705,9 @@ def run_step_detail(w: FixtureLoad) -> DataFrame:
 # ------------------------------------------------------- constraints, keys
 
 
-#: Items whose orders are loaded and gated in one pass: bounds the shuffle files on disk at a time.
-ITEMS_A_PASS = 120_000_000
+#: Items whose orders are loaded and gated in one pass: bounds the shuffle files on disk at a time
+#: (about 140 bytes an item). Each further pass reads the feeds again.
+ITEMS_A_PASS = 240_000_000
 
 
 def order_passes(stg: Staging, items_a_pass: int) -> list[Staging]:
